@@ -20,13 +20,18 @@ def iso_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
 
 
+def _micros_between(later: Column, earlier: Column) -> Column:
+    return F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
+
+
 def hours_between(later: Column, earlier: Column) -> Column:
-    """Whole hours from ``earlier`` to ``later``, truncated (TIMESTAMP_DIFF)."""
-    return F.timestampdiff("HOUR", earlier.cast("timestamp"), later.cast("timestamp"))
+    """Whole hours from ``earlier`` to ``later``, truncated toward zero like
+    ``TIMESTAMP_DIFF(later, earlier, HOUR)`` (2 h 59 m -> 2)."""
+    return (_micros_between(later, earlier) / F.lit(3_600_000_000)).cast("bigint")
 
 
 def minutes_between(later: Column, earlier: Column) -> Column:
-    return F.timestampdiff("MINUTE", earlier.cast("timestamp"), later.cast("timestamp"))
+    return (_micros_between(later, earlier) / F.lit(60_000_000)).cast("bigint")
 
 
 def local_to_utc(local_ts: Column, zone: str) -> Column:

@@ -1 +1,305 @@
-"""Registered queries."""
+"""Star-schema queries: dimensions, SCD2, point-in-time join, fact load."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pricelens.functions.lookups import DOMESTIC_CARRIERS, US_HOLIDAYS_2026
+from pricelens.functions.money import avg_usd, to_cents
+from pricelens.operators.dedup import keep_best
+from pricelens.operators.dims import (assign_keys, date_rows, dim_airlines_new, new_members,
+                                      scd2_apply, scd2_build)
+from pricelens.plans.catalog import (SQL_ON_TIME, SQL_TICKS, register, schedule,
+                                     sql_avg, sql_schedule, ticks, with_)
+from pricelens.plans.daily import (DIM_AIRLINE_SCHEMA, DIM_DATE_SCHEMA, DIM_FLIGHT_SCHEMA,
+                                   gold_frames)
+from pricelens.plans.q_ticks import SQL_SCORED, SQL_SILVER_1HR, SQL_SILVER_5MIN
+from pricelens.plans.silver import silver_1hr, silver_5min
+from pricelens.session import cut_lineage
+from pricelens.sources.tables import read_increment, read_table
+
+# Run parameters of the registered queries (the reference uses "now").
+RUN_TS = "2024-01-31 06:00:00"
+SPLIT_DATE = "1996-01-01"   # end of the first of two daily runs over orders
+NEXT_DATE = "1997-01-01"    # end of the second
+
+
+def _q(xs):
+    return ", ".join(f"'{x}'" for x in xs)
+
+
+SQL_SEASON = """CASE WHEN month({d}) IN (12, 1, 2) THEN 'Winter'
+     WHEN month({d}) IN (3, 4, 5) THEN 'Spring'
+     WHEN month({d}) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END"""
+
+
+def sql_date_rows(d: str) -> str:
+    return f"""CAST(strftime({d}, '%Y%m%d') AS INTEGER) AS date_key,
+  strftime({d}, '%Y-%m-%d') AS date, dayname({d}) AS day_of_week,
+  CAST(isodow({d}) - 1 AS INTEGER) AS day_number, isodow({d}) >= 6 AS is_weekend,
+  CAST(month({d}) AS INTEGER) AS month, CAST(quarter({d}) AS INTEGER) AS quarter,
+  strftime({d}, '%Y-%m-%d') IN ({_q(US_HOLIDAYS_2026)}) AS is_us_holiday,
+  {SQL_SEASON.format(d=d)} AS season"""
+
+
+SQL_ALLIANCE = """CASE WHEN {c} IN ('UA', 'LH', 'AC') THEN 'Star Alliance'
+     WHEN {c} IN ('AA', 'BA', 'QR') THEN 'Oneworld'
+     WHEN {c} IN ('DL', 'AF', 'KL') THEN 'SkyTeam' ELSE 'None' END"""
+
+
+@register("dim_date", f"""
+SELECT {sql_date_rows('d')}
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL) t""")
+def dim_date(spark, sf_dir):
+    """Date dimension over every order date (new members of an
+    empty dimension)."""
+    o = read_table(spark, sf_dir, "orders")
+    dates = o.select(F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("date"))
+    empty = spark.createDataFrame([], DIM_DATE_SCHEMA)
+    return date_rows(new_members(dates, empty, "date"), "date")
+
+
+@register("dim_airline", with_(sql_schedule()) + f"""
+SELECT CAST(999 + row_number() OVER (ORDER BY airline_code) AS INTEGER) AS airline_key,
+       airline_code, airline_name, {SQL_ALLIANCE.format(c='airline_code')} AS alliance,
+       coalesce(airline_code IN ({_q(DOMESTIC_CARRIERS)}), false) AS is_domestic
+FROM (SELECT airline_iata AS airline_code, min(airline_name) AS airline_name
+      FROM sched WHERE airline_iata IS NOT NULL GROUP BY 1) t""")
+def dim_airline(spark, sf_dir):
+    """Carrier dimension with surrogate keys from 1000, alliance
+    lookup with default "None" and domestic flag."""
+    s = schedule(spark, sf_dir).select(F.col("airline_iata").alias("airline_code"),
+                                       "airline_name")
+    return dim_airlines_new(s, spark.createDataFrame([], DIM_AIRLINE_SCHEMA))
+
+
+# -------------------------------------------------------------------- SCD2
+def _order_history(spark, sf_dir, lo=None, hi=None):
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderkey",
+        F.to_date("o_orderdate").alias("o_orderdate"))
+    if hi is not None:
+        o = read_increment(o, "o_orderdate", F.to_date(F.lit(lo)) if lo else None,
+                           F.to_date(F.lit(hi)))
+    return o
+
+
+SCD_NAT, SCD_TRACKED = ["o_custkey"], ["o_orderpriority", "o_orderstatus"]
+
+
+def _scd2_sql(where: str = "") -> str:
+    return f"""d AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d,
+         arg_max(o_orderpriority, o_orderkey) AS p, arg_max(o_orderstatus, o_orderkey) AS s
+  FROM orders WHERE o_custkey IS NOT NULL {where} GROUP BY 1, 2),
+l AS (SELECT *, lag(p) OVER w AS pp, lag(s) OVER w AS ps, row_number() OVER w AS rn
+      FROM d WINDOW w AS (PARTITION BY o_custkey ORDER BY d)),
+v AS (SELECT * FROM l WHERE rn = 1 OR p IS DISTINCT FROM pp OR s IS DISTINCT FROM ps),
+scd AS (SELECT CAST(1999 + row_number() OVER (ORDER BY o_custkey, d) AS INTEGER) AS customer_key,
+       o_custkey, p AS o_orderpriority, s AS o_orderstatus,
+       strftime(d, '%Y-%m-%d') AS effective_date,
+       coalesce(strftime(lead(d) OVER (PARTITION BY o_custkey ORDER BY d), '%Y-%m-%d'),
+                '9999-12-31') AS expiry_date,
+       lead(d) OVER (PARTITION BY o_custkey ORDER BY d) IS NULL AS is_current
+FROM v)"""
+
+
+def _scd2_full(spark, sf_dir):
+    h = _order_history(spark, sf_dir).filter(F.col("o_custkey").isNotNull())
+    return scd2_build(h, SCD_NAT, SCD_TRACKED, "o_orderdate", "customer_key", 2000,
+                      tie="o_orderkey")
+
+
+@register("dim_scd2", with_(_scd2_sql()) + "SELECT * FROM scd")
+def dim_scd2(spark, sf_dir):
+    """P5: type-2 history of each customer's (priority, status) by order
+    date -- one row per customer-day (largest order key), a new version only
+    when an attribute changes (NULL-safe), validity [effective, expiry)."""
+    return _scd2_full(spark, sf_dir).select(
+        "customer_key", "o_custkey", "o_orderpriority", "o_orderstatus",
+        "effective_date", "expiry_date", "is_current")
+
+
+@register("scd2_incremental", with_(_scd2_sql()) + """
+SELECT o_custkey, o_orderpriority, o_orderstatus, effective_date, expiry_date, is_current
+FROM scd""")
+def scd2_incremental(spark, sf_dir):
+    """P5 applied as three daily runs (up to SPLIT_DATE, up to NEXT_DATE,
+    the rest): intermediate versions kept, old rows closed at the change
+    date; equals the one-shot history (keys aside, which continue per run)."""
+    def batch(lo, hi):
+        h = _order_history(spark, sf_dir, lo, hi).filter(F.col("o_custkey").isNotNull())
+        h = h.withColumn("_day", F.col("o_orderdate"))
+        return keep_best(h, ["o_custkey", "_day"], [("o_orderkey", True)]).drop(
+            "o_orderkey", "o_orderdate")
+    empty = spark.createDataFrame(
+        [], "customer_key int, o_custkey bigint, o_orderpriority string, o_orderstatus string,"
+            " effective_date string, expiry_date string, is_current boolean")
+    dim = empty
+    for lo, hi in ((None, SPLIT_DATE), (SPLIT_DATE, NEXT_DATE), (NEXT_DATE, "9999-12-31")):
+        dim = scd2_apply(dim, batch(lo, hi), SCD_NAT, SCD_TRACKED, "_day", "customer_key")
+        dim = cut_lineage(dim)  # each run's dimension is a stored table
+    return dim.select("o_custkey", "o_orderpriority", "o_orderstatus", "effective_date",
+                      "expiry_date", "is_current")
+
+
+@register("scd2_point_in_time", with_(_scd2_sql()) + """
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+       strftime(l.l_shipdate, '%Y-%m-%d') AS ship_date, scd.customer_key,
+       scd.o_orderpriority AS priority_at_ship
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+LEFT JOIN scd ON scd.o_custkey = o.o_custkey
+  AND scd.effective_date <= strftime(l.l_shipdate, '%Y-%m-%d')
+  AND strftime(l.l_shipdate, '%Y-%m-%d') < scd.expiry_date""")
+def scd2_point_in_time(spark, sf_dir):
+    """Each line item joined to its customer's version valid on the
+    ship date (effective <= date < expiry; never more than one match)."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("ship_date"))
+    o = read_table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    fact = li.join(o, "l_orderkey")
+    dim = _scd2_full(spark, sf_dir).select(
+        F.col("o_custkey").alias("_ck"), "customer_key",
+        F.col("o_orderpriority").alias("priority_at_ship"),
+        F.col("effective_date").alias("_eff"), F.col("expiry_date").alias("_exp"))
+    j = fact.join(dim, (fact["o_custkey"] == dim["_ck"]) & (dim["_eff"] <= fact["ship_date"])
+                  & (fact["ship_date"] < dim["_exp"]), "left")
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_date",
+                    "customer_key", "priority_at_ship")
+
+
+# --------------------------------------------------------- increments, D5/D6
+@register("incremental_slice", f"""
+SELECT * FROM orders
+WHERE o_orderdate > CAST('{SPLIT_DATE}' AS TIMESTAMP) AND o_orderdate <= CAST('{NEXT_DATE}' AS TIMESTAMP)""")
+def incremental_slice(spark, sf_dir):
+    """A3 C4: the run's increment (mark, hi] -- strict lower bound, inclusive
+    upper bound fixed before the run; pushed into the parquet scan."""
+    o = read_table(spark, sf_dir, "orders")
+    return read_increment(o, "o_orderdate", F.lit(SPLIT_DATE).cast("timestamp_ntz"),
+                          F.lit(NEXT_DATE).cast("timestamp_ntz"))
+
+
+@register("new_members", f"""
+SELECT DISTINCT o.o_custkey, c.c_name FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE o.o_orderdate > CAST('{SPLIT_DATE}' AS TIMESTAMP) AND o.o_orderdate <= CAST('{NEXT_DATE}' AS TIMESTAMP)
+  AND o.o_custkey NOT IN (SELECT o_custkey FROM orders
+                          WHERE o_orderdate <= CAST('{SPLIT_DATE}' AS TIMESTAMP)
+                            AND o_custkey IS NOT NULL)""")
+def new_members_q(spark, sf_dir):
+    """Customers first seen in the increment (left anti join against
+    the members known before it)."""
+    o = read_table(spark, sf_dir, "orders")
+    known = o.filter(F.col("o_orderdate") <= F.lit(SPLIT_DATE).cast("timestamp_ntz"))
+    inc = read_increment(o, "o_orderdate", F.lit(SPLIT_DATE).cast("timestamp_ntz"),
+                         F.lit(NEXT_DATE).cast("timestamp_ntz"))
+    new = new_members(inc, known, "o_custkey")
+    c = read_table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_name")
+    return new.join(c, "o_custkey")
+
+
+@register("changed_members", f"""
+WITH before AS (
+  SELECT o_custkey, arg_max(o_orderpriority, {{'d': o_orderdate, 'k': o_orderkey}}) AS p,
+         arg_max(o_orderstatus, {{'d': o_orderdate, 'k': o_orderkey}}) AS s
+  FROM orders WHERE o_orderdate <= CAST('{SPLIT_DATE}' AS TIMESTAMP) GROUP BY 1),
+inc AS (
+  SELECT o_custkey, arg_max(o_orderpriority, {{'d': o_orderdate, 'k': o_orderkey}}) AS p,
+         arg_max(o_orderstatus, {{'d': o_orderdate, 'k': o_orderkey}}) AS s
+  FROM orders WHERE o_orderdate > CAST('{SPLIT_DATE}' AS TIMESTAMP)
+    AND o_orderdate <= CAST('{NEXT_DATE}' AS TIMESTAMP) GROUP BY 1)
+SELECT i.o_custkey, b.p AS old_priority, b.s AS old_status, i.p AS new_priority,
+       i.s AS new_status
+FROM inc i JOIN before b ON i.o_custkey = b.o_custkey
+WHERE b.p IS DISTINCT FROM i.p OR b.s IS DISTINCT FROM i.s""")
+def changed_members(spark, sf_dir):
+    """Members whose tracked attributes differ (NULL-safe) between their
+    last state before the increment and their last state inside it."""
+    o = read_table(spark, sf_dir, "orders").select(
+        "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_orderkey")
+    order = [("o_orderdate", True), ("o_orderkey", True)]
+    before = keep_best(o.filter(F.col("o_orderdate") <= F.lit(SPLIT_DATE).cast("timestamp_ntz")),
+                       ["o_custkey"], order)
+    inc = keep_best(read_increment(o, "o_orderdate", F.lit(SPLIT_DATE).cast("timestamp_ntz"),
+                                   F.lit(NEXT_DATE).cast("timestamp_ntz")), ["o_custkey"], order)
+    b = before.select("o_custkey", F.col("o_orderpriority").alias("old_priority"),
+                      F.col("o_orderstatus").alias("old_status"))
+    i = inc.select("o_custkey", F.col("o_orderpriority").alias("new_priority"),
+                   F.col("o_orderstatus").alias("new_status"))
+    j = i.join(b, "o_custkey")
+    changed = (~F.col("old_priority").eqNullSafe(F.col("new_priority"))) | \
+        (~F.col("old_status").eqNullSafe(F.col("new_status")))
+    return j.filter(changed).select("o_custkey", "old_priority", "old_status",
+                                    "new_priority", "new_status")
+
+
+# ------------------------------------------------------------ fact / star
+def gold(spark, sf_dir):
+    t = ticks(spark, sf_dir)
+    empty = spark.createDataFrame
+    return gold_frames(silver_5min(t), silver_1hr(t), empty([], DIM_DATE_SCHEMA),
+                       empty([], DIM_AIRLINE_SCHEMA), empty([], DIM_FLIGHT_SCHEMA), RUN_TS)
+
+
+SQL_GOLD = f"""fl AS (SELECT flight_number, strftime(min(CAST(window_start AS DATE)), '%Y-%m-%d') AS eff,
+                  arg_min(route_id, window_start) AS route_id
+           FROM silver5 GROUP BY 1),
+flk AS (SELECT *, CAST(1999 + row_number() OVER (ORDER BY flight_number, eff) AS INTEGER) AS flight_key
+        FROM fl),
+al AS (SELECT airline_code, min(airline_name) AS airline_name,
+              CAST(999 + row_number() OVER (ORDER BY airline_code) AS INTEGER) AS airline_key
+       FROM silver5 GROUP BY airline_code),
+fact AS (
+  SELECT flk.flight_key, al.airline_key, CAST(strftime(s.window_start, '%Y%m%d') AS INTEGER) AS date_key,
+         s.window_start, s.window_end, s.avg_price_usd, s.min_price_usd, s.max_price_usd,
+         s.message_count, s.is_anomaly, s.z_score, '{RUN_TS}' AS created_at
+  FROM scored s
+  LEFT JOIN flk ON s.flight_number = flk.flight_number AND flk.eff <= strftime(s.window_start, '%Y-%m-%d')
+  LEFT JOIN al ON s.airline_code = al.airline_code)"""
+
+_GOLD_CTES = (SQL_TICKS, SQL_ON_TIME, SQL_SILVER_5MIN, SQL_SILVER_1HR, SQL_SCORED, SQL_GOLD)
+
+
+@register("fact_star_load", with_(*_GOLD_CTES) + "SELECT * FROM fact")
+def fact_star_load(spark, sf_dir):
+    """Dedup -> dims (date, carrier, SCD2 flights) -> score ->
+    fact rows with surrogate keys via three left joins."""
+    return gold(spark, sf_dir).fact
+
+
+@register("star_top_anomalies", with_(*_GOLD_CTES) + """
+SELECT flk.flight_number, al.airline_name, flk.route_id, f.window_start, f.avg_price_usd, f.z_score
+FROM fact f JOIN flk ON f.flight_key = flk.flight_key JOIN al ON f.airline_key = al.airline_key
+WHERE f.is_anomaly
+ORDER BY f.z_score DESC, flk.flight_number, f.window_start LIMIT 10""")
+def star_top_anomalies(spark, sf_dir):
+    """Inner star join fact x flights x carriers, top anomalies."""
+    g = gold(spark, sf_dir)
+    air = g.dim_airlines.select("airline_key", "airline_name")
+    fl = g.dim_flights.filter(F.col("is_current")).select("flight_key", "flight_number", "route_id")
+    j = g.fact.filter(F.col("is_anomaly")).join(fl, "flight_key").join(air, "airline_key")
+    return (j.orderBy(F.col("z_score").desc(), "flight_number", "window_start").limit(10)
+            .select("flight_number", "airline_name", "route_id", "window_start",
+                    "avg_price_usd", "z_score"))
+
+
+@register("cheapest_carrier", with_(*_GOLD_CTES) + f"""
+SELECT al.airline_name, count(*) AS windows,
+       {sql_avg('sum(CAST(round(f.avg_price_usd * 100) AS BIGINT))', 'count(*)')} AS avg_price_usd
+FROM fact f JOIN al ON f.airline_key = al.airline_key
+GROUP BY al.airline_name ORDER BY avg_price_usd, al.airline_name""")
+def cheapest_carrier(spark, sf_dir):
+    """Average window price per carrier over the star join, cheapest
+    first."""
+    g = gold(spark, sf_dir)
+    j = g.fact.join(g.dim_airlines.select("airline_key", "airline_name"), "airline_key")
+    agg = j.groupBy("airline_name").agg(F.count(F.lit(1)).alias("windows"),
+                                        F.sum(to_cents(F.col("avg_price_usd"))).alias("_c"))
+    return agg.select("airline_name", "windows",
+                      avg_usd(F.col("_c"), F.col("windows")).alias("avg_price_usd")) \
+        .orderBy("avg_price_usd", "airline_name")
+
+
+__all__ = ["RUN_TS", "SPLIT_DATE", "NEXT_DATE", "assign_keys"]
