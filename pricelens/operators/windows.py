@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, IntegerType
+from pyspark.sql.types import IntegerType, LongType, TimestampType
 
 from pricelens.functions.money import avg_usd, cents_to_usd, to_cents
 from pricelens.functions.timefn import instant
@@ -17,8 +17,11 @@ from pricelens.functions.timefn import instant
 
 def event_time(df: DataFrame, ts_col: str) -> Column:
     """Timestamp view of an epoch-seconds or timestamp(_ntz) column."""
-    if isinstance(df.schema[ts_col].dataType, (LongType, IntegerType)):
+    t = df.schema[ts_col].dataType
+    if isinstance(t, (LongType, IntegerType)):
         return instant(F.col(ts_col))
+    if isinstance(t, TimestampType):
+        return F.col(ts_col)  # keeps a streaming watermark attached
     return F.col(ts_col).cast("timestamp")
 
 

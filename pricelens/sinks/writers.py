@@ -65,7 +65,6 @@ def upsert_best(spark: SparkSession, updates: DataFrame, path: str, keys: list[s
     reduced with ``keep_best`` and written to a staging folder; the staged
     partitions then replace those of the target (dynamic overwrite).
     Replaying the same batch gives the same table.  Returns rows written."""
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     upd = keep_best(updates, keys, order)
     try:
         target = spark.read.parquet(path)
@@ -79,8 +78,11 @@ def upsert_best(spark: SparkSession, updates: DataFrame, path: str, keys: list[s
     stage = scratch_dir(spark, "upsert")
     out, obs = counted(merged)
     out.write.mode("overwrite").partitionBy(partition).parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").partitionBy(partition).parquet(path)
-    return int(obs.get["rows"])
+    rows = int(obs.get["rows"])
+    if rows:  # an empty batch touches no partition
+        (spark.read.parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+    return rows
 
 
 def read_mark(spark: SparkSession, path: str, pipeline: str, default: str | None) -> str | None:
