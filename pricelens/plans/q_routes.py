@@ -29,10 +29,8 @@ def documents(spark, sf_dir):
     """Schedule rows encoded as nested JSON documents -- plus an extra key,
     ``position``, unknown to the typed schema -- parsed back into VARIANT."""
     s = schedule(spark, sf_dir)
-    doc = schedule_document(s)
-    pos = F.to_json(F.struct(*[F.col(c) for c in SCHEDULE_POSITION]))
-    text = F.concat(F.regexp_replace(doc, r"\}$", ""), F.lit(',"position":'), pos, F.lit("}"))
-    return parse_documents(s.select(text.alias("text")))
+    pos = F.struct(*[F.col(c) for c in SCHEDULE_POSITION])
+    return parse_documents(s.select(schedule_document(s, {"position": pos}).alias("text")))
 
 
 POS_PATHS = [(c, f"$.position.{c}", "int" if c == "pos_linenumber" else "bigint")

@@ -66,8 +66,10 @@ def load_documents(spark: SparkSession, path: str, run_ts: str | None = None,
     return out.withColumn("loaded_at", loaded), bad
 
 
-def schedule_document(df: DataFrame) -> Column:
-    """Nested document of a schedule-view row (S21 JSON encode)."""
+def schedule_document(df: DataFrame, extra: dict[str, Column] | None = None) -> Column:
+    """Nested document of a schedule-view row (S21 JSON encode); ``extra``
+    adds further top-level keys."""
+    more = [c.alias(n) for n, c in (extra or {}).items()]
     return F.to_json(F.struct(
         F.col("flight_date"),
         F.col("flight_status"),
@@ -81,4 +83,5 @@ def schedule_document(df: DataFrame) -> Column:
                  F.lit(None).cast("struct<airline_name:string,flight_iata:string>")
                  .alias("codeshared")).alias("flight"),
         F.col("price_usd"),
+        *more,
     ))

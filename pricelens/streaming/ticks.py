@@ -57,14 +57,13 @@ def _batch_sink(path: str, stamp: bool = True):
 def fixed_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys or ["flight_number"]
     return window_agg(on_time, keys, "event_time", "price_usd", "5 minutes",
-                      attrs=[a for a in ATTRS_5MIN if a not in keys], order_cols=["event_time"])
+                      key_attrs=[a for a in ATTRS_5MIN if a not in keys])
 
 
 def sliding_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
     keys = keys or ["flight_number"]
     return window_agg(on_time, keys, "event_time", "price_usd", "1 hour", "15 minutes",
-                      attrs=[a for a in ATTRS_1HR if a not in keys], order_cols=["event_time"],
-                      minmax=False)
+                      key_attrs=[a for a in ATTRS_1HR if a not in keys], minmax=False)
 
 
 def start_tick_queries(spark: SparkSession, source: str, out: str, checkpoint: str,
