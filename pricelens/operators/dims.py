@@ -183,12 +183,13 @@ def scd2_apply(dim: DataFrame, updates: DataFrame, natural: list[str], tracked:
 def join_point_in_time(fact: DataFrame, dim: DataFrame, natural: list[str], date_col: str,
                        how: str = "left") -> DataFrame:
     """Join each fact row to the version valid on its date:
-    ``effective_date <= date < expiry_date`` (D8); at most one match."""
-    d = dim.withColumnRenamed("effective_date", "_eff").withColumnRenamed("expiry_date", "_exp")
-    cond = [fact[k] == d[k] for k in natural] + [
-        F.col("_eff") <= fact[date_col], fact[date_col] < F.col("_exp")]
-    j = fact.join(d.drop(*[c for c in d.columns if c in fact.columns and c not in natural]),
-                  F.expr("true") if not cond else cond, how)
+    ``effective_date <= date < expiry_date`` (D8); at most one match because
+    a key's versions have disjoint intervals.  Runs as an equi-join on the
+    natural key with the interval test as a join filter."""
+    d = dim.select(*[F.col(k).alias(f"_k_{k}") for k in natural],
+                   *[c for c in dim.columns if c not in natural])
+    cond = F.col(date_col) >= d["effective_date"]
+    cond = cond & (F.col(date_col) < d["expiry_date"])
     for k in natural:
-        j = j.drop(d[k])
-    return j.withColumnRenamed("_eff", "effective_date").withColumnRenamed("_exp", "expiry_date")
+        cond = cond & (fact[k] == d[f"_k_{k}"])
+    return fact.join(d, cond, how).drop(*[f"_k_{k}" for k in natural])
