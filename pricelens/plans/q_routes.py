@@ -10,7 +10,7 @@ from pricelens.functions.lookups import INTERNATIONAL_AIRPORTS, route_type
 from pricelens.functions.timefn import local_to_utc
 from pricelens.operators.dedup import first_per_key, semi_join, top_keys
 from pricelens.plans.catalog import register, schedule, sql_schedule, with_
-from pricelens.sources.documents import (SCHEDULE_PATHS, parse_documents, project_documents,
+from pricelens.sources.documents import (SCHEDULE_PATHS, project_text_documents,
                                          schedule_document)
 from pricelens.sources.tables import read_table
 from pricelens.sources.views import SCHEDULE_POSITION
@@ -26,11 +26,11 @@ def _q(xs):
 
 
 def documents(spark, sf_dir):
-    """Schedule rows encoded as nested JSON documents -- plus an extra key,
-    ``position``, unknown to the typed schema -- parsed back into VARIANT."""
+    """Schedule rows encoded as nested JSON documents, plus an extra key
+    (``position``) that the typed schedule schema does not know."""
     s = schedule(spark, sf_dir)
     pos = F.struct(*[F.col(c) for c in SCHEDULE_POSITION])
-    return parse_documents(s.select(schedule_document(s, {"position": pos}).alias("text")))
+    return s.select(schedule_document(s, {"position": pos}).alias("text"))
 
 
 POS_PATHS = [(c, f"$.position.{c}", "int" if c == "pos_linenumber" else "bigint")
@@ -46,7 +46,7 @@ FROM sched""")
 def json_path_project(spark, sf_dir):
     """Typed projection of nested document paths (three
     levels deep); the unknown ``position`` key is still reachable."""
-    out = project_documents(documents(spark, sf_dir), paths=SCHEDULE_PATHS + POS_PATHS)
+    out = project_text_documents(documents(spark, sf_dir), paths=SCHEDULE_PATHS + POS_PATHS)
     return out.select("flight_date", "flight_status", "departure_iata", "arrival_iata",
                       "departure_scheduled", "airline_name", "airline_iata", "flight_number",
                       "flight_iata", "codeshared_airline", *SCHEDULE_POSITION)
@@ -69,7 +69,7 @@ WHERE coalesce(departure_iata, '') <> '' AND coalesce(arrival_iata, '') <> ''
 def valid_flights(spark, sf_dir):
     """Documents whose six critical nested fields are all present and
     non-empty."""
-    d = project_documents(documents(spark, sf_dir), paths=[
+    d = project_text_documents(documents(spark, sf_dir), paths=[
         ("departure_iata", "$.departure.iata", "string"),
         ("arrival_iata", "$.arrival.iata", "string"),
         ("airline_iata", "$.airline.iata", "string"),

@@ -47,6 +47,41 @@ def parse_documents(texts: DataFrame, text_col: str = "text") -> DataFrame:
     return texts.withColumn("doc", F.try_parse_json(F.col(text_col)))
 
 
+def _paths_ddl(paths) -> str:
+    """Nested struct DDL holding exactly the leaves named by ``paths``
+    (timestamps are read as text and cast, which accepts any ISO offset)."""
+    tree: dict = {}
+    for _, p, t in paths:
+        parts = p[2:].split(".")
+        node = tree
+        for part in parts[:-1]:
+            node = node.setdefault(part, {})
+        node[parts[-1]] = "string" if t == "timestamp" else t
+
+    def ddl(node, top):
+        items = [f"`{k}` {'STRUCT<' + ddl(v, False) + '>' if isinstance(v, dict) else v}"
+                 if top else
+                 f"`{k}`: {'STRUCT<' + ddl(v, False) + '>' if isinstance(v, dict) else v}"
+                 for k, v in node.items()]
+        return ", ".join(items)
+    return ddl(tree, True)
+
+
+def project_text_documents(texts: DataFrame, text_col: str = "text", paths=SCHEDULE_PATHS,
+                           keep: list[str] | None = None) -> DataFrame:
+    """Typed path projection straight from JSON text: one ``from_json`` into
+    a struct holding only the requested paths (a single streaming parse, no
+    per-path re-walk).  ``raw_json`` is the VARIANT of the whole document,
+    unknown keys included; it is pruned away when not selected."""
+    parsed = F.from_json(F.col(text_col), _paths_ddl(paths))
+    base = texts.withColumn("_p", parsed)
+    cols = [F.col(k) for k in (keep or [])]
+    cols += [F.col("_p." + ".".join(f"`{x}`" for x in p[2:].split("."))).cast(t).alias(n)
+             for n, p, t in paths]
+    cols.append(F.try_parse_json(F.col(text_col)).alias("raw_json"))
+    return base.select(*cols)
+
+
 def load_documents(spark: SparkSession, path: str, run_ts: str | None = None,
                    glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
     """(rows, bad_files) from a folder of JSON-array files."""
