@@ -303,3 +303,25 @@ def cheapest_carrier(spark, sf_dir):
 
 
 __all__ = ["RUN_TS", "SPLIT_DATE", "NEXT_DATE", "assign_keys"]
+
+
+@register("weekend_morning_prices", with_(*_GOLD_CTES) + f"""
+SELECT flk.route_id, count(*) AS windows,
+       {sql_avg('sum(CAST(round(f.avg_price_usd * 100) AS BIGINT))', 'count(*)')} AS avg_price_usd
+FROM fact f JOIN flk ON f.flight_key = flk.flight_key
+WHERE isodow(f.window_start) >= 6 AND hour(f.window_start) BETWEEN 6 AND 11
+  AND month(f.window_start) = 1
+GROUP BY flk.route_id""")
+def weekend_morning_prices(spark, sf_dir):
+    """E24: "cheapest on weekend mornings in January" -- fact x dim_date
+    (weekend flag, month) x current flights, morning hours of the window."""
+    g = gold(spark, sf_dir)
+    dd = g.dim_date.select("date_key", "is_weekend", "month")
+    fl = g.dim_flights.filter(F.col("is_current")).select("flight_key", "route_id")
+    j = (g.fact.join(dd, "date_key").join(fl, "flight_key")
+         .filter(F.col("is_weekend") & (F.col("month") == 1)
+                 & F.hour("window_start").between(6, 11)))
+    agg = j.groupBy("route_id").agg(F.count(F.lit(1)).alias("windows"),
+                                    F.sum(to_cents(F.col("avg_price_usd"))).alias("_c"))
+    return agg.select("route_id", "windows",
+                      avg_usd(F.col("_c"), F.col("windows")).alias("avg_price_usd"))
