@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from pricelens.session import scratch_dir
 
-PART_BYTES = 16_000_000  # of an Arrow batch that is worked on at a time
+PART_BYTES = 8_000_000  # of an Arrow batch that is worked on at a time
 
 
 def text_bytes(column: pa.Array) -> list[bytes]:

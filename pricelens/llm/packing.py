@@ -19,48 +19,87 @@ one doc_id) are separate documents.  An empty table gives no pieces.
 from __future__ import annotations
 
 import math
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, LongType, StructType
 
-from pricelens.llm.common import by_size, fields, kind_of, map_rows, pick, staged, text_bytes
+from pricelens.llm.common import fields, kind_of, map_rows, pick, staged
+from pricelens.llm.token_counts import byte_symbols
 
-CACHE_WORDS = 300_000
-GROUP_BYTES = 2_000_000  # of texts whose new words are encoded together
+CACHE_WORDS = 500_000
 GROUP_SEQUENCES = 2_000
 GROUP_PIECES = 50_000
+_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")  # characters that the normaliser only lower-cases
+_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")  # the vocabulary's own pattern, on those
 
 
 class Encoder:
     """Ids of a text, as the tokenizers library gives them.  White space never
-    reaches a pre-token, so each distinct word is encoded once and kept."""
+    reaches a pre-token, so each distinct word is encoded once and kept.
+    Words of printable ASCII and Latin-1 letters are only lower-cased and
+    split here, and the library's model encodes each of their pre-tokens
+    once; any other word goes through the whole tokenizer."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        symbols = byte_symbols()
+        self.as_symbols = {c: "".join(symbols[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
         self.ids: dict[bytes, bytes] = {}
-
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        new = set().union(*split).difference(self.ids)
-        if len(self.ids) + len(new) > CACHE_WORDS:
+        self.pre: dict[str, bytes] = {}
+
+    def encode_piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else piece.translate(self.as_symbols)
+        return struct.pack(f"<{len(ids)}I", *ids) if len(ids := [t.id for t in self.model.tokenize(symbols)]) > 1 else ids[0].to_bytes(4, "little")
+
+    def learn(self, words: set[bytes]) -> None:
+        other = []
+        for w in words:
+            text = w.decode("utf-8", "replace")
+            if not _PLAIN.fullmatch(text) or "<|" in text:
+                other.append((w, text))
+                continue
+            pieces = _PIECES.findall(text.lower())
+            for piece in pieces:
+                if piece not in self.pre:
+                    self.pre[piece] = self.encode_piece(piece)
+            self.ids[w] = b"".join(map(self.pre.__getitem__, pieces))
+        found = self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)
+        self.ids.update((w, np.array(e.ids, "<u4").tobytes()) for (w, _), e in zip(other, found, strict=True))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text (a string array without nulls)."""
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.values.dictionary_encode()
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        if len(self.ids) > CACHE_WORDS:
             self.ids = {}
-            new = set().union(*split)
-        words = list(new)
-        for k in range(0, len(words), 20_000):
-            part = words[k:k + 20_000]
-            found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(part, found, strict=True))
-        for words in split:
-            yield b"".join(map(self.ids.__getitem__, words))
+        if len(self.pre) > CACHE_WORDS:
+            self.pre = {}
+        self.learn(set(words).difference(self.ids))
+        found = list(map(self.ids.__getitem__, words))
+        flat = np.frombuffer(b"".join(found), "<u4")
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(size) - size
+        word = coded.indices.to_numpy()  # the distinct word at each place
+        sizes = size[word]
+        ends = np.cumsum(sizes)
+        ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[word] - (ends - sizes), sizes)]
+        before = np.concatenate([[0], ends])
+        off = lists.offsets.to_numpy()
+        for a, z in zip(before[off[:-1]].tolist(), before[off[1:]].tolist(), strict=True):
+            yield ids[a:z]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -73,25 +112,20 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(path: str, texts: list[bytes], end_id: int) -> Iterator[bytes]:
-    end = np.array([end_id], "<u4").tobytes()
-    for group in by_size(texts, GROUP_BYTES):
-        for ids in encoder(path).encode(group):
-            yield ids + end
-
-
 def piece_table(df: DataFrame, path: str, capacity: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every row."""
 
     def run(batch: pa.RecordBatch) -> dict:
         row, piece, start, length, crc = [], [], [], [], []
-        for i, ids in enumerate(encoded(path, text_bytes(batch["text"]), end_id)):
-            for k, at in enumerate(range(0, len(ids) // 4, capacity)):
-                part = ids[4 * at:4 * (at + capacity)]
+        end = np.array([end_id], "<u4")
+        for i, ids in enumerate(encoder(path).encode(pc.fill_null(batch["text"].cast(pa.string()), ""))):
+            ids = np.concatenate([ids, end])
+            for k, at in enumerate(range(0, len(ids), capacity)):
+                part = ids[at:at + capacity]
                 row.append(i)
                 piece.append(k)
                 start.append(at)
-                length.append(len(part) // 4)
+                length.append(len(part))
                 crc.append(zlib.crc32(part))
         return {"doc_id": batch["doc_id"].take(pa.array(row, pa.int64())), "piece": piece, "start": start, "length": length, "ids_crc32": crc}
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricelens.llm import decontaminate, packing, simhash, substring_dedup, token_counts
+from pricelens.llm import decontaminate, packing, quality_ordinal, quality_rules, secrets, simhash, substring_dedup, token_counts, toxicity, warc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -36,8 +36,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=4096, end_id=1)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(documents, toxicity.train(documents, labels))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_rules.judge(documents, quality_rules.train(documents, labels))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return secrets.digest(secrets.scan(documents, secrets.train(secrets.samples(documents, labels))))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_ordinal.score(documents, quality_ordinal.train(documents, labels, quality_ordinal.grade_of(), grades=3), wanted=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op3_simhash_dedup, op5_decontaminate, op8_substring_dedup, op10_packing)}
+    return {f.__name__: f for f in (op1_toxicity, op2_token_counts, op3_simhash_dedup, op4_warc, op5_decontaminate, op6_quality_rules,
+                                    op7_secrets, op8_substring_dedup, op9_quality_classifier, op10_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
