@@ -9,10 +9,11 @@ not.  At each such factor boundary the windows that cross it are looked up by
 themselves, so a repeat that spans two factors is not missed.  Factors are a
 window long at least; the words they cover are duplicate spans.
 
-Most windows occur once and never leave their task: a window's seed is the
-SEED consecutive words with the least scrambled hash inside it, equal windows
-have equal seeds, and only windows whose seed occurs more than once in the
-corpus are sent to the index.
+A text that equals one of a smaller doc_id is one factor as a whole, and is
+left out of the rest.  Of the other windows most occur once and never leave
+their task: a window's seed is the SEED consecutive words with the least
+scrambled hash inside it, equal windows have equal seeds, and only windows
+whose seed occurs more than once in the corpus are sent to the index.
 
 Words are runs without ASCII white space, unchanged.  Null texts have none.
 Rows that share a doc_id are told apart by text: an identical repeat of a row
@@ -32,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from pricelens.llm.common import fields, kind_of, map_rows, mix, pick, rolling, text_bytes, word_hashes
+from pricelens.llm.common import fields, kind_of, map_rows, mix, pick, rolling, staged, text_bytes, word_hashes
 
 WINDOW = 20
 SEED = 5
 PART = 200_000
+ALL = 1 << 40  # windows of a whole text
 KNOWN, TELLS = 1, 2  # a seed row that needs no meeting; one that stands for a batch
 BASES = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd multipliers of the two halves of a window's fingerprint
 
@@ -89,7 +91,20 @@ def seed_counts(text: bytes, window: int, seed: int) -> tuple[np.ndarray, np.nda
 
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, version (tells rows of one doc_id apart by text), text."""
-    return pick(df, doc_id=id_col, text=text_col).select("doc_id", F.hash("text").alias("version"), "text")
+    return pick(df, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64("text").alias("version"), "text")
+
+
+def whole_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, version, src_doc of the rows whose text a smaller doc_id has."""
+    same = ["version", "more", "size"]
+    rows = docs.select("doc_id", "version", F.hash("text").alias("more"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    first = rows.groupBy(*same).agg(F.min("doc_id").alias("src_doc"))
+    return rows.join(first, same).where(~F.col("doc_id").eqNullSafe(F.col("src_doc"))).select("doc_id", "version", "src_doc").distinct()
+
+
+def without(rows: DataFrame, more: DataFrame) -> DataFrame:
+    gone = more.select(F.col("doc_id").alias("doc_id2"), F.col("version").alias("version2"))
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["doc_id2"]) & (rows["version"] == gone["version2"]), "left_anti")
 
 
 def beside(docs: DataFrame, more: DataFrame, name: str, how: str) -> DataFrame:
@@ -101,45 +116,58 @@ def beside(docs: DataFrame, more: DataFrame, name: str, how: str) -> DataFrame:
 
 def repeated_seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """doc_id, version, seeds: those of the document's seeds that occur more
-    than once in the corpus.  What repeats inside a batch is known at once and
-    needs no meeting: such rows are dealt anywhere, and one row for the batch
-    tells the seed's partition.  So a hot seed sends a row per batch there."""
+    than once among different texts of the corpus.  What repeats inside a batch
+    is known at once and needs no meeting: such rows are dealt anywhere, and
+    one row for the batch tells the seed's partition.  So a hot seed sends a
+    row per batch there, and a text of many copies too.  Of equal texts only
+    the row of the smallest doc_id is sure to be kept."""
     kind = kind_of(docs, "doc_id")
-    schema = fields(deal=LongType(), seed=LongType(), known=IntegerType(), doc_id=kind, version=IntegerType())
+    schema = fields(deal=LongType(), seed=LongType(), known=IntegerType(), doc_id=kind, version=LongType())
 
     def rows_of(batch: pa.RecordBatch) -> dict:
-        found = [seed_counts(t, window, seed) for t in text_bytes(batch["text"])]
-        at = np.repeat(np.arange(len(found)), [len(s) for s, _ in found])
+        version = batch["version"].to_numpy()
+        order = np.lexsort((ranks(batch["doc_id"]), version))
+        rows = np.sort(order[np.r_[True, version[order][1:] != version[order][:-1]]])  # the least doc_id of each text
+        texts = text_bytes(batch["text"].take(pa.array(rows)))
+        found = [seed_counts(t, window, seed) for t in texts]
+        at = np.repeat(rows, [len(s) for s, _ in found])
         value = np.concatenate([s for s, _ in found])
-        n = np.concatenate([c for _, c in found])
         unique, back = np.unique(value, return_inverse=True)
-        known = np.bincount(back, n, len(unique)) > 1
+        known = np.bincount(back, np.concatenate([c for _, c in found]), len(unique)) > 1
         told = unique[known]
-        deal = np.where(known[back], mix(value ^ mix(np.arange(len(value), dtype=np.uint64))), value)
-        rows = pa.array(np.concatenate([at, np.full(len(told), -1)]), pa.int64(), mask=np.arange(len(at) + len(told)) >= len(at))
-        return {"deal": np.concatenate([deal, told]).view(np.int64), "seed": np.concatenate([value, told]).view(np.int64),
+        spread = mix(value ^ mix(np.arange(len(value), dtype=np.uint64)))
+        take = pa.array(np.concatenate([at, np.full(len(told), -1)]), pa.int64(), mask=np.arange(len(at) + len(told)) >= len(at))
+        return {"deal": np.concatenate([np.where(known[back], spread, value), told]).view(np.int64), "seed": np.concatenate([value, told]).view(np.int64),
                 "known": np.concatenate([known[back].astype(np.int32), np.full(len(told), TELLS, np.int32)]),
-                "doc_id": batch["doc_id"].take(rows), "version": batch["version"].take(rows)}
+                "doc_id": batch["doc_id"].take(take), "version": np.concatenate([version[at], np.zeros(len(told), np.int64)])}
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, before = None, None  # the last row, and the seed of the row before it
+        """Sorted by seed and text: rows whose seed has another text's row beside it."""
+        held, before = None, None  # the last row that counts, and the seed of the one before it
         for batch in batches:
-            if not batch.num_rows:
-                continue
+            known = batch["known"].to_numpy()
+            yield batch.filter(pa.array(known == KNOWN)).select(out)
+            batch = batch.filter(pa.array(known != KNOWN))
             batch = batch if held is None else joined(held, batch)
-            s = batch["seed"].to_numpy()
+            s, v, k = (batch[c].to_numpy() for c in ("seed", "version", "known"))
+            if not len(s):
+                continue
+            first = np.r_[True, (s[1:] != s[:-1]) | (v[1:] != v[:-1]) | (k[1:] != k[:-1])]
+            batch, s = batch.filter(pa.array(first)), s[first]
             same = np.r_[before is not None and s[0] == before, s[1:] == s[:-1]]
-            yield told_apart(batch.slice(0, len(s) - 1), same[:-1] | same[1:])
-            held, before = batch.slice(len(s) - 1), s[-2] if len(s) > 1 else before
+            last = len(s) - 1
+            yield told_apart(batch.slice(0, last), same[:-1] | same[1:])
+            held, before = batch.slice(last), s[last - 1] if last else before
         if held is not None:
             yield told_apart(held, np.array([before is not None and held["seed"][0].as_py() == before]))
 
     def told_apart(batch: pa.RecordBatch, same: np.ndarray) -> pa.RecordBatch:
-        known = batch["known"].to_numpy()
-        return batch.filter(pa.array((known == KNOWN) | (same & (known != TELLS)))).select(["doc_id", "version", "seed"])
+        return batch.filter(pa.array(same & (batch["known"].to_numpy() != TELLS))).select(out)
 
-    dealt = map_rows(docs, rows_of, schema).repartition("deal").sortWithinPartitions("seed")
-    met = dealt.mapInArrow(meet, fields(doc_id=kind, version=IntegerType(), seed=LongType()))
+    out = ["doc_id", "version", "seed"]
+    order = ["seed", "version", "known", F.col("doc_id").asc_nulls_last()]
+    dealt = map_rows(docs, rows_of, schema).repartition("deal").sortWithinPartitions(*order)
+    met = dealt.mapInArrow(meet, fields(doc_id=kind, version=LongType(), seed=LongType()))
     return met.groupBy("doc_id", "version").agg(F.collect_set("seed").alias("seeds"))
 
 
@@ -179,9 +207,11 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
     """doc_id, version, start, n, src_doc, src_start: n windows from ``start``
     on that also stand, one after the other, from an earlier place on."""
     kind = kind_of(docs, "doc_id")
-    picked = beside(docs, repeated_seeds(docs, window, seed), "seeds", "inner")
-    out = fields(doc_id=kind, version=IntegerType(), start=LongType(), n=LongType(), src_doc=kind, src_start=LongType())
-    schema = StructType([StructField("h1", LongType()), StructField("h2", LongType()), *out.fields])
+    whole = staged(whole_copies(docs), "copies")
+    wanted = without(repeated_seeds(docs, window, seed), whole)
+    picked = beside(docs, wanted, "seeds", "inner")
+    out = fields(doc_id=kind, version=LongType(), start=LongType(), n=LongType(), src_doc=kind, src_start=LongType())
+    schema = StructType([StructField("h1", LongType()), StructField("h2", IntegerType()), *out.fields])
 
     def rows_of(batch: pa.RecordBatch) -> dict:
         """Windows of one batch: the first of equal ones goes to the index,
@@ -192,6 +222,7 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
         found = [window_hashes(t, value[a:z], window, seed) for t, a, z in zip(text_bytes(batch["text"]), off[:-1], off[1:], strict=True)]
         row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
         start, h1, h2 = (np.concatenate([f[k] for f in found]) for k in range(3))
+        h2 >>= np.uint64(32)  # 96 bits in all
         rank = ranks(batch["doc_id"])[row]
         order = np.lexsort((start, rank, h2, h1))
         row, start, h1, h2, rank = (c[order] for c in (row, start, h1, h2, rank))
@@ -207,10 +238,11 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
         n = np.diff(np.r_[head, len(place)])
         at, src = place[head], src[head]
         ask = np.flatnonzero(~late)
+        ask = ask[np.lexsort((start[ask], row[ask]))]  # neighbours share most bytes, so they pack well
         rows = np.concatenate([row[ask], row[at]])
         source = pa.array(np.concatenate([row[ask], row[src]]), pa.int64(), mask=np.arange(len(rows)) < len(ask))
         spread = mix(mix(np.arange(len(at), dtype=np.uint64)) ^ h1[at])  # settled rows are dealt anywhere
-        return {"h1": np.concatenate([h1[ask], spread]).view(np.int64), "h2": np.concatenate([h2[ask], h2[at]]).view(np.int64),
+        return {"h1": np.concatenate([h1[ask], spread]).view(np.int64), "h2": np.concatenate([h2[ask], h2[at]]).astype(np.uint32).view(np.int32),
                 "doc_id": batch["doc_id"].take(pa.array(rows)), "version": batch["version"].take(pa.array(rows)),
                 "start": np.concatenate([start[ask], start[at]]), "n": np.concatenate([np.zeros(len(ask), np.int64), n]),
                 "src_doc": batch["doc_id"].take(source), "src_start": np.concatenate([np.zeros(len(ask), np.int64), start[src]])}
@@ -239,10 +271,11 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
             held = batch.slice(int(entry[-1]), 1)
 
     order = [F.col("h1"), F.col("h2"), F.col("doc_id").asc_nulls_last(), F.col("start")]
-    return map_rows(picked, rows_of, schema).repartition("h1").sortWithinPartitions(*order).mapInArrow(look_up, out)
+    found = map_rows(picked, rows_of, schema).repartition("h1").sortWithinPartitions(*order).mapInArrow(look_up, out)
+    return found.union(whole.select("doc_id", "version", F.lit(0).cast("long"), F.lit(ALL).cast("long"), "src_doc", F.lit(0).cast("long")))
 
 
-def factors_of(found: list[dict] | None, window: int) -> list[tuple[int, int, object, int]]:
+def factors_of(found: list[dict] | None, n_words: int, window: int) -> list[tuple[int, int, object, int]]:
     """(first word, words, source document, first word there) of each factor: the greedy parse."""
     out: list[list] = []
     for f in sorted(found or [], key=lambda f: f["start"]):
@@ -250,7 +283,7 @@ def factors_of(found: list[dict] | None, window: int) -> list[tuple[int, int, ob
             out[-1][1] += f["n"]
         else:
             out.append([f["start"], f["n"], f["src_doc"], f["src_start"]])
-    return [(a, n + window - 1, doc, at) for a, n, doc, at in out]
+    return [(a, min(n + window - 1, n_words - a), doc, at) for a, n, doc, at in out if n_words >= window]
 
 
 def parse(df: DataFrame, window: int = WINDOW, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,7 +300,7 @@ def parse(df: DataFrame, window: int = WINDOW, seed: int = SEED, id_col: str = "
         n, removed, kept, factors = [], [], [], []
         for text, found in zip(text_bytes(batch["text"]), batch["found"].to_pylist(), strict=True):
             words = text.split()
-            parsed = factors_of(found, window)
+            parsed = factors_of(found, len(words), window)
             left, edge = words, 0
             if parsed:
                 left = []
