@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -69,6 +69,24 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: Struct
     return df.mapInArrow(run, schema)
 
 
+def keep_rows(df: DataFrame, mask: Callable[[list[bytes]], np.ndarray], text_col: str = "text") -> DataFrame:
+    """The rows, all columns as they are, whose text the mask keeps."""
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield part.filter(pa.array(mask(text_bytes(part.column(at))), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
+def row_key(id_col: str, text_col: str) -> list[Column]:
+    """96 bits that tell rows apart by id and text (never null): k1, k2."""
+    parts = [F.col(f"`{id_col}`").isNull(), F.col(f"`{id_col}`"), F.col(f"`{text_col}`").isNull(), F.col(f"`{text_col}`")]
+    return [F.xxhash64(*parts).alias("k1"), F.hash(*parts).alias("k2")]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts the lineage
     and survives lost executors."""

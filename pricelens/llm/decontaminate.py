@@ -7,24 +7,23 @@ over " word word ... "; each normalised text is scanned once.  Matches are
 mapped back by word index to character offsets of the original text.
 
 Null texts have no words.  Items without words make no window.  Repeated item
-ids count once; items with a null id are left out of n_items' list but their
-windows still mark words (they count in n_items as the id "null").  The
-benchmark is read in shards of at most ``SHARD_BYTES`` of text, one automaton
+ids count once, and a null id counts as the id "null".  The benchmark is read in shards of at most ``SHARD_BYTES`` of text, one automaton
 each, so a task's memory is bounded however large the benchmark grows.
 """
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
-from pricelens.llm.common import fields, kind_of, map_rows, pick, text_bytes
+from pricelens.llm.common import fields, keep_rows, kind_of, map_rows, pick, text_bytes
 
 SHARD_BYTES = 8_000_000
 WINDOW = 10
@@ -107,6 +106,18 @@ def shards(benchmark: DataFrame, id_col: str, text_col: str) -> list[list[tuple[
     return parts
 
 
+def sent(benchmark: DataFrame, id_col: str, text_col: str) -> list[Broadcast]:
+    sc = benchmark.sparkSession.sparkContext
+    return [sc.broadcast({"key": uuid.uuid4().hex, "items": p}) for p in shards(benchmark, id_col, text_col)]
+
+
+def clean(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents, all columns as they are, in which no window of any item occurs."""
+    for part in sent(benchmark, item_col, item_text_col):
+        documents = keep_rows(documents, lambda texts, part=part: np.array([not scan(built(part, size), t)[1].any() for t in texts], bool), text_col)
+    return documents
+
+
 SPANS = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
 
 
@@ -114,10 +125,7 @@ def find(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col:
          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_hit, items (sorted as strings), spans (character
     offsets of the runs of hit words in the original text) for every row."""
-    import uuid
-
-    sc = documents.sparkSession.sparkContext
-    parts = [sc.broadcast({"key": uuid.uuid4().hex, "items": p}) for p in shards(benchmark, item_col, item_text_col)]
+    parts = sent(benchmark, item_col, item_text_col)
     row = fields(doc_id=kind_of(documents, id_col), n_words=LongType(), n_hit=LongType(), items=ArrayType(StringType()), spans=SPANS)
     if len(parts) == 1:
         only = parts[0]
@@ -159,7 +167,3 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
-
-
-def sha256_of(items: list[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

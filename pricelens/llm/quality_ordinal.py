@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, FloatType, IntegerType
 
-from pricelens.llm.common import fields, kind_of, map_rows, pick, text_bytes
+from pricelens.llm.common import fields, keep_rows, kind_of, map_rows, pick, text_bytes
 from pricelens.llm.labelled import Adam, Sparse, bounded, labelled_texts, sigmoid
 
 SAMPLE_ROWS = 2_500  # of each grade
@@ -144,3 +144,8 @@ def score(df: DataFrame, model: Ordinal, wanted: int = 1, at_least: float = 0.5,
 
     schema = fields(doc_id=kind_of(df, id_col), expected_grade=DoubleType(), tail=DoubleType(), kept=BooleanType())
     return map_rows(pick(df, doc_id=id_col, text=text_col), run, schema)
+
+
+def keep(df: DataFrame, model: Ordinal, wanted: int = 1, at_least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows, all columns as they are, that score() keeps."""
+    return keep_rows(df, lambda texts: score_batch(model, texts, wanted)[1] >= at_least, text_col)

@@ -133,3 +133,16 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.when((s["start"] >= acc["at"]), gap).otherwise("")).alias("out"))
 
     return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
+
+
+def redact(df: DataFrame, table: list[float], text_col: str = "text", length_col: str | None = None) -> DataFrame:
+    """The rows with every span masked, all other columns as they are (but for
+    ``length_col``, counted again where the text has changed)."""
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    found = with_spans(rows, table).withColumn("changed", F.size("found") > 0)
+    found = found.withColumn("masked", F.when(F.col("changed"), redacted(F.col("text"), F.col("found"))))
+    new = {text_col: F.when(F.col("changed"), F.col("masked")).otherwise(F.col(f"row.`{text_col}`"))}
+    if length_col:
+        old = F.col(f"row.`{length_col}`")
+        new[length_col] = F.when(F.col("changed"), F.length("masked").cast(df.schema[length_col].dataType)).otherwise(old)
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in df.columns])

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
-from pricelens.llm.common import fields, kind_of, map_rows, pick, staged, text_bytes
+from pricelens.llm.common import fields, kind_of, map_rows, row_key, staged, text_bytes
 from pricelens.llm.graph import connected_components
 
 BITS = 64
@@ -62,8 +62,10 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(df: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    schema = fields(doc_id=kind_of(df, id_col), fp=LongType())
-    return map_rows(pick(df, doc_id=id_col, text=text_col), lambda b: {"doc_id": b["doc_id"], "fp": [fingerprint(t, shingle) for t in text_bytes(b["text"])]}, schema)
+    """doc_id, k1, k2 (the row's key) and fp of every row."""
+    rows = df.select(F.col(f"`{id_col}`").alias("doc_id"), *row_key(id_col, text_col), F.col(f"`{text_col}`").alias("text"))
+    schema = fields(doc_id=kind_of(df, id_col), k1=LongType(), k2=IntegerType(), fp=LongType())
+    return map_rows(rows, lambda b: {"doc_id": b["doc_id"], "k1": b["k1"], "k2": b["k2"], "fp": [fingerprint(t, shingle) for t in text_bytes(b["text"])]}, schema)
 
 
 def layout(segments: int) -> list[tuple[int, int]]:
@@ -210,16 +212,32 @@ def links(distinct: DataFrame, distance: int = DISTANCE, segments: int | None =
     return ready.mapInArrow(run, fields(u=LongType(), v=LongType()))
 
 
-def components(df: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id of every row."""
-    prints = staged(fingerprints(df, shingle, id_col, text_col), "fingerprints")
+def classes(prints: DataFrame, distance: int) -> DataFrame:
+    """fp, component (a fingerprint of it) and least (doc_id) for every distinct fingerprint."""
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
     joined = connected_components(links(nodes.select("fp"), distance)).withColumnRenamed("node", "fp")
-    nodes = nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return nodes.join(joined, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
+def components(df: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, fp, component_id (the least doc_id reachable) of every row."""
+    prints = staged(fingerprints(df, shingle, id_col, text_col), "fingerprints")
+    nodes = classes(prints, distance)
     names = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     named = nodes.join(names, "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def representatives(df: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, all columns as they are: that of the least
+    doc_id (a null one only if there is no other); of repeated rows one."""
+    prints = staged(fingerprints(df, shingle, id_col, text_col), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2")
+    best = prints.groupBy("fp").agg(F.min(order).alias("best")).join(classes(prints, distance).select("fp", "component"), "fp")
+    stay = best.groupBy("component").agg(F.min("best").alias("best")).select(F.col("best.k1").alias("k1"), F.col("best.k2").alias("k2"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *row_key(id_col, text_col))
+    return rows.dropDuplicates(["k1", "k2"]).join(stay, ["k1", "k2"], "left_semi").select("row.*")
+
+
 def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
