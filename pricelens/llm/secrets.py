@@ -3,7 +3,8 @@
 Base kinds are found by their patterns.  Beyond them, long runs of identifier
 characters are judged by two character Markov models, one of random strings
 and one of ordinary identifiers: the log-likelihood ratio of the run's
-transitions must reach ``MIN_RATIO`` in sum and ``MIN_MEAN`` a character.
+transitions must reach ``MIN_RATIO`` in sum and ``MIN_MEAN`` a character, and
+the run must have ``MIN_DISTINCT`` different characters (rules of dashes don't).
 Both models are counted from labelled samples: (string, label) rows.
 
 Offsets come from the lengths of what stands between the matches (split) and
@@ -16,6 +17,7 @@ Null texts are empty.  Offsets are code points, the end exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,33 +32,52 @@ HEX = "[0-9a-f]{24,}"
 RUN = "[A-Za-z0-9+/_=-]{20,}"
 KINDS = ["assign", "access", "hex", "markov"]
 MIN_ASSIGNED = 6
-MIN_RATIO, MIN_MEAN = 10.0, 0.3
+MIN_RATIO, MIN_MEAN, MIN_DISTINCT = 10.0, 0.3, 8
 SAMPLE_DOCUMENTS, SAMPLE_RANDOM = 400, 2_000
 BLOCK = 64
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value evaluated once however often it is used
+    (a column inside a lambda is evaluated for every element)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda acc, x: acc + x)
+
+
 def sums_before(lengths: Column) -> Column:
     """For each place the sum of the lengths before it, by blocks, so that m
     lengths take about 64 m + (m / 64)^2 additions."""
-    n = F.size(lengths)
-    total = lambda a: F.aggregate(a, F.lit(0), lambda acc, x: acc + x)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / F.lit(BLOCK)).cast("int")), lambda b: total(F.slice(lengths, b * BLOCK + 1, F.lit(BLOCK))))
-    before = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / F.lit(BLOCK)).cast("int")), lambda b: total(F.slice(blocks, F.lit(1), b)))
-    return F.transform(lengths, lambda _, i: F.get(before, F.floor(i / F.lit(BLOCK)).cast("int")) + total(F.slice(lengths, (F.floor(i / F.lit(BLOCK)) * BLOCK + 1).cast("int"), i % BLOCK)))
+    def block(i):
+        return F.floor(i / F.lit(BLOCK)).cast("int")
+
+    def summed(lens):
+        blocks = F.sequence(F.lit(0), block(F.size(lens)))
+        each = F.transform(blocks, lambda b: total(F.slice(lens, b * BLOCK + 1, F.lit(BLOCK))))
+        return let(each, lambda sums: let(F.transform(blocks, lambda b: total(F.slice(sums, F.lit(1), b))), lambda before: F.transform(
+            lens, lambda _, i: F.get(before, block(i)) + total(F.slice(lens, block(i) * BLOCK + 1, i % BLOCK)))))
+
+    return let(lengths, summed)
 
 
 def matches(text: str, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Spans of the pattern's matches whose ``group`` has ``least`` characters."""
-    lit = F.lit(pattern)
-    gaps = F.slice(F.transform(F.split(text, pattern, -1), lambda s: F.length(s)), 1, F.size(F.regexp_extract_all(text, lit, F.lit(0))))
-    sizes = F.transform(F.regexp_extract_all(text, lit, F.lit(0)), lambda s: F.length(s))
-    ends = F.zip_with(gaps, sizes, lambda g, s: g + s)
-    spans = F.zip_with(sums_before(ends), F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), F.transform(F.regexp_extract_all(text, lit, F.lit(group)), lambda s: F.length(s)).alias("wanted")),
-                       lambda b, m: F.struct((b + m["gap"]).alias("start"), F.lit(kind).alias("kind"), (b + m["gap"] + m["size"]).alias("end"), m["wanted"].alias("wanted")))
-    good = F.filter(spans, lambda s: s["wanted"] >= least)
-    slim = F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(SPAN)
-    return F.when(F.col(text).rlike(pattern), slim).otherwise(F.array().cast(SPAN))
+    lengths = lambda strings: F.transform(strings, lambda s: F.length(s))
+    gaps = lengths(F.split(text, pattern, -1))
+    sizes = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    wanted = lengths(F.regexp_extract_all(text, F.lit(pattern), F.lit(group))) if group else sizes
+    found = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), wanted.alias("wanted"))  # the last gap has no match after it
+
+    def spans(m):
+        before = sums_before(F.transform(m, lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0))))
+        placed = F.zip_with(m, before, lambda x, b: F.struct((b + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (b + x["gap"] + x["size"]).alias("end"), x["wanted"].alias("wanted")))
+        good = F.filter(placed, lambda s: s["end"].isNotNull() & (s["wanted"] >= least))
+        return F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(SPAN)
+
+    return F.when(F.col(text).rlike(pattern), let(found, spans)).otherwise(F.array().cast(SPAN))
 
 
 def samples(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", quality_col: str = "quality") -> DataFrame:
@@ -69,7 +90,8 @@ def samples(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         F.translate(F.base64(F.unhex(digest)), "\r\n", ""), F.substring(digest, 1, 40), F.upper(F.translate(F.base64(F.unhex(digest)), "+/=\r\n", "xyz")))).alias("value"), F.lit(1).alias("label"))
     texts = labelled_texts(documents, labels, F.col(f"`{quality_col}`"), {1: SAMPLE_DOCUMENTS}, id_col, text_col, label_id)
     words = texts.select(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), F.lit(0)).alias("words"))
-    pairs = F.zip_with(F.slice("words", 1, F.size("words") - 1), F.slice("words", 2, F.size("words")), lambda a, b: F.concat(F.lower(a), F.lit("_"), F.lower(b)))
+    marks = F.split(F.lit("_ - / ="), " ")
+    pairs = F.transform("words", lambda w, i: F.concat(F.lower(w), F.get(marks, i % 4), F.lower(F.get("words", i + 1))))  # the last one is null
     dashed = F.transform("words", lambda w, i: F.concat(w, F.lit("-"), (i % 100).cast("string")))
     names = F.concat("words", F.transform("words", lambda w: F.upper(w)), pairs, dashed)
     return random.union(words.where(F.size("words") > 1).select(F.explode(names).alias("value"), F.lit(0).alias("label")))
@@ -108,8 +130,8 @@ def with_spans(rows: DataFrame, table: list[float]) -> DataFrame:
     base = F.array_sort(F.concat(matches("text", ASSIGN, 0, 2, MIN_ASSIGNED), matches("text", ACCESS, 1), matches("text", HEX, 2)))
     rows = rows.withColumn("base", base).withColumn("runs", matches("text", RUN, 3))
     runs = F.transform("runs", lambda s: F.struct(s.alias("span"), F.transform(F.filter(F.split(F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]), F.lit("")), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c)).alias("codes")))
-    scored = F.transform(runs, lambda r: F.struct(r["span"].alias("span"), ratio(r["codes"], table).alias("ratio"), F.size(r["codes"]).alias("size")))
-    kept = F.filter(scored, lambda r: (r["ratio"] >= MIN_RATIO) & (r["ratio"] >= MIN_MEAN * r["size"]) & ~F.exists("base", lambda b: (b["start"] <= r["span"]["start"]) & (r["span"]["end"] <= b["end"])))
+    scored = F.transform(runs, lambda r: F.struct(r["span"].alias("span"), ratio(r["codes"], table).alias("ratio"), F.size(r["codes"]).alias("size"), F.size(F.array_distinct(r["codes"])).alias("distinct")))
+    kept = F.filter(scored, lambda r: (r["ratio"] >= MIN_RATIO) & (r["ratio"] >= MIN_MEAN * r["size"]) & (r["distinct"] >= MIN_DISTINCT) & ~F.exists("base", lambda b: (b["start"] <= r["span"]["start"]) & (r["span"]["end"] <= b["end"])))
     added = F.when(F.size("runs") > 0, F.transform(kept, lambda r: r["span"])).otherwise(F.array().cast(SPAN))
     return rows.withColumn("found", F.array_sort(F.concat("base", added))).drop("runs")
 
