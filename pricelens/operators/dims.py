@@ -14,6 +14,7 @@ from pricelens.functions import calendar as cal
 from pricelens.functions.lookups import OPEN_END, alliance, is_domestic
 from pricelens.operators.dedup import keep_best
 from pricelens.operators.sequence import carry
+from pricelens.session import store
 
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition id << 33 | row index
 
@@ -35,21 +36,22 @@ def new_members(df: DataFrame, dim: DataFrame, key: list[str] | str,
 def dense_index(df: DataFrame, order: list[str], out: str = "_idx",
                 partitions: int | None = None) -> DataFrame:
     """0-based position of each row in ``order`` (must be unique), computed
-    without a single-partition window: rows are range-partitioned and sorted,
-    each row takes its partition's offset (a running count over one row per
-    partition, a table bounded by the partition count) plus its index inside
-    the partition.  The range exchange is shared by both branches."""
-    ranged = (df.repartitionByRange(*( [partitions] if partitions else []), *order)
+    without a single-partition window: rows are range-partitioned, sorted,
+    numbered inside their partition and written to the shared folder; each
+    row's index is its partition's offset (a running count over one row per
+    partition, a table bounded by the partition count) plus its number.  Both
+    the counts and the rows are read from that one copy, so they always fit."""
+    ranged = (df.repartitionByRange(*([partitions] if partitions else []), *order)
               .sortWithinPartitions(*order)
               .withColumn("_mid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_mid"), _LOCAL_BITS)
-    local = F.col("_mid") - F.shiftleft(pid, _LOCAL_BITS)
-    tagged = ranged.withColumn("_pid", pid).withColumn("_local", local)
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    stored = store(ranged.withColumn("_pid", pid)
+                   .withColumn("_local", F.col("_mid") - F.shiftleft(F.col("_pid"), _LOCAL_BITS)), "dense")
+    counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0))).select("_pid", "_off")
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (stored.join(F.broadcast(offsets), "_pid")
             .withColumn(out, F.col("_off") + F.col("_local"))
             .drop("_mid", "_pid", "_local", "_off"))
 
@@ -149,14 +151,16 @@ def scd2_build(history: DataFrame, natural: list[str], tracked: list[str], effec
 
 
 def scd2_apply(dim: DataFrame, updates: DataFrame, natural: list[str], tracked: list[str],
-               effective: str, key_col: str, start: int = 2000) -> DataFrame:
+               effective: str, key_col: str, start: int = 2000,
+               keys_in_use: DataFrame | None = None) -> DataFrame:
     """Apply a batch of updates to an SCD2 dimension (P5).
 
     Unchanged members are untouched; a changed member's current row is closed
     at the change date and a new current row opened; several changes in one
     batch keep every intermediate version; updates dated at or before the
     member's current effective date are already applied (re-running a batch
-    changes nothing)."""
+    changes nothing).  ``dim`` may hold the current rows alone; then
+    ``keys_in_use`` names the keys of all rows, so that none is used again."""
     other = [c for c in dim.columns if c not in (key_col, "effective_date", "expiry_date",
                                                  "is_current", *natural, *tracked)]
     cur = dim.filter(F.col("is_current"))
@@ -174,7 +178,7 @@ def scd2_apply(dim: DataFrame, updates: DataFrame, natural: list[str], tracked:
                     [("_src", True)])  # one row per key and day, the update wins
     v = scd2_versions(seq, natural, tracked, "_d").drop("_d")
     keep = v.filter(F.col(key_col).isNotNull())
-    fresh = assign_keys(v.filter(F.col(key_col).isNull()).drop(key_col), dim, key_col,
+    fresh = assign_keys(v.filter(F.col(key_col).isNull()).drop(key_col), dim if keys_in_use is None else keys_in_use, key_col,
                         [*natural, "effective_date"], start)
     cols = dim.columns
     return closed.select(*cols).unionByName(keep.select(*cols)).unionByName(fresh.select(*cols))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -53,16 +56,22 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    The folder named by ``spark.checkpoint.dir`` is read from the session; a
-    private one under the system temp dir is set only when it is unset (local
-    tests).  Each call returns a new sub-directory, so runs never collide.
+    The folder named by ``spark.checkpoint.dir`` is read from the session.
+    Where it is unset, a local master gets a private folder under the system
+    temp dir, removed when Python ends; on a cluster, whose executors would
+    not see such a folder, this raises.  Each call returns a new
+    sub-directory, so runs never collide.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="pricelens-ckpt-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(base)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
@@ -73,3 +82,11 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     scratch_dir(spark, "ckpt")  # makes sure a checkpoint dir is configured
     return df.checkpoint(eager=True)
+
+
+def store(df, name: str):
+    """Write to the shared checkpoint folder and read back: one fixed copy for
+    several consumers that survives executor loss."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
