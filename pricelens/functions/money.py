@@ -22,7 +22,8 @@ def cents_to_usd(cents: Column) -> Column:
 
 def avg_cents_half_up(sum_cents: Column, n: Column) -> Column:
     """round-half-up(sum / n) in cents, as bigint; NULL when n is 0/NULL."""
-    return F.floor((sum_cents * 2 + n) / (n * 2)).cast("bigint")
+    twice, by = sum_cents * 2 + n, n * 2
+    return F.when(n > 0, F.call_function("div", twice - F.pmod(twice, by), by))  # integers throughout
 
 
 def avg_usd(sum_cents: Column, n: Column) -> Column:

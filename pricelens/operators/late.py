@@ -44,7 +44,7 @@ def late_rows(late: DataFrame, event_col: str = "event_timestamp",
 def late_report(late: DataFrame, windows: DataFrame, keys: list[str],
                 width_s: int = 300, event_col: str = "event_timestamp") -> DataFrame:
     """Every late tick with the window it belongs to and whether that window
-    already exists downstream (P13 + D9), most late first."""
+    already exists downstream (P13 + D9).  ``most_late`` lists the worst."""
     existing = (windows.select(*keys, "window_start").distinct()
                 .withColumn("window_exists", F.lit(True)))
     lr = late.withColumn("window_start", window_start_of(F.col(event_col), width_s))
@@ -52,12 +52,22 @@ def late_report(late: DataFrame, windows: DataFrame, keys: list[str],
             .withColumn("window_exists", F.coalesce(F.col("window_exists"), F.lit(False))))
 
 
+def most_late(late: DataFrame, n: int = 10, event_col: str = "event_timestamp",
+              ingest_col: str = "ingestion_timestamp", tie: list[str] | None = None) -> DataFrame:
+    """The report's head: the ``n`` latest ticks, most late first."""
+    by = lateness(event_col, ingest_col)
+    return late.withColumn("lateness_seconds", by).orderBy(
+        F.col("lateness_seconds").desc(), event_col, *(tie or [])).limit(n)
+
+
 def reconcile(on_time_windows: DataFrame, late: DataFrame, keys: list[str],
               width: str = "5 minutes", ts_col: str = "event_timestamp",
               value_col: str = "price_usd") -> DataFrame:
     """Corrected windows = on-time window state merged with the late ticks'
     window state (J13); equal to aggregating on-time + late ticks together."""
     cols = [*keys, "window_start", "window_end", "min_price_usd", "max_price_usd",
-            "message_count", "sum_cents"]
-    late_w = window_agg(late, keys, ts_col, value_col, width)
+            "message_count", "sum_cents", "priced_count"]
+    if "priced_count" not in on_time_windows.columns:  # every message of them had a price
+        on_time_windows = on_time_windows.withColumn("priced_count", F.col("message_count"))
+    late_w = window_agg(late, keys, ts_col, value_col, width, priced=True)
     return merge_windows([on_time_windows.select(*cols), late_w.select(*cols)], keys)

@@ -30,24 +30,21 @@ def window_agg(df: DataFrame, keys: list[str], ts_col: str = "event_timestamp",
                slide: str | None = None, attrs: list[str] | None = None,
                order_cols: list[str] | None = None, minmax: bool = True,
                extra: dict[str, Column] | None = None,
-               key_attrs: list[str] | None = None) -> DataFrame:
+               priced: bool = False) -> DataFrame:
     """One row per (keys, window): ``window_start``/``window_end`` (end
-    exclusive), avg/min/max price (2 decimals, exact), ``message_count`` and
-    ``sum_cents``.  ``attrs`` are taken from the group's earliest event,
+    exclusive), avg/min/max price (2 decimals, exact; over the messages that
+    carry a price), ``message_count`` and ``sum_cents``.  ``attrs`` are taken from the group's earliest event,
     ties broken by ``order_cols`` (must end in a unique column).  ``extra``
     maps output names to further aggregate expressions.
 
-    ``key_attrs`` are attributes that depend on the key (a flight's route and
-    carrier): they are carried as extra grouping columns, which keeps the
-    aggregate a partial+final *hash* aggregate.  ``attrs`` (first event's
-    value, via ``min_by`` over a struct) need a sort-based aggregate because
-    their buffer holds strings -- use them only where values vary in a key."""
+    Attributes are never grouping columns, so a flight whose route changes
+    inside a window still has one row."""
     attrs = list(attrs or [])
-    key_attrs = list(key_attrs or [])
     ts = event_time(df, ts_col)
     w = F.window(ts, width, slide) if slide else F.window(ts, width)
     cents = to_cents(F.col(value_col))
-    aggs = [F.sum(cents).alias("sum_cents"), F.count(F.lit(1)).alias("message_count")]
+    aggs = [F.sum(cents).alias("sum_cents"), F.count(F.lit(1)).alias("message_count"),
+            F.count(cents).alias("priced_count")]
     if minmax:
         aggs += [F.min(cents).alias("_min_c"), F.max(cents).alias("_max_c")]
     if attrs:
@@ -55,14 +52,15 @@ def window_agg(df: DataFrame, keys: list[str], ts_col: str = "event_timestamp",
         aggs.append(F.min_by(F.struct(*[F.col(a) for a in attrs]), order).alias("_first"))
     extra = dict(extra or {})
     aggs += [e.alias(n) for n, e in extra.items()]
-    g = df.groupBy(*[F.col(k) for k in keys + key_attrs], w.alias("_w")).agg(*aggs)
-    cols = [F.col(k) for k in keys + key_attrs] + [F.col(f"_first.{a}").alias(a) for a in attrs]
+    g = df.groupBy(*[F.col(k) for k in keys], w.alias("_w")).agg(*aggs)
+    cols = [F.col(k) for k in keys] + [F.col(f"_first.{a}").alias(a) for a in attrs]
     cols += [F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"),
-             avg_usd(F.col("sum_cents"), F.col("message_count")).alias("avg_price_usd")]
+             avg_usd(F.col("sum_cents"), F.col("priced_count")).alias("avg_price_usd")]
     if minmax:
         cols += [cents_to_usd(F.col("_min_c")).alias("min_price_usd"),
                  cents_to_usd(F.col("_max_c")).alias("max_price_usd")]
     cols += [F.col("message_count"), F.col("sum_cents")] + [F.col(n) for n in extra]
+    cols += [F.col("priced_count")] if priced else []  # the state that merge_windows needs
     return g.select(*cols)
 
 
@@ -75,10 +73,11 @@ def merge_windows(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     g = u.groupBy(*keys, "window_start", "window_end").agg(
         F.sum("sum_cents").alias("sum_cents"),
         F.sum("message_count").alias("message_count"),
+        F.sum("priced_count").alias("priced_count"),
         F.min("min_price_usd").alias("min_price_usd"),
         F.max("max_price_usd").alias("max_price_usd"))
     return g.select(*keys, "window_start", "window_end",
-                    avg_usd(F.col("sum_cents"), F.col("message_count")).alias("avg_price_usd"),
+                    avg_usd(F.col("sum_cents"), F.col("priced_count")).alias("avg_price_usd"),
                     "min_price_usd", "max_price_usd", "message_count", "sum_cents")
 
 

@@ -22,15 +22,11 @@ TICK_ORDER = ["event_timestamp", "event_id"]
 
 
 def _silver(ticks: DataFrame, keys, width, slide, attrs, minmax) -> DataFrame:
-    """Per-flight grain: the flight's route/carrier columns are grouping
-    columns (hash aggregate).  Other grains (e.g. per route, where the flight
-    varies inside a window) take the earliest tick's attributes."""
+    """One row per (keys, window) at any grain; the attributes are those of
+    the window's earliest tick."""
     on_time, _ = split_late(ticks)
-    rest = [a for a in attrs if a not in keys]
-    by_flight = keys == ["flight_number"]
     agg = window_agg(on_time, keys, "event_timestamp", "price_usd", width, slide,
-                     attrs=[] if by_flight else rest, order_cols=TICK_ORDER,
-                     key_attrs=rest if by_flight else [],
+                     attrs=[a for a in attrs if a not in keys], order_cols=TICK_ORDER,
                      minmax=minmax, extra={"_proc": F.max("ingestion_timestamp")})
     return agg.withColumn("processing_timestamp", instant(F.col("_proc"))).drop("_proc")
 

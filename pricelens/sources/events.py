@@ -4,7 +4,9 @@ A message is parsed once, into ``map<string,string>``: that single parse gives
 the key set (presence test), JSON-null detection and the raw text of each
 value, which is then ``try_cast`` to the declared type.  Every input row lands
 in exactly one of (accepted, rejected); rejected rows keep ``raw`` and a
-``reason`` in {malformed, not_object, missing_key, null_value, bad_type}.
+``reason`` in {malformed, not_object, missing_key, null_value, null_time,
+bad_type}.  A tick without a time belongs to no window and has no lateness, so
+it is rejected in both modes.
 """
 
 from __future__ import annotations
@@ -33,13 +35,15 @@ TICK_REQUIRED = ["route_id", "origin", "destination", "airline_code", "airline_n
                  "price_usd", "event_timestamp", "ingestion_timestamp"]
 # --- end of fixed values ---
 
+TICK_TIMES = ["event_timestamp", "ingestion_timestamp"]  # must also have a value
+
 _MAP = MapType(StringType(), StringType())
 
 
 def tag_events(df: DataFrame, value_col: str = "value",
                schema: StructType = TICK_SCHEMA,
                required: list[str] | None = None,
-               mode: str = "presence") -> DataFrame:
+               mode: str = "presence", times: list[str] | None = None) -> DataFrame:
     """All input columns + typed fields + ``raw`` + ``reason`` (NULL = good)."""
     if mode not in ("presence", "non_null"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -59,12 +63,17 @@ def tag_events(df: DataFrame, value_col: str = "value",
     null_req = F.lit(False)
     for k in required:
         null_req = null_req | m[k].isNull()
+    no_time = F.lit(False)
+    for k in times if times is not None else TICK_TIMES:
+        if k in typed:
+            no_time = no_time | typed[k].isNull()
     reason = (F.when(F.col("raw").isNull() | (m.isNull() & ~F.ltrim("raw").startswith("[")),
                      F.lit("malformed"))
               .when(m.isNull(), F.lit("not_object"))
               .when(F.size(F.array_except(req, F.map_keys(m))) > 0, F.lit("missing_key"))
               .when(F.lit(mode == "non_null") & null_req, F.lit("null_value"))
-              .when(bad_type, F.lit("bad_type")))
+              .when(bad_type, F.lit("bad_type"))
+              .when(no_time, F.lit("null_time")))
     out = out.withColumn("reason", reason)
     for name, col in typed.items():
         out = out.withColumn(name, col)
@@ -74,10 +83,11 @@ def tag_events(df: DataFrame, value_col: str = "value",
 def parse_events(df: DataFrame, value_col: str = "value",
                  schema: StructType = TICK_SCHEMA,
                  required: list[str] | None = None,
-                 mode: str = "presence") -> tuple[DataFrame, DataFrame]:
+                 mode: str = "presence",
+                 times: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected).  ``accepted`` has the schema's fields, ``rejected``
     has ``raw`` and ``reason``; both come from one tagged plan."""
-    tagged = tag_events(df, value_col, schema, required, mode)
+    tagged = tag_events(df, value_col, schema, required, mode, times)
     good = tagged.filter(F.col("reason").isNull()).select(*[f.name for f in schema.fields])
     bad = tagged.filter(F.col("reason").isNotNull()).select("raw", "reason")
     return good, bad
