@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,25 +46,43 @@ def rolling_zscore(df: DataFrame, key: str, ts_col: str, value: str,
     """Each row scored against the same key's rows in ``[ts - seconds,
     ts - 1]`` (F2; ``exclude_current=False`` makes it ``[ts - seconds, ts]``).
 
-    Hot keys are split by time: rows are bucketed into chunks of
-    ``chunk_seconds`` (default = the frame length) and each row is also copied,
-    as context only, into the chunks its frame can reach.  The range window
-    then runs per (key, chunk), so no task holds more than a few chunks of one
-    key; data grows by ``1 + ceil(seconds / chunk_seconds)``.
+    Count, sum and sum of squares in whole cents are summed per (key, second)
+    and carried along each key as exact running totals; a row's frame is the
+    difference of the totals at its two ends.  The totals run inside time
+    chunks of ``chunk_seconds`` and are lifted by the totals of the chunks
+    before, so a hot key is spread over its chunks and the work grows with the
+    rows, not with rows times frame length.
     """
     chunk = chunk_seconds or seconds
-    halo = int(math.ceil(seconds / chunk))
-    ts = F.col(ts_col)
-    own = F.floor(ts / F.lit(chunk)).cast("long")
-    rep = (df.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(halo))))
-           .withColumn("_chunk", own + F.col("_k")))
-    w = Window.partitionBy(key, "_chunk").orderBy(ts).rangeBetween(
-        -seconds, -1 if exclude_current else 0)
-    stats = (rep.withColumn("rolling_mean", F.avg(value).over(w))
-             .withColumn("rolling_stddev", F.stddev_samp(value).over(w))
-             .withColumn("baseline_n", F.count(value).over(w))
-             .filter(F.col("_k") == 0).drop("_k", "_chunk"))
-    return score(stats, value, threshold=threshold, digits=digits)
+    cents = to_cents(F.col(value)).cast("decimal(38,0)")
+    zero = F.lit(0).cast("decimal(38,0)")
+    sums = ["_n", "_s", "_q"]
+    per = df.groupBy(F.col(key).alias("_key"), F.col(ts_col).alias("_t")).agg(
+        F.count(value).cast("decimal(38,0)").alias("_n"), F.coalesce(F.sum(cents), zero).alias("_s"),
+        F.coalesce(F.sum(cents * cents), zero).alias("_q"))
+    last = F.col("_t") - (1 if exclude_current else 0)
+    # the points at which totals are read: after the frame, and before it
+    ends = per.select("_key", F.col("_t").alias("_row"), F.explode(F.array(
+        F.struct(last.alias("_t"), F.lit(1).alias("_sign")),
+        F.struct((F.col("_t") - seconds - 1).alias("_t"), F.lit(-1).alias("_sign")))).alias("_e"))
+    axis = per.select("_key", "_t", F.lit(None).cast(per.schema["_t"].dataType).alias("_row"), F.lit(0).alias("_sign"), *sums)
+    axis = axis.unionByName(ends.select("_key", "_e._t", "_row", "_e._sign", *[zero.alias(c) for c in sums]))
+    axis = axis.withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk)).cast("long"))
+    inside = Window.partitionBy("_key", "_chunk").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = axis.groupBy("_key", "_chunk").agg(*[F.sum(c).alias(c) for c in sums])
+    chunks = chunks.select(F.col("_key").alias("_key2"), F.col("_chunk").alias("_chunk2"), *[F.coalesce(F.sum(c).over(before), zero).alias(f"{c}0") for c in sums])
+    read = axis.select("_key", "_chunk", "_row", "_sign", *[F.sum(c).over(inside).alias(c) for c in sums]).filter("_sign <> 0")
+    read = read.join(chunks, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_chunk") == F.col("_chunk2")))
+    frame = read.groupBy("_key", "_row").agg(*[F.sum((F.col(c) + F.col(f"{c}0")) * F.col("_sign")).cast("decimal(38,0)").alias(c) for c in sums])
+    n, total = F.col("_n").cast("double"), F.col("_s").cast("double")
+    spread = (F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")  # n^2 times the variance, exact
+    stats = frame.select(
+        "_key", "_row", F.col("_n").cast("long").alias("baseline_n"),
+        F.when(n > 0, total / n / 100).alias("rolling_mean"),
+        F.when(n > 1, F.sqrt(spread / (n * (n - 1))) / 100).alias("rolling_stddev"))
+    joined = df.join(stats, F.col(key).eqNullSafe(F.col("_key")) & F.col(ts_col).eqNullSafe(F.col("_row")), "left").drop("_key", "_row")
+    return score(joined, value, threshold=threshold, digits=digits)
 
 
 def asof_baseline(snap: DataFrame, trend: DataFrame, keys: list[str],
