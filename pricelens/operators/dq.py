@@ -1,9 +1,8 @@
 """Data-quality checks, late-rate decision and audit row.
 
-Each check is a one-row aggregate; all checks on one table are computed in a
-single scan and unpivoted to ``check, value, threshold, passed`` rows.  The
-run time is a parameter; "today" is a half-open range on the timestamp so the
-predicate can prune files.
+Each check is a one-row aggregate over the run day's rows, unpivoted to
+``check, value, threshold, passed`` rows.  The run time is a parameter; "today"
+is a half-open range on the timestamp, filtered first, so it can prune files.
 """
 
 from __future__ import annotations
@@ -31,16 +30,17 @@ def _row(check: str, value: Column, threshold: float, passed: Column) -> Column:
 
 def silver_checks(silver: DataFrame, run_ts: str, ts_col: str = "processing_timestamp",
                   fields: list[str] | None = None) -> DataFrame:
-    """Freshness (P8), today's row count (P9) and null rates (P10) of Silver
-    in one scan.  Empty table -> 999 h; a NULL rate (no rows today) passes."""
+    """Freshness (P8), today's row count (P9) and null rates (P10) of Silver.
+    The day's filter reaches the scan; freshness is a separate max, which the
+    parquet footers answer.  Empty table -> 999 h; a NULL rate (no rows today)
+    passes."""
     fields = NULL_FIELDS if fields is None else fields
     run = F.to_timestamp(F.lit(run_ts))
     today = same_day(F.col(ts_col), F.to_date(run))
-    aggs = [F.count(F.lit(1)).alias("n"), F.max(ts_col).alias("latest"),
-            F.count_if(today).alias("today")]
-    aggs += [F.count_if(today & F.col(f).isNull()).alias(f"null_{f}") for f in fields]
-    a = silver.agg(*aggs)
-    age = F.when(F.col("n") == 0, F.lit(EMPTY_AGE_HOURS)).otherwise(
+    aggs = [F.count(F.lit(1)).alias("today")]
+    aggs += [F.count_if(F.col(f).isNull()).alias(f"null_{f}") for f in fields]
+    a = silver.filter(today).agg(*aggs).withColumn("latest", silver.agg(F.max(ts_col).alias("t")).scalar())
+    age = F.when(F.col("latest").isNull(), F.lit(EMPTY_AGE_HOURS)).otherwise(
         hours_between(run, F.col("latest")))
     rows = [_row("silver_freshness_hours", age, FRESHNESS_HOURS, age <= FRESHNESS_HOURS),
             _row("silver_rows_today", F.col("today"), MIN_SILVER_ROWS_TODAY,
@@ -55,8 +55,8 @@ def silver_checks(silver: DataFrame, run_ts: str, ts_col: str = "processing_time
 def gold_checks(fact: DataFrame, run_ts: str, created_col: str = "created_at") -> DataFrame:
     """Gold received rows on the run date."""
     run = F.to_timestamp(F.lit(run_ts))
-    n = F.count_if(same_day(F.col(created_col).cast("timestamp"), F.to_date(run)))
-    return fact.agg(n.alias("n")).select(F.inline(F.array(
+    today = fact.filter(same_day(F.col(created_col).cast("timestamp"), F.to_date(run)))
+    return today.agg(F.count(F.lit(1)).alias("n")).select(F.inline(F.array(
         _row("gold_rows_today", F.col("n"), 0, F.col("n") > 0))))
 
 
@@ -66,8 +66,8 @@ def late_metrics(silver: DataFrame, late: DataFrame, run_ts: str,
     and whether reconciliation runs (rate > 10 %, strict) (P12).  The two
     one-row aggregates are combined as scalar subqueries."""
     day = F.to_date(F.to_timestamp(F.lit(run_ts)))
-    s = silver.agg(F.count_if(same_day(F.col(ts_col), day)).alias("v")).scalar()
-    lt = late.agg(F.count_if(same_day(F.col(ts_col), day)).alias("v")).scalar()
+    s = silver.filter(same_day(F.col(ts_col), day)).agg(F.count(F.lit(1)).alias("v")).scalar()
+    lt = late.filter(same_day(F.col(ts_col), day)).agg(F.count(F.lit(1)).alias("v")).scalar()
     one = silver.sparkSession.range(1)
     rate = F.coalesce(safe_ratio(F.col("late_total"), F.col("total")), F.lit(0.0))
     return (one.select(s.alias("total"), lt.alias("late_total"))
