@@ -13,9 +13,8 @@ from pricelens.plans.catalog import SQL_LATE, SQL_ON_TIME, SQL_TICKS, register,
 from pricelens.plans.q_ticks import SQL_SILVER_1HR, SQL_SILVER_5MIN
 from pricelens.session import scratch_dir
 from pricelens.streaming.ticks import (await_all, start_dedup, start_file_pipe,
-                                       start_tick_queries, start_upsert, write_messages)
-
-_RUNS: dict[tuple[int, str], str] = {}
+                                       start_tick_queries, start_upsert, write_messages,
+                                       write_slices)
 
 COLS_5MIN = ["flight_number", "route_id", "origin", "destination", "airline_code",
              "airline_name", "window_start", "window_end", "avg_price_usd", "min_price_usd",
@@ -37,14 +36,11 @@ def _messages(spark, sf_dir, copies: int = 1) -> str:
 
 
 def _silver_stream(spark, sf_dir) -> str:
-    """Run the three-branch tick stream once per session and input."""
-    key = (id(spark), sf_dir)
-    if key not in _RUNS:
-        src = _messages(spark, sf_dir)
-        out, ckpt = scratch_dir(spark, "silver"), scratch_dir(spark, "silver-ckpt")
-        await_all(start_tick_queries(spark, src, out, ckpt))
-        _RUNS[key] = out
-    return _RUNS[key]
+    """Run the three-branch tick stream over the table's messages."""
+    src = _messages(spark, sf_dir)
+    out, ckpt = scratch_dir(spark, "silver"), scratch_dir(spark, "silver-ckpt")
+    await_all(start_tick_queries(spark, src, out, ckpt))
+    return out
 
 
 def _final_panes(df, cols):
@@ -93,7 +89,7 @@ def stream_upsert(spark, sf_dir):
     table partitioned by window date."""
     src = _messages(spark, sf_dir)
     target, ckpt = scratch_dir(spark, "upsert"), scratch_dir(spark, "upsert-ckpt")
-    await_all([start_upsert(spark, src, target, ckpt)])
+    await_all(start_upsert(spark, src, target, ckpt))
     return spark.read.parquet(target).select(*COLS_5MIN)
 
 
@@ -105,8 +101,8 @@ def stream_file_pipe(spark, sf_dir):
     nothing."""
     src = _messages(spark, sf_dir)
     table, ckpt = scratch_dir(spark, "pipe"), scratch_dir(spark, "pipe-ckpt")
-    await_all([start_file_pipe(spark, src, table, ckpt)])
-    await_all([start_file_pipe(spark, src, table, ckpt)])
+    await_all(start_file_pipe(spark, src, table, ckpt))
+    await_all(start_file_pipe(spark, src, table, ckpt))
     return spark.read.parquet(table).select(*COLS_TICK)
 
 
@@ -117,8 +113,35 @@ def stream_dedup(spark, sf_dir):
     (flight_number, event_timestamp) keeps one."""
     src = _messages(spark, sf_dir, copies=2)
     table, ckpt = scratch_dir(spark, "dedup"), scratch_dir(spark, "dedup-ckpt")
-    await_all([start_dedup(spark, src, table, ckpt)])
+    await_all(start_dedup(spark, src, table, ckpt))
     return spark.read.parquet(table).select("flight_number", "event_timestamp")
 
 
-__all__ = ["F"]
+def _cuts(t, n: int) -> list[int]:
+    """n - 1 instants off the window grid that cut the table's time span evenly."""
+    lo, hi = t.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    return [] if lo is None else [lo + (hi - lo) * k // n // 300 * 300 + 150 for k in range(1, n)]
+
+
+@register("stream_multi_batch", with_(SQL_TICKS, SQL_ON_TIME, SQL_SILVER_5MIN) +
+          _sel("silver5", COLS_5MIN))
+def stream_multi_batch(spark, sf_dir):
+    """Five micro-batches in event-time order, cut inside windows,
+    so panes fire again and accumulate; the final panes are the batch result."""
+    t = ticks(spark, sf_dir)
+    src, out, ckpt = (scratch_dir(spark, n) for n in ("slices", "silver", "silver-ckpt"))
+    write_slices(t, src, _cuts(t, 5))
+    await_all(start_tick_queries(spark, src, out, ckpt, max_files=1))
+    return _final_panes(spark.read.parquet(os.path.join(out, "price_5min")), COLS_5MIN)
+
+
+@register("stream_upsert_multi_batch", with_(SQL_TICKS, SQL_ON_TIME, SQL_SILVER_5MIN) +
+          _sel("silver5", COLS_5MIN))
+def stream_upsert_multi_batch(spark, sf_dir):
+    """The upsert over several micro-batches; a window's later pane
+    replaces its earlier one."""
+    t = ticks(spark, sf_dir)
+    src, target, ckpt = (scratch_dir(spark, n) for n in ("slices", "upsert", "upsert-ckpt"))
+    write_slices(t, src, _cuts(t, 4))
+    await_all(start_upsert(spark, src, target, ckpt, max_files=1))
+    return spark.read.parquet(target).select(*COLS_5MIN)

@@ -61,20 +61,19 @@ def upsert_best(spark: SparkSession, updates: DataFrame, path: str, keys: list[s
                 order: list[tuple[str, bool]], partition: str) -> int:
     """Keyed upsert keeping the better row (B6) without MERGE.
 
-    Only partitions touched by ``updates`` are read, unioned with the updates,
-    reduced with ``keep_best`` and written to a staging folder; the staged
-    partitions then replace those of the target (dynamic overwrite).
-    Replaying the same batch gives the same table.  Returns rows written."""
+    Only partitions touched by ``updates`` are read (literal bounds of the
+    partition column prune the target, a semi join picks the partitions
+    between them), unioned with the updates, reduced with ``keep_best`` and
+    written to a staging folder; the staged partitions then replace those of
+    the target (dynamic overwrite).  Replaying the same batch gives the same
+    table.  ``updates`` is read twice: persist it where that is costly.  NULL
+    keys are keys like any other.  Returns rows written."""
     upd = keep_best(updates, keys, order)
-    try:
-        target = spark.read.parquet(path)
-        touched = upd.select(partition).distinct()
-        old = target.join(touched, partition, "left_semi").select(*upd.columns)
-        merged = keep_best(old.unionByName(upd), keys, order)
-    except Exception as err:  # noqa: BLE001 - only a missing target means "new"
-        if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err):
-            raise
-        merged = upd
+    lo, hi = updates.agg(F.min(partition), F.max(partition)).first()
+    old = read_or_empty(spark, path, upd.schema)
+    old = old.filter(F.col(partition).between(F.lit(lo), F.lit(hi)))
+    old = old.join(upd.select(partition).distinct(), partition, "left_semi").select(*upd.columns)
+    merged = keep_best(old.unionByName(upd), keys, order)
     stage = scratch_dir(spark, "upsert")
     out, obs = counted(merged)
     out.write.mode("overwrite").partitionBy(partition).parquet(stage)

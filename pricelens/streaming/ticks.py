@@ -30,15 +30,21 @@ ATTRS_1HR = ["flight_number", "route_id", "origin", "destination", "airline_code
 
 
 def read_ticks(spark: SparkSession, source: str, max_files: int | None = None,
-               fmt: str = "text") -> tuple[DataFrame, DataFrame]:
+               fmt: str = "text", arrival_fallback: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) streaming frames from a folder of JSON-line tick
     messages (A1; the same parse works on a Kafka ``value``).  Accepted ticks
-    get ``event_time`` and a watermark (J1, J6)."""
+    get ``event_time`` and a watermark (J1, J6).  A tick without an event time
+    is rejected, or with ``arrival_fallback`` (a null or 0 counts as none)
+    takes its time of arrival instead."""
     r = spark.readStream.format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     raw = r.load(source)
-    good, bad = parse_events(raw, "value", TICK_SCHEMA)
+    good, bad = parse_events(raw, "value", TICK_SCHEMA,
+                             times=["ingestion_timestamp"] if arrival_fallback else None)
+    if arrival_fallback:
+        good = good.withColumn("event_timestamp", F.coalesce(
+            F.nullif("event_timestamp", F.lit(0)), "ingestion_timestamp"))
     good = (good.withColumn("event_time", instant(F.col("event_timestamp")))
             .withWatermark("event_time", WATERMARK))
     return good, bad
@@ -54,16 +60,21 @@ def _batch_sink(path: str, stamp: bool = True):
     return write
 
 
-def fixed_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def _stream_windows(on_time, keys, width, slide, attrs, minmax) -> DataFrame:
+    """One row per (keys, window); the attributes are those of the earliest
+    tick (ties: the least values), whatever the grain."""
     keys = keys or ["flight_number"]
-    return window_agg(on_time, keys, "event_time", "price_usd", "5 minutes",
-                      key_attrs=[a for a in ATTRS_5MIN if a not in keys])
+    rest = [a for a in attrs if a not in keys]
+    return window_agg(on_time, keys, "event_time", "price_usd", width, slide, attrs=rest,
+                      order_cols=["event_timestamp", "ingestion_timestamp", *rest], minmax=minmax)
+
+
+def fixed_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    return _stream_windows(on_time, keys, "5 minutes", None, ATTRS_5MIN, True)
 
 
 def sliding_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    keys = keys or ["flight_number"]
-    return window_agg(on_time, keys, "event_time", "price_usd", "1 hour", "15 minutes",
-                      key_attrs=[a for a in ATTRS_1HR if a not in keys], minmax=False)
+    return _stream_windows(on_time, keys, "1 hour", "15 minutes", ATTRS_1HR, False)
 
 
 def start_tick_queries(spark: SparkSession, source: str, out: str, checkpoint: str,
@@ -94,47 +105,60 @@ def start_tick_queries(spark: SparkSession, source: str, out: str, checkpoint: s
     return qs
 
 
+def _reject_query(bad: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Dead letters of a stream: raw text and reason, each message once."""
+    return (bad.writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def start_upsert(spark: SparkSession, source: str, target: str, checkpoint: str,
-                 trigger: str = "availableNow") -> StreamingQuery:
+                 trigger: str = "availableNow",
+                 max_files: int | None = None) -> list[StreamingQuery]:
     """J12 + B6: micro-batch upsert of 5-minute panes into a parquet table,
     keeping the pane with most messages then the latest processing time."""
-    good, _ = read_ticks(spark, source)
+    good, bad = read_ticks(spark, source, max_files)
     on_time, _ = split_late(good)
     agg = fixed_windows(on_time)
+    rejects = _reject_query(bad, f"{target}-rejected", f"{checkpoint}-rejected")
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read for its bounds and for its rows: the state is updated once
         b = (batch.withColumn("processing_timestamp", F.current_timestamp())
              .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
              .withColumn("window_date", F.to_date("window_start")))
         upsert_best(batch.sparkSession, b, target, ["flight_number", "window_start"],
                     [("message_count", True), ("processing_timestamp", True),
                      ("batch_id", True)], "window_date")
+        batch.unpersist()
 
     w = (agg.writeStream.outputMode("update").foreachBatch(merge)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if trigger == "availableNow" else \
         w.trigger(processingTime=trigger)
-    return w.start()
+    return [w.start(), rejects]
 
 
-def start_file_pipe(spark: SparkSession, source: str, table: str, checkpoint: str) -> StreamingQuery:
+def start_file_pipe(spark: SparkSession, source: str, table: str,
+                    checkpoint: str) -> list[StreamingQuery]:
     """Continuous ingestion that loads every file exactly once (the file
     source's checkpoint records processed files); one ``availableNow`` run is
     a REFRESH."""
-    good, _ = read_ticks(spark, source)
-    return (good.drop("event_time").writeStream.format("parquet").outputMode("append")
+    good, bad = read_ticks(spark, source)
+    return [good.drop("event_time").writeStream.format("parquet").outputMode("append")
             .option("path", table).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(availableNow=True).start(),
+            _reject_query(bad, f"{table}-rejected", f"{checkpoint}-rejected")]
 
 
 def start_dedup(spark: SparkSession, source: str, table: str, checkpoint: str,
-                keys: list[str] | None = None) -> StreamingQuery:
+                keys: list[str] | None = None) -> list[StreamingQuery]:
     """Drop at-least-once redeliveries of a tick within the watermark."""
-    good, _ = read_ticks(spark, source)
+    good, bad = read_ticks(spark, source)
     d = good.dropDuplicatesWithinWatermark(keys or ["flight_number", "event_timestamp"])
-    return (d.drop("event_time").writeStream.format("parquet").outputMode("append")
+    return [d.drop("event_time").writeStream.format("parquet").outputMode("append")
             .option("path", table).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+            .trigger(availableNow=True).start(),
+            _reject_query(bad, f"{table}-rejected", f"{checkpoint}-rejected")]
 
 
 def write_messages(ticks: DataFrame, path: str, files: int = 8, copies: int = 1) -> None:
@@ -146,8 +170,32 @@ def write_messages(ticks: DataFrame, path: str, files: int = 8, copies: int = 1)
         msgs.repartition(files).write.mode("append").text(path)
 
 
-def await_all(queries: list[StreamingQuery], timeout_s: int = 600) -> None:
+def write_slices(ticks: DataFrame, path: str, cuts: list[int]) -> None:
+    """Messages in event-time order, one file for each slice between ``cuts``
+    (epoch seconds), written one after the other: a file source takes files by
+    their modification time, so each slice becomes a micro-batch in order."""
+    bounds = [None, *cuts, None]
+    for lo, hi in zip(bounds, bounds[1:], strict=False):
+        part = ticks
+        if lo is not None:
+            part = part.filter(F.col("event_timestamp") >= lo)
+        if hi is not None:
+            part = part.filter(F.col("event_timestamp") < hi)
+        write_messages(part, path, files=1)
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that came after their window's state was gone, over all micro-batches (Q9)."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress for op in p["stateOperators"])
+
+
+def await_all(queries: list[StreamingQuery], timeout_s: int | None = None) -> None:
+    """Wait for every query's end.  A failed query raises, and so does one
+    that still runs after ``timeout_s`` (None: no limit), so a half-written
+    table is never taken for the result."""
     for q in queries:
-        q.awaitTermination(timeout_s)
+        ended = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination() or True
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
+        if not ended:
+            raise TimeoutError(f"streaming query {q.name or q.id} still runs after {timeout_s} s")
