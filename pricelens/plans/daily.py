@@ -2,10 +2,8 @@
 
 ``gold_frames`` is the pure transformation (existing dims + increment ->
 new dim rows + fact rows).  ``run_daily`` wires it to parquet tables with a
-high-water mark: the mark's upper bound is fixed before reading, the increment
-is deduplicated once and cached for the several consumers, and the fact is
-upserted on (flight_number, window_start) so a late pane arriving in a later
-run replaces its earlier version instead of duplicating it.
+high-water mark; ``check_and_audit`` holds the stored tables against the
+data-quality rules.
 """
 
 from __future__ import annotations
@@ -15,16 +13,20 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType,
-                               StructField, StructType, TimestampType)
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from pricelens.functions import calendar as cal
 from pricelens.operators.anomaly import baseline_stats, zscore
 from pricelens.operators.dedup import keep_best
 from pricelens.operators.dims import (dim_airlines_new, dim_date_new, scd2_apply)
-from pricelens.sinks.writers import append, read_mark, upsert_best, write_mark
+from pricelens.operators.dq import (audit_row, gold_checks, late_checks, late_metrics,
+                                    silver_checks)
+from pricelens.operators.late import late_report
+from pricelens.session import store
+from pricelens.sinks.writers import MARK_SCHEMA, read_mark, upsert_best, write_mark
 from pricelens.sources.tables import read_increment, read_or_empty
 
+# --- fixed values: table layouts ---
 DIM_DATE_SCHEMA = StructType([
     StructField("date_key", IntegerType(), False), StructField("date", StringType(), False),
     StructField("day_of_week", StringType(), False), StructField("day_number", IntegerType(), False),
@@ -44,6 +46,7 @@ DIM_FLIGHT_SCHEMA = StructType([
 FACT_COLUMNS = ["flight_key", "airline_key", "date_key", "window_start", "window_end",
                 "avg_price_usd", "min_price_usd", "max_price_usd", "message_count",
                 "is_anomaly", "z_score", "created_at"]
+# --- end of fixed values ---
 
 
 @dataclass
@@ -59,23 +62,31 @@ def gold_frames(inc5: DataFrame, silver1h: DataFrame, dim_date: DataFrame,
                 dim_airlines: DataFrame, dim_flights: DataFrame, run_ts: str,
                 holidays: list[str] | None = None) -> Gold:
     snap = keep_best(inc5, ["flight_number", "window_start"])
-    base = keep_best(silver1h, ["flight_number", "window_start"])
-    scored = zscore(snap, baseline_stats(base, "flight_number"), "flight_number")
+    scored = score_increment(snap, silver1h)
     new_dates = dim_date_new(snap, dim_date, "window_start", holidays)
     new_air = dim_airlines_new(snap, dim_airlines)
-    updates = snap.select("flight_number", "route_id", "origin", "destination",
-                          "airline_code", F.to_date("window_start").alias("_day"))
-    updates = keep_best(updates.withColumn("_ws", F.col("_day")),
-                        ["flight_number", "_day"], [("route_id", True), ("airline_code", True)])
-    flights = scd2_apply(dim_flights, updates.drop("_ws"), ["flight_number"],
+    flights = scd2_apply(dim_flights, flight_updates(snap), ["flight_number"],
                          ["route_id", "airline_code"], "_day", "flight_key")
     fact = load_fact(scored, flights, dim_airlines.unionByName(new_air),
                      dim_date.unionByName(new_dates), run_ts)
     return Gold(new_dates, new_air, flights, scored, fact)
 
 
+def score_increment(snap: DataFrame, silver1h: DataFrame) -> DataFrame:
+    """The snapshot against each flight's 1-hour baseline."""
+    base = keep_best(silver1h, ["flight_number", "window_start"])
+    return zscore(snap, baseline_stats(base, "flight_number"), "flight_number")
+
+
+def flight_updates(snap: DataFrame) -> DataFrame:
+    """One row per flight and day: the attributes of the day's last window."""
+    cols = ["flight_number", "route_id", "origin", "destination", "airline_code"]
+    day = snap.select(*cols, "window_start", F.to_date("window_start").alias("_day"))
+    return keep_best(day, ["flight_number", "_day"], [("window_start", True), ("route_id", True), ("airline_code", True)]).drop("window_start")
+
+
 def load_fact(scored: DataFrame, dim_flights: DataFrame, dim_airlines: DataFrame,
-              dim_date: DataFrame, run_ts: str) -> DataFrame:
+              dim_date: DataFrame, run_ts: str, keep: list[str] | None = None) -> DataFrame:
     """Three left joins to the dims (D2) -- the flight version valid on the
     window's date, the carrier, the date -- then the fact's 12 columns.  A
     member missing from a dim keeps a NULL key; the row count is unchanged
@@ -88,53 +99,101 @@ def load_fact(scored: DataFrame, dim_flights: DataFrame, dim_airlines: DataFrame
                & (f["date"] < fl["_exp"]), "left")
     j = j.join(dim_airlines.select("airline_key", "airline_code"), "airline_code", "left")
     j = j.join(dim_date.select("date_key", "date"), "date", "left")
-    return j.select(*FACT_COLUMNS[:-1], F.lit(run_ts).alias("created_at"))
+    return j.select(*(keep or []), *FACT_COLUMNS[:-1], F.lit(run_ts).alias("created_at"))
 
 
 # ----------------------------------------------------------------- the job
+def committed(spark: SparkSession, root: str, pipeline: str) -> DataFrame:
+    """``run``: the runs that wrote their mark.  Rows of a run that failed
+    before its mark are in the tables, but no reader takes them."""
+    marks = read_or_empty(spark, os.path.join(root, "control", "watermarks"), MARK_SCHEMA)
+    return marks.filter(F.col("pipeline_name") == pipeline).select(F.col("updated_at").alias("run")).distinct()
+
+
+def read_runs(spark: SparkSession, root: str, name: str, schema: StructType, runs: DataFrame,
+              more: str | None = None) -> DataFrame:
+    """A ``run=`` partitioned Gold table: rows of committed runs, and of ``more``."""
+    full = StructType(schema.fields + [StructField("run", StringType(), False)])
+    t = read_or_empty(spark, os.path.join(root, "gold", name), full)
+    if more is not None:
+        runs = runs.union(spark.createDataFrame([(more,)], "run string")).distinct()
+    return t.join(runs, "run", "left_semi").select(*schema.fieldNames())
+
+
+def write_run(df: DataFrame, root: str, name: str, run_ts: str) -> None:
+    """Replace this run's partition, so that a run may be tried again."""
+    (df.withColumn("run", F.lit(run_ts)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run").parquet(os.path.join(root, "gold", name)))
+
+
+def current_flights(spark: SparkSession, root: str, run: str | None) -> DataFrame:
+    """Open versions of the flights as a run left them (its partition only)."""
+    if run is None:
+        return spark.createDataFrame([], DIM_FLIGHT_SCHEMA)
+    one = spark.createDataFrame([(run,)], "run string")
+    return read_runs(spark, root, "dim_flights_current", DIM_FLIGHT_SCHEMA, one)
+
+
 def run_daily(spark: SparkSession, root: str, run_ts: str, pipeline: str = "daily_batch",
-              default_mark: str = "1970-01-01 00:00:00") -> dict:
+              default_mark: str = "1970-01-01 00:00:00", upto: str | None = None) -> dict:
     """P2 over parquet tables under ``root`` (silver/, gold/, control/).
 
     The increment is ``(mark, hi]`` with ``hi`` read once before any other
-    step.  The SCD2 dimension is versioned: each run appends a complete new
-    ``version=`` partition and readers take the latest one."""
+    step (``upto`` bounds it further).  Dimensions are written before the fact
+    and the fact is built from the written tables, so stored keys agree.  Every
+    table is written in this run's partition and counts only once the mark is
+    written, as the last step: after a failure anywhere the run is simply
+    repeated.  Closed SCD2 versions are appended once and never rewritten."""
     p = lambda *a: os.path.join(root, *a)
     lo = read_mark(spark, p("control", "watermarks"), pipeline, default_mark)
+    runs = committed(spark, root, pipeline)
+    last_run = runs.agg(F.max("run").alias("r")).first()["r"]
     silver5 = spark.read.parquet(p("silver", "price_5min"))
-    hi = silver5.agg(F.max("processing_timestamp").cast("string").alias("hi")).first()["hi"]
+    new = silver5.filter(F.col("processing_timestamp") <= F.lit(upto).cast("timestamp")) if upto else silver5
+    hi = new.agg(F.max("processing_timestamp").cast("string").alias("hi")).first()["hi"]
     if hi is None or hi <= lo:
-        return {"silver_rows": 0, "gold_rows": 0, "mark": lo}
-    inc = read_increment(silver5, "processing_timestamp", F.lit(lo).cast("timestamp"),
-                         F.lit(hi).cast("timestamp")).persist()
+        return {"gold_rows": 0, "mark": lo}
+    inc = store(keep_best(read_increment(silver5, "processing_timestamp", F.lit(lo).cast("timestamp"),
+                                         F.lit(hi).cast("timestamp")), ["flight_number", "window_start"]), "increment")
     silver1h = spark.read.parquet(p("silver", "price_1hr"))
-    dd = read_or_empty(spark, p("gold", "dim_date"), DIM_DATE_SCHEMA)
-    da = read_or_empty(spark, p("gold", "dim_airlines"), DIM_AIRLINE_SCHEMA)
-    df_ = latest_version(spark, p("gold", "dim_flights"), DIM_FLIGHT_SCHEMA)
-    g = gold_frames(inc, silver1h, dd, da, df_, run_ts)
-    append(g.dim_date, p("gold", "dim_date"))
-    append(g.dim_airlines, p("gold", "dim_airlines"))
-    append(g.dim_flights.withColumn("version", F.lit(run_ts)), p("gold", "dim_flights"),
-           partition_by="version")
-    fact = g.fact.withColumn("fact_date", F.to_date("window_start"))
-    gold_rows = upsert_best(spark, fact, p("gold", "fact_flight_prices"),
-                            keys=["flight_key", "window_start"],
-                            order=[("message_count", True), ("created_at", True)],
-                            partition="fact_date")
+    write_run(dim_date_new(inc, read_runs(spark, root, "dim_date", DIM_DATE_SCHEMA, runs)), root, "dim_date", run_ts)
+    write_run(dim_airlines_new(inc, read_runs(spark, root, "dim_airlines", DIM_AIRLINE_SCHEMA, runs)), root, "dim_airlines", run_ts)
+    opened = current_flights(spark, root, last_run)
+    closed = read_runs(spark, root, "dim_flights_closed", DIM_FLIGHT_SCHEMA, runs)
+    flights = store(scd2_apply(opened, flight_updates(inc), ["flight_number"], ["route_id", "airline_code"], "_day", "flight_key",
+                               keys_in_use=opened.select("flight_key").union(closed.select("flight_key"))), "flights")
+    write_run(flights.filter(~F.col("is_current")), root, "dim_flights_closed", run_ts)
+    write_run(flights.filter("is_current"), root, "dim_flights_current", run_ts)
+    # from here on the written dimensions
+    fact = load_fact(score_increment(inc, silver1h), read_flights(spark, root, runs, run_ts),
+                     read_runs(spark, root, "dim_airlines", DIM_AIRLINE_SCHEMA, runs, run_ts),
+                     read_runs(spark, root, "dim_date", DIM_DATE_SCHEMA, runs, run_ts), run_ts, keep=["flight_number"])
+    gold_rows = upsert_best(spark, fact.withColumn("fact_date", F.to_date("window_start")), p("gold", "fact_flight_prices"),
+                            keys=["flight_number", "window_start"], order=[("message_count", True), ("created_at", True)], partition="fact_date")
     write_mark(spark, p("control", "watermarks"), pipeline, hi, run_ts)
-    inc.unpersist()
     return {"gold_rows": gold_rows, "mark": hi}
 
 
-def latest_version(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """The newest complete ``version=`` partition of a versioned table."""
-    full = StructType(schema.fields + [StructField("version", StringType(), False)])
-    t = read_or_empty(spark, path, full)
-    last = t.agg(F.max("version").alias("v"))
-    return t.join(F.broadcast(last), t["version"] == last["v"], "left_semi").select(
-        *schema.fieldNames())
+def read_flights(spark: SparkSession, root: str, runs: DataFrame, run: str) -> DataFrame:
+    """The whole SCD2 dimension as of ``run``: closed versions and open ones."""
+    closed = read_runs(spark, root, "dim_flights_closed", DIM_FLIGHT_SCHEMA, runs, run)
+    return closed.unionByName(current_flights(spark, root, run))
 
 
-__all__ = ["gold_frames", "load_fact", "run_daily", "FACT_COLUMNS", "Gold",
-           "DIM_DATE_SCHEMA", "DIM_AIRLINE_SCHEMA", "DIM_FLIGHT_SCHEMA",
-           "DoubleType", "LongType", "TimestampType"]
+def check_and_audit(spark: SparkSession, root: str, run_ts: str) -> DataFrame:
+    """P8-P14 after a load: the day's checks on the stored tables; if too many
+    ticks were late, the late report (each late tick, its window, whether that
+    window exists) is stored; the audit row is appended.  Returns the checks."""
+    p = lambda *a: os.path.join(root, *a)
+    silver = spark.read.parquet(p("silver", "price_5min"))
+    late = spark.read.parquet(p("silver", "late_arrivals"))
+    fact = spark.read.parquet(p("gold", "fact_flight_prices"))
+    metrics = store(late_metrics(silver, late, run_ts), "metrics")  # one row
+    if metrics.first()["reconcile"]:
+        ticks = late.withColumn("event_timestamp", F.unix_timestamp("event_timestamp"))
+        write_run(late_report(ticks, silver, ["flight_number"]), root, "late_report", run_ts)
+    checks = silver_checks(silver, run_ts).unionByName(gold_checks(fact, run_ts)).unionByName(late_checks(metrics))
+    gold_rows = gold_checks(fact, run_ts).agg(F.max("value").cast("bigint")).scalar()
+    row = audit_row(metrics, gold_rows, run_ts).withColumn("run", F.lit(run_ts))
+    row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(p("control", "audit_log"))
+    return checks
