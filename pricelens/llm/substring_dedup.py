@@ -18,7 +18,7 @@ whose seed occurs more than once in the corpus are sent to the index.
 Words are runs without ASCII white space, unchanged.  Null texts have none.
 Rows that share a doc_id are told apart by text: an identical repeat of a row
 is a copy (not earlier than itself, so nothing is removed on its account).
-A null doc_id is later than any other.  Documents shorter than a window have
+A null doc_id is later than any other.  A text may have 2^32 words.  Documents shorter than a window have
 no window.  Very long texts are worked through in parts of PART words.
 """
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType
 
 from pricelens.llm.common import fields, kind_of, map_rows, mix, pick, rolling, staged, text_bytes, word_hashes
 
@@ -115,31 +115,24 @@ def beside(docs: DataFrame, more: DataFrame, name: str, how: str) -> DataFrame:
 
 
 def repeated_seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
-    """doc_id, version, seeds: those of the document's seeds that occur more
-    than once among different texts of the corpus.  What repeats inside a batch
-    is known at once and needs no meeting: such rows are dealt anywhere, and
-    one row for the batch tells the seed's partition.  So a hot seed sends a
-    row per batch there, and a text of many copies too.  Of equal texts only
-    the row of the smallest doc_id is sure to be kept."""
-    kind = kind_of(docs, "doc_id")
-    schema = fields(deal=LongType(), seed=LongType(), known=IntegerType(), doc_id=kind, version=LongType())
+    """version, seeds: those of a text's seeds that occur more than once among
+    different texts of the corpus.  What repeats inside a batch is known at
+    once and needs no meeting: such rows are dealt anywhere, and one row for
+    the batch tells the seed's partition.  So a hot seed sends a row per batch
+    there, and a text of many copies too.  Two texts of one version (a 64-bit
+    hash) would only get each other's seeds as well."""
+    schema = fields(seed=LongType(), version=LongType(), known=IntegerType())
 
     def rows_of(batch: pa.RecordBatch) -> dict:
-        version = batch["version"].to_numpy()
-        order = np.lexsort((ranks(batch["doc_id"]), version))
-        rows = np.sort(order[np.r_[True, version[order][1:] != version[order][:-1]]])  # the least doc_id of each text
-        texts = text_bytes(batch["text"].take(pa.array(rows)))
-        found = [seed_counts(t, window, seed) for t in texts]
-        at = np.repeat(rows, [len(s) for s, _ in found])
+        version, rows = np.unique(batch["version"].to_numpy(), return_index=True)
+        found = [seed_counts(t, window, seed) for t in text_bytes(batch["text"].take(pa.array(rows)))]
         value = np.concatenate([s for s, _ in found])
         unique, back = np.unique(value, return_inverse=True)
         known = np.bincount(back, np.concatenate([c for _, c in found]), len(unique)) > 1
         told = unique[known]
-        spread = mix(value ^ mix(np.arange(len(value), dtype=np.uint64)))
-        take = pa.array(np.concatenate([at, np.full(len(told), -1)]), pa.int64(), mask=np.arange(len(at) + len(told)) >= len(at))
-        return {"deal": np.concatenate([np.where(known[back], spread, value), told]).view(np.int64), "seed": np.concatenate([value, told]).view(np.int64),
-                "known": np.concatenate([known[back].astype(np.int32), np.full(len(told), TELLS, np.int32)]),
-                "doc_id": batch["doc_id"].take(take), "version": np.concatenate([version[at], np.zeros(len(told), np.int64)])}
+        return {"seed": np.concatenate([value, told]).view(np.int64),
+                "version": np.concatenate([np.repeat(version, [len(s) for s, _ in found]), np.zeros(len(told), np.int64)]),
+                "known": np.concatenate([known[back].astype(np.int32), np.full(len(told), TELLS, np.int32)])}
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted by seed and text: rows whose seed has another text's row beside it."""
@@ -164,11 +157,10 @@ def repeated_seeds(docs: DataFrame, window: int, seed: int) -> DataFrame:
     def told_apart(batch: pa.RecordBatch, same: np.ndarray) -> pa.RecordBatch:
         return batch.filter(pa.array(same & (batch["known"].to_numpy() != TELLS))).select(out)
 
-    out = ["doc_id", "version", "seed"]
-    order = ["seed", "version", "known", F.col("doc_id").asc_nulls_last()]
-    dealt = map_rows(docs, rows_of, schema).repartition("deal").sortWithinPartitions(*order)
-    met = dealt.mapInArrow(meet, fields(doc_id=kind, version=LongType(), seed=LongType()))
-    return met.groupBy("doc_id", "version").agg(F.collect_set("seed").alias("seeds"))
+    out = ["version", "seed"]
+    place = F.when(F.col("known") == KNOWN, F.xxhash64("seed", "version")).otherwise(F.col("seed"))
+    dealt = map_rows(docs, rows_of, schema).repartition(place).sortWithinPartitions("seed", "version", "known")
+    return dealt.mapInArrow(meet, fields(version=LongType(), seed=LongType())).groupBy("version").agg(F.collect_set("seed").alias("seeds"))
 
 
 def joined(a: pa.RecordBatch, b: pa.RecordBatch) -> pa.RecordBatch:
@@ -208,10 +200,12 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
     on that also stand, one after the other, from an earlier place on."""
     kind = kind_of(docs, "doc_id")
     whole = staged(whole_copies(docs), "copies")
-    wanted = without(repeated_seeds(docs, window, seed), whole)
+    wanted = without(docs.select("doc_id", "version").distinct(), whole).join(repeated_seeds(docs, window, seed), "version")
+    wanted = wanted.select("doc_id", "version", "seeds")
     picked = beside(docs, wanted, "seeds", "inner")
     out = fields(doc_id=kind, version=LongType(), start=LongType(), n=LongType(), src_doc=kind, src_start=LongType())
-    schema = StructType([StructField("h1", LongType()), StructField("h2", IntegerType()), *out.fields])
+    run = fields(n=LongType(), src_doc=kind, src_start=LongType())
+    schema = fields(h1=LongType(), h2_start=LongType(), doc_id=kind, version=LongType(), run=run)  # few columns, as there are many rows
 
     def rows_of(batch: pa.RecordBatch) -> dict:
         """Windows of one batch: the first of equal ones goes to the index,
@@ -242,10 +236,11 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
         rows = np.concatenate([row[ask], row[at]])
         source = pa.array(np.concatenate([row[ask], row[src]]), pa.int64(), mask=np.arange(len(rows)) < len(ask))
         spread = mix(mix(np.arange(len(at), dtype=np.uint64)) ^ h1[at])  # settled rows are dealt anywhere
-        return {"h1": np.concatenate([h1[ask], spread]).view(np.int64), "h2": np.concatenate([h2[ask], h2[at]]).astype(np.uint32).view(np.int32),
-                "doc_id": batch["doc_id"].take(pa.array(rows)), "version": batch["version"].take(pa.array(rows)),
-                "start": np.concatenate([start[ask], start[at]]), "n": np.concatenate([np.zeros(len(ask), np.int64), n]),
-                "src_doc": batch["doc_id"].take(source), "src_start": np.concatenate([np.zeros(len(ask), np.int64), start[src]])}
+        packed = h2 << np.uint64(32) | start.astype(np.uint64)
+        settled = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(len(ask), np.int64), n])), batch["doc_id"].take(source),
+                                              pa.array(np.concatenate([np.zeros(len(ask), np.int64), start[src]]))], ["n", "src_doc", "src_start"], mask=pa.array(np.arange(len(rows)) < len(ask)))
+        return {"h1": np.concatenate([h1[ask], spread]).view(np.int64), "h2_start": np.concatenate([packed[ask], packed[at]]).view(np.int64),
+                "doc_id": batch["doc_id"].take(pa.array(rows)), "version": batch["version"].take(pa.array(rows)), "run": settled}
 
     names = [f.name for f in out]
 
@@ -257,20 +252,22 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             batch = batch if held is None else joined(held, batch)
-            h1, h2, start, n = (batch[c].to_numpy() for c in ("h1", "h2", "start", "n"))
+            h1, packed = (batch[c].to_numpy() for c in ("h1", "h2_start"))
+            h2, start, settled = packed >> 32, packed & 0xFFFFFFFF, batch["run"].is_valid().to_numpy(zero_copy_only=False)
             index = np.arange(len(h1))
             entry = np.maximum.accumulate(np.where(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])], index, 0))
             mine = batch["doc_id"]
-            late = (n == 0) & ((start != start[entry]) | ~equal(mine, mine.take(pa.array(entry))))
+            late = ~settled & ((start != start[entry]) | ~equal(mine, mine.take(pa.array(entry))))
             new = index >= (held is not None)
             take, source = np.flatnonzero(late & new), entry[late & new]
             found = batch.take(pa.array(take))
-            yield pa.RecordBatch.from_arrays([found["doc_id"], found["version"], found["start"], pa.array(np.ones(len(take), np.int64)),
+            yield pa.RecordBatch.from_arrays([found["doc_id"], found["version"], pa.array(start[take]), pa.array(np.ones(len(take), np.int64)),
                                               mine.take(pa.array(source)), pa.array(start[source])], names)
-            yield batch.filter(pa.array((n > 0) & new)).select(names)
+            known = batch.filter(pa.array(settled & new))
+            yield pa.RecordBatch.from_arrays([known["doc_id"], known["version"], pa.array(start[settled & new]), *known["run"].flatten()], names)
             held = batch.slice(int(entry[-1]), 1)
 
-    order = [F.col("h1"), F.col("h2"), F.col("doc_id").asc_nulls_last(), F.col("start")]
+    order = [F.col("h1"), F.shiftright("h2_start", 32), F.col("doc_id").asc_nulls_last(), F.col("h2_start")]
     found = map_rows(picked, rows_of, schema).repartition("h1").sortWithinPartitions(*order).mapInArrow(look_up, out)
     return found.union(whole.select("doc_id", "version", F.lit(0).cast("long"), F.lit(ALL).cast("long"), "src_doc", F.lit(0).cast("long")))
 
