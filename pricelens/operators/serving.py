@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from pricelens.functions import calendar as cal
 from pricelens.functions.lookups import alliance
 from pricelens.functions.money import avg_usd, cents_to_usd, to_cents
 from pricelens.operators.anomaly import baseline_stats, zscore
+from pricelens.sources.tables import read_or_empty
 from pricelens.sources.views import SCHEDULE_POSITION
 
 
@@ -90,22 +92,28 @@ def route_summary(summary: DataFrame) -> DataFrame:
                     "min_price", "max_price", "total_anomalies", "last_updated")
 
 
+HOURLY_SCHEMA = ("route_id string, origin string, destination string, season string, is_weekend boolean,"
+                 " airline_count bigint, avg_price double, min_price double, max_price double,"
+                 " total_anomalies bigint, last_updated timestamp, date string, month string")
+
+
 def refresh_if_stale(spark: SparkSession, build: Callable[[], DataFrame], path: str,
-                     lag_seconds: int, run_ts: str, ts_col: str = "last_updated") -> bool:
+                     lag_seconds: int, run_ts: str, ts_col: str = "last_updated",
+                     partition_by: str | None = None) -> bool:
     """Create-or-replace a derived table when it is absent or older than
-    ``lag_seconds`` at ``run_ts`` (B12, TARGET_LAG).  Returns whether it was
+    ``lag_seconds`` at ``run_ts`` (B12, TARGET_LAG); with ``partition_by`` one
+    folder for each value, so that readers prune.  Returns whether it was
     rebuilt.  The staleness test reads one aggregate value."""
-    try:
-        newest = spark.read.parquet(path).agg(F.max(ts_col).alias("m")).first()["m"]
-    except Exception as err:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(err) and "does not exist" not in str(err):
-            raise
-        newest = None
+    newest = read_or_empty(spark, path, StructType([StructField(ts_col, TimestampType())])).agg(F.max(ts_col).alias("m")).first()["m"]
     if newest is not None:
         age = spark.range(1).select(
             (F.unix_timestamp(F.to_timestamp(F.lit(run_ts)))
              - F.unix_timestamp(F.lit(newest).cast("timestamp"))).alias("age")).first()["age"]
         if age <= lag_seconds:
             return False
-    build().write.mode("overwrite").parquet(path)
+    table = build()
+    if partition_by:  # a value's rows in one task, so one file for each
+        table.repartition(partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_by).parquet(path)
+    else:
+        table.write.mode("overwrite").parquet(path)
     return True

@@ -7,10 +7,10 @@ import time
 
 from pyspark.sql import functions as F
 
-from pricelens.functions.lookups import DOMESTIC_CARRIERS, US_HOLIDAYS_2026
+from pricelens.functions.lookups import ALLIANCES, DOMESTIC_CARRIERS, US_HOLIDAYS_2026
 from pricelens.functions.money import avg_usd, to_cents
 from pricelens.operators.dedup import keep_best
-from pricelens.operators.dims import (date_rows, dim_airlines_new, new_members,
+from pricelens.operators.dims import (date_rows, dim_airlines_new, join_point_in_time, new_members,
                                       scd2_apply, scd2_build)
 from pricelens.plans.catalog import (SQL_ON_TIME, SQL_TICKS, register, schedule,
                                      sql_avg, sql_schedule, ticks, with_)
@@ -32,9 +32,7 @@ def _q(xs):
     return ", ".join(f"'{x}'" for x in xs)
 
 
-SQL_SEASON = """CASE WHEN month({d}) IN (12, 1, 2) THEN 'Winter'
-     WHEN month({d}) IN (3, 4, 5) THEN 'Spring'
-     WHEN month({d}) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END"""
+SQL_SEASON = """CASE (month({d}) % 12) // 3 WHEN 0 THEN 'Winter' WHEN 1 THEN 'Spring' WHEN 2 THEN 'Summer' ELSE 'Fall' END"""
 
 
 def sql_date_rows(d: str) -> str:
@@ -46,9 +44,7 @@ def sql_date_rows(d: str) -> str:
   {SQL_SEASON.format(d=d)} AS season"""
 
 
-SQL_ALLIANCE = """CASE WHEN {c} IN ('UA', 'LH', 'AC') THEN 'Star Alliance'
-     WHEN {c} IN ('AA', 'BA', 'QR') THEN 'Oneworld'
-     WHEN {c} IN ('DL', 'AF', 'KL') THEN 'SkyTeam' ELSE 'None' END"""
+SQL_ALLIANCE = "CASE {c} " + " ".join(f"WHEN '{code}' THEN '{name}'" for code, name in ALLIANCES.items()) + " ELSE 'None' END"
 
 
 @register("dim_date", f"""
@@ -164,13 +160,10 @@ def scd2_point_in_time(spark, sf_dir):
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     fact = li.join(o, "l_orderkey")
     dim = _scd2_full(spark, sf_dir).select(
-        F.col("o_custkey").alias("_ck"), "customer_key",
-        F.col("o_orderpriority").alias("priority_at_ship"),
-        F.col("effective_date").alias("_eff"), F.col("expiry_date").alias("_exp"))
-    j = fact.join(dim, (fact["o_custkey"] == dim["_ck"]) & (dim["_eff"] <= fact["ship_date"])
-                  & (fact["ship_date"] < dim["_exp"]), "left")
-    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_date",
-                    "customer_key", "priority_at_ship")
+        "o_custkey", "customer_key", F.col("o_orderpriority").alias("priority_at_ship"),
+        "effective_date", "expiry_date")
+    return join_point_in_time(fact, dim, ["o_custkey"], "ship_date").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_date",
+        "customer_key", "priority_at_ship")
 
 
 # --------------------------------------------------------- increments, D5/D6
@@ -359,6 +352,26 @@ def daily_checks(spark, sf_dir):
         "run_date", "silver_rows", "gold_rows", "late_arrivals", "late_rate", "status")
 
 
+ROUTE = "ORD-7"
+
+
+@register("cheapest_carrier_on_route", with_(*_GOLD_CTES) + f"""
+SELECT al.airline_name, count(*) AS windows,
+       {sql_avg('sum(CAST(round(f.avg_price_usd * 100) AS BIGINT))', 'count(*)')} AS avg_price_usd
+FROM fact f JOIN flk ON f.flight_key = flk.flight_key JOIN al ON f.airline_key = al.airline_key
+WHERE flk.route_id = '{ROUTE}' GROUP BY al.airline_name ORDER BY avg_price_usd, al.airline_name""")
+def cheapest_carrier_on_route(spark, sf_dir):
+    """Carriers on one route (through the flight dimension), cheapest first."""
+    g = gold(spark, sf_dir)
+    flights = g.dim_flights.filter(F.col("route_id") == ROUTE).select("flight_key")
+    j = g.fact.join(flights, "flight_key").join(g.dim_airlines.select("airline_key", "airline_name"), "airline_key")
+    agg = j.groupBy("airline_name").agg(F.count(F.lit(1)).alias("windows"),
+                                        F.sum(to_cents(F.col("avg_price_usd"))).alias("_c"))
+    return agg.select("airline_name", "windows",
+                      avg_usd(F.col("_c"), F.col("windows")).alias("avg_price_usd")) \
+        .orderBy("avg_price_usd", "airline_name")
+
+
 @register("weekend_morning_prices", with_(*_GOLD_CTES) + f"""
 SELECT flk.route_id, count(*) AS windows,
        {sql_avg('sum(CAST(round(f.avg_price_usd * 100) AS BIGINT))', 'count(*)')} AS avg_price_usd

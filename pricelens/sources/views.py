@@ -13,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pricelens.functions.lookups import ALLIANCES, route_id
+from pricelens.functions.lookups import ALLIANCES, INTERNATIONAL_AIRPORTS, route_id
 from pricelens.functions.timefn import epoch_seconds
 
-# --- fixed values of the test views (our own mapping, not source data) ---
-# Airport code of nation key k is AIRPORTS[k].
-AIRPORTS = ["ORD", "LHR", "CDG", "FRA", "NRT", "PVG", "AMS", "GRU", "TPE", "DOH",
+# --- fixed values of the test views ---
+# Airport code of nation key k is AIRPORTS[k]: the hub, the international
+# destinations of the lookups, then further US airports.
+AIRPORTS = ["ORD", *INTERNATIONAL_AIRPORTS,
             "LAX", "SFO", "SEA", "DEN", "MIA", "JFK", "BOS", "ATL", "DFW", "PHX",
             "IAH", "MSP", "DTW", "CLT", "LAS"]
 # Carrier code of supplier s is CARRIERS[s % 16].
