@@ -15,12 +15,23 @@ def _names():
     return sorted(E.queries())
 
 
+LARGER = "/root/testdata/sf0.1"
+# queries whose surrogate keys, interval joins or running totals could go wrong as data grows
+KEYED = ["dim_scd2", "scd2_incremental", "scd2_point_in_time", "dim_airline", "anomaly_zscore_rolling7d", "tick_fixed_5min"]
+
+
 @pytest.fixture(scope="module")
 def duck():
     from tools.oracle_check import duck as make
     return make(SF)
 
 
+@pytest.fixture(scope="module")
+def larger():
+    from tools.oracle_check import duck as make
+    return make(LARGER)
+
+
 def test_contract_has_oracles_for_batch_queries():
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
@@ -29,9 +40,23 @@ def test_contract_has_oracles_for_batch_queries():
 
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, duck, name):
+    compare(spark, duck, SF, name)
+
+
+@pytest.mark.parametrize("partitions", ["16", "200"])
+@pytest.mark.parametrize("name", KEYED)
+def test_keyed_queries_hold_at_a_larger_scale(spark, larger, name, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        compare(spark, larger, LARGER, name)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def compare(spark, duck, sf_dir, name):
     import __spark_entry__ as E
     from tools.oracle_check import digest
-    df = E.queries()[name](spark, SF)
+    df = E.queries()[name](spark, sf_dir)
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
