@@ -43,8 +43,7 @@ def test_query_matches_oracle(spark, duck, name):
     compare(spark, duck, SF, name)
 
 
-@pytest.mark.parametrize("partitions", ["16", "200"])
-@pytest.mark.parametrize("name", KEYED)
+@pytest.mark.parametrize(("name", "partitions"), [*((n, "16") for n in KEYED), ("dim_scd2", "200")])
 def test_keyed_queries_hold_at_a_larger_scale(spark, larger, name, partitions):
     spark.conf.set("spark.sql.shuffle.partitions", partitions)
     try:
