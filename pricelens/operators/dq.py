@@ -61,17 +61,23 @@ def gold_checks(fact: DataFrame, run_ts: str, created_col: str = "created_at") -
 
 
 def late_metrics(silver: DataFrame, late: DataFrame, run_ts: str,
-                 ts_col: str = "processing_timestamp") -> DataFrame:
+                 ts_col: str = "processing_timestamp", per: str = "rows") -> DataFrame:
     """One row: today's silver rows, late rows, late rate (SAFE_DIVIDE then 0)
-    and whether reconciliation runs (rate > 10 %, strict) (P12).  The two
-    one-row aggregates are combined as scalar subqueries."""
+    and whether reconciliation runs (rate > 10 %, strict) (P12).  The rate is
+    ``per`` silver "rows", or per "messages": those in the windows and the
+    late ones.  The one-row aggregates are combined as scalar subqueries."""
+    if per not in ("rows", "messages"):
+        raise ValueError(f"unknown denominator {per!r}")
     day = F.to_date(F.to_timestamp(F.lit(run_ts)))
     s = silver.filter(same_day(F.col(ts_col), day)).agg(F.count(F.lit(1)).alias("v")).scalar()
     lt = late.filter(same_day(F.col(ts_col), day)).agg(F.count(F.lit(1)).alias("v")).scalar()
     one = silver.sparkSession.range(1)
-    rate = F.coalesce(safe_ratio(F.col("late_total"), F.col("total")), F.lit(0.0))
-    return (one.select(s.alias("total"), lt.alias("late_total"))
-            .withColumn("late_rate", rate)
+    out = one.select(s.alias("total"), lt.alias("late_total"))
+    below = F.col("total")
+    if per == "messages":
+        below = silver.filter(same_day(F.col(ts_col), day)).agg(F.coalesce(F.sum("message_count"), F.lit(0)).alias("v")).scalar() + F.col("late_total")
+    rate = F.coalesce(safe_ratio(F.col("late_total"), below), F.lit(0.0))
+    return (out.withColumn("late_rate", rate)
             .withColumn("reconcile", F.col("late_rate") > F.lit(MAX_LATE_RATE)))
 
 

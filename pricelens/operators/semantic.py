@@ -36,8 +36,8 @@ def _m(name, agg, money=False, expr=None):
     return name, Measure(name, expr or name, agg, money)
 
 
-# The model of the serving tables: dimension and measure names with their
-# default aggregations.
+# --- fixed values: dimension and measure names of the serving tables with
+# their default aggregations ---
 MODEL = {
     "hourly_route_summary": SemanticTable(
         "hourly_route_summary",
@@ -50,6 +50,7 @@ MODEL = {
         dict([_m("min_price_usd", "min"), _m("avg_price_usd", "avg", True),
               _m("airline_count", "max")])),
 }
+# --- end of fixed values ---
 
 
 def _agg(m: Measure) -> Column:
@@ -84,7 +85,8 @@ def semantic_query(df: DataFrame, table: SemanticTable, metrics: list[str],
 
 def load_model(path: str) -> dict[str, SemanticTable]:
     """Read a YAML model (tables -> dimensions / measures with
-    ``default_aggregation``); needs PyYAML."""
+    ``default_aggregation``); needs PyYAML.  Averages of prices (``money``, or
+    a name with "price" in it) are exact, as in MODEL."""
     try:
         import yaml  # type: ignore
     except ImportError as err:  # pragma: no cover
@@ -95,7 +97,8 @@ def load_model(path: str) -> dict[str, SemanticTable]:
     for t in doc.get("tables", []):
         dims = {d["name"]: d.get("expr", d["name"]).lower() for d in t.get("dimensions", [])}
         meas = {m["name"]: Measure(m["name"], m.get("expr", m["name"]).lower(),
-                                   m.get("default_aggregation", "sum"))
+                                   m.get("default_aggregation", "sum"),
+                                   bool(m.get("money", "price" in m["name"].lower())))
                 for m in t.get("measures", [])}
         out[t["name"]] = SemanticTable(t["name"], dims, meas)
     return out

@@ -8,11 +8,14 @@ import os
 from pyspark.sql import functions as F
 
 from pricelens.functions.calendar import severity
+from pricelens.functions.timefn import instant, iso_utc
+from pricelens.operators.dq import late_metrics
 from pricelens.operators.late import most_late, split_late
 from pricelens.plans.catalog import SQL_LATE, SQL_ON_TIME, SQL_TICKS, register, sql_schedule, ticks, with_
 from pricelens.plans.q_routes import SQL_TOP, first_per_route
 from pricelens.plans.q_star import SPLIT_DATE, gold
 from pricelens.plans.q_ticks import SQL_SCORED, SQL_SILVER_1HR, SQL_SILVER_5MIN
+from pricelens.plans.silver import late_table, silver_5min
 from pricelens.session import scratch_dir
 from pricelens.sinks.writers import delete_where, overwrite, truncate
 from pricelens.sources.tables import list_files, read_merged, read_or_empty, read_table, union_evolving
@@ -100,9 +103,25 @@ def severity_bands(spark, sf_dir):
 
 
 @register("late_worst", with_(SQL_TICKS, SQL_LATE) + """
-SELECT event_id, flight_number, ingestion_timestamp - event_timestamp AS lateness_seconds FROM late
+SELECT event_id, flight_number, strftime(make_timestamp(event_timestamp * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS event_time,
+  ingestion_timestamp - event_timestamp AS lateness_seconds FROM late
 ORDER BY lateness_seconds DESC, event_timestamp, event_id LIMIT 10""")
 def late_worst(spark, sf_dir):
-    """The ten latest ticks, most late first."""
+    """The ten latest ticks, most late first."""
     _, late = split_late(ticks(spark, sf_dir))
-    return most_late(late, 10, tie=["event_id"]).select("event_id", "flight_number", "lateness_seconds")
+    return most_late(late, 10, tie=["event_id"]).select(
+        "event_id", "flight_number", iso_utc(instant(F.col("event_timestamp"))).alias("event_time"), "lateness_seconds")
+
+
+LATE_DAY = "2024-01-30"
+
+
+@register("late_rate_by_messages", with_(SQL_TICKS, SQL_ON_TIME, SQL_LATE, SQL_SILVER_5MIN) + f""",
+s AS (SELECT count(*) AS n, coalesce(sum(message_count), 0) AS m FROM silver5 WHERE CAST(processing_timestamp AS DATE) = DATE '{LATE_DAY}'),
+l AS (SELECT count(*) AS n FROM late WHERE CAST(make_timestamp(ingestion_timestamp * 1000000) AS DATE) = DATE '{LATE_DAY}')
+SELECT s.n AS total, l.n AS late_total, CASE WHEN s.m + l.n = 0 THEN 0.0 ELSE CAST(l.n AS DOUBLE) / CAST(s.m + l.n AS DOUBLE) END AS late_rate,
+  l.n > 0.1 * (s.m + l.n) AS reconcile FROM s, l""")
+def late_rate_by_messages(spark, sf_dir):
+    """P12 with messages below the line instead of aggregated rows."""
+    t = ticks(spark, sf_dir)
+    return late_metrics(silver_5min(t), late_table(t), f"{LATE_DAY} 12:00:00", per="messages")

@@ -49,6 +49,11 @@ def project_documents(docs: DataFrame, doc_col: str = "doc",
     return docs.select(*cols)
 
 
+def operating_airline(codeshared: Column, marketed: Column) -> Column:
+    """The carrier that flies: the codeshare's, or the marketed one."""
+    return F.coalesce(F.nullif(codeshared, F.lit("")), marketed)
+
+
 def parse_documents(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """JSON text (one document per row) -> VARIANT column ``doc``; unparsable
     text gives a NULL ``doc``."""

@@ -188,3 +188,16 @@ def test_array_files_of_any_size_and_element_rejects(spark, tmp, monkeypatch):
         monkeypatch.setattr(d, "CHUNK", chunk)
         text = json.dumps([one, 123, 4.5e3, "a\\u00e9", {"k": [True, None]}], ensure_ascii=False)
         assert [t for t, _ in d.array_elements(io.BytesIO(text.encode()))] == [json.dumps(x, ensure_ascii=False) for x in json.loads(text)]
+
+
+def test_operating_airline_and_model_from_a_file(spark, tmp):
+    from pricelens.operators.semantic import MODEL, load_model, semantic_query
+    from pricelens.sources.documents import operating_airline
+    df = spark.createDataFrame([("BA", "AA"), (None, "AA"), ("", "AA")], "c string, m string")
+    assert [r[0] for r in df.select(operating_airline(F.col("c"), F.col("m"))).collect()] == ["BA", "AA", "AA"]
+    pytest.importorskip("yaml")
+    with open(f"{tmp}/m.yaml", "w") as f:
+        f.write("tables:\n- name: hourly_route_summary\n  dimensions:\n  - {name: season}\n  measures:\n  - {name: avg_price, default_aggregation: avg}\n")
+    rows = spark.createDataFrame([("S", 10.0), ("S", 20.01)], "season string, avg_price double")
+    got = [semantic_query(rows, m["hourly_route_summary"], ["avg_price"], ["season"]).first()[1] for m in (MODEL, load_model(f"{tmp}/m.yaml"))]
+    assert got == [15.01, 15.01]
