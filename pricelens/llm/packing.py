@@ -8,9 +8,9 @@ residual (largest) or the weighted norm of what would be left (smallest)
 selects.  Only documents longer than a sequence are cut.
 
 Scale: lengths are staged without the texts; random groups of about
-``GROUP_SEQUENCES`` sequences' worth of tokens are packed independently, so a
-task holds a bounded number of pieces whatever the keys look like, and each
-group wastes at most a few part-filled sequences.
+``GROUP_SEQUENCES`` sequences' worth of tokens are packed independently, one
+at a time, so a task holds a bounded number of pieces whatever the keys look
+like, and each group wastes at most a few part-filled sequences.
 
 Null text: as empty, a document of only the end id.  Repeated rows (also of
 one doc_id) are separate documents.  An empty table gives no pieces.
@@ -38,6 +38,7 @@ from pricelens.llm.token_counts import byte_symbols
 CACHE_WORDS = 500_000
 GROUP_SEQUENCES = 2_000
 GROUP_PIECES = 50_000
+MOST_TASKS = 20_000  # beyond so many groups a task packs several, one after the other
 _PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")  # characters that the normaliser only lower-cases
 _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")  # the vocabulary's own pattern, on those
 
@@ -184,20 +185,25 @@ def pack(df: DataFrame, path: str, capacity: int = 4096, end_id: int = 1, max_do
     schema = StructType([*pieces.drop("row").schema.fields, *fields(sequence_id=LongType(), offset=LongType()).fields])
     arrow = to_arrow_schema(schema)
 
+    def packed(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        bins, offsets = best_fit(part["length"].to_numpy(), capacity, max_docs, max_attention, weights, rule)
+        columns = [part[f.name].combine_chunks() for f in arrow if f.name not in ("sequence_id", "offset")]
+        columns += [pa.array((part["group"][0].as_py() << 32) + bins), pa.array(offsets)]
+        return pa.Table.from_arrays(columns, schema=arrow).to_batches(max_chunksize=10_000)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [b for b in batches if b.num_rows]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts).combine_chunks()
-        group = table["group"].to_numpy()
-        order = np.lexsort((table["row"].to_numpy(), group))  # the same result when a lost task runs again
-        group, table = group[order], table.take(pa.array(order))
-        cuts = np.flatnonzero(np.r_[True, group[1:] != group[:-1], True])
-        for a, z in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            part = table.slice(a, z - a)
-            bins, offsets = best_fit(part["length"].to_numpy(), capacity, max_docs, max_attention, weights, rule)
-            columns = [part[f.name].combine_chunks() for f in arrow if f.name not in ("sequence_id", "offset")]
-            columns += [pa.array((int(group[a]) << 32) + bins), pa.array(offsets)]
-            yield from pa.Table.from_arrays(columns, schema=arrow).to_batches(max_chunksize=10_000)
-
-    return grouped.repartition(groups, "group").mapInArrow(run, schema)
+        """Sorted by group, one group at a time."""
+        held: list[pa.RecordBatch] = []  # the group that may go on
+        for batch in batches:
+            group = batch["group"].to_numpy()
+            cuts = np.flatnonzero(np.r_[not held or group[:1] != held[0]["group"][0].as_py(), group[1:] != group[:-1]]) if len(group) else []
+            for a, z in zip([0, *cuts], [*cuts, len(group)], strict=True):
+                if a in cuts and held:
+                    yield from packed(pa.Table.from_batches(held))
+                    held = []
+                if z > a:
+                    held.append(batch.slice(a, z - a))
+        if held:
+            yield from packed(pa.Table.from_batches(held))
+
+    return grouped.repartition(min(groups, MOST_TASKS), "group").sortWithinPartitions("group", "row").mapInArrow(run, schema)

@@ -64,11 +64,16 @@ def test_pieces_and_sequences(spark):
     assert len({s for s, _, _ in placed}) <= -(-total // 4096) + 1
 
 
-def test_many_groups_stay_whole(spark, monkeypatch):
+@pytest.mark.parametrize("tasks", [2, 20_000])
+def test_many_groups_stay_whole(spark, monkeypatch, tasks):
     monkeypatch.setattr(packing, "GROUP_PIECES", 20)
+    monkeypatch.setattr(packing, "MOST_TASKS", tasks)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     got = packing.pack(frame(spark, docs()), PATH)
     assert B.packing_faults([tuple(r) for r in got.select("sequence_id", "offset", "length").collect()]) == []
-    assert got.count() == len(B.pieces(docs(), PATH))
+    assert rows(got, "doc_id", "piece", "start", "length", "ids_crc32") == sorted(B.pieces(docs(), PATH), key=repr)
+    assert got.select((got["sequence_id"] / 2**32).cast("int").alias("g")).distinct().count() > 10
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
 @pytest.mark.parametrize("rule", ["norm", "dot"])
