@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -15,17 +17,14 @@ def labelled_texts(documents: DataFrame, labels: DataFrame, label: Column, per_c
     """doc_id, text, label of at most ``per_class[c]`` documents of each class:
     those whose ids have the least hashes, so the same at every run.  ``label``
     is over the columns of ``labels``; rows with a null id or label are left
-    out, of several labels of one id the least counts.  The id lists are
-    bounded by ``per_class``, so they may be broadcast."""
+    out, of several labels of one id the least counts.  The list of ids is
+    bounded by ``per_class``, so it may be broadcast; the documents are read
+    once.  (Rows that repeat an id are bounded by the caller.)"""
     classes = labels.select(F.col(f"`{label_id}`").alias("id"), label.cast("int").alias("label")).dropna().groupBy("id").agg(F.min("label").alias("label"))
     docs = pick(documents, doc_id=id_col, text=text_col)
-    out = None
-    for c, bound in per_class.items():
-        ids = classes.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(bound)
-        # a repeated id must not carry the sample over its bound
-        rows = docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"]).select("doc_id", "text", "label")
-        out = rows if out is None else out.union(rows)
-    return out
+    least = [classes.where(F.col("label") == c).orderBy(F.xxhash64("id"), "id").limit(bound) for c, bound in per_class.items()]
+    ids = reduce(DataFrame.union, least)
+    return docs.join(F.broadcast(ids), docs["doc_id"] == ids["id"]).select("doc_id", "text", "label")
 
 
 def bounded(features: DataFrame, bound: int, order: list[str]) -> pa.Table:

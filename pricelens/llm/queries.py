@@ -17,45 +17,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), TOKENIZER, limit=2048)
 
 
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     return simhash.digest(simhash.components(table(spark, sf_dir, "documents"), shingle=4, distance=4))
 
 
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words hit by benchmark windows, for every document."""
     return decontaminate.digest(decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
 
 
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that repeat earlier windows, for every document."""
     return substring_dedup.digest(substring_dedup.parse(table(spark, sf_dir, "documents"), window=20))
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document."""
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, capacity=4096, end_id=1)
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document; fitted outside the held-out fold."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return toxicity.score(documents, toxicity.train(documents, labels))
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archives give it back."""
     return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and the trees' verdict on every document."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_rules.judge(documents, quality_rules.train(documents, labels))
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return secrets.digest(secrets.scan(documents, secrets.train(secrets.samples(documents, labels))))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probability of every document."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_ordinal.score(documents, quality_ordinal.train(documents, labels, quality_ordinal.grade_of(), grades=3), wanted=1)
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType
 
-from pricelens.llm.common import fields, kind_of, map_rows, pick, text_bytes
+from pricelens.llm.common import fields, kind_of, map_rows, text_bytes
 from pricelens.llm.labelled import Adam, Sparse, bounded, labelled_texts, sigmoid
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 2_000, 3_500
