@@ -2,9 +2,17 @@
 
 Base kinds are found by their patterns.  Beyond them, long runs of identifier
 characters are judged by two character Markov models, one of random strings
-and one of ordinary identifiers: the log-likelihood ratio of the run's
-transitions must reach ``MIN_RATIO`` in sum and ``MIN_MEAN`` a character, and
-the run must have ``MIN_DISTINCT`` different characters (rules of dashes don't).
+and one of ordinary identifiers.  Judged are the best stretches of a run's
+pieces between the characters of ``GLUE``: the running sum of the transitions'
+log-likelihood ratios, less ``MIN_MEAN`` a character, begins anew after a piece
+where it has fallen to nothing, or by ``MIN_RATIO`` from its height, so ordinary
+names joined to a secret don't outweigh it, and several secrets in one run are
+all found (transitions from or to a character of ``GLUE`` weigh nothing here).
+A stretch's ratio must reach ``MIN_RATIO``.  It is widened over neighbouring
+pieces that weigh less than ``MIN_RATIO`` against it, so that no end of a secret
+stays, and must have ``MIN_SIZE`` characters, ``MIN_DISTINCT`` different ones
+(rules of dashes don't).  A run without such a stretch counts as a whole when
+its sum over all transitions reaches both bounds.
 Both models are counted from labelled samples: (string, label) rows.
 
 Offsets come from the lengths of what stands between the matches (split) and
@@ -29,13 +37,16 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = "AKIA[A-Z0-9]{16,}"  # greedy runs: the same matches as any length, then 20 characters or more
 HEX = "[0-9a-f]{24,}"
-RUN = "[A-Za-z0-9+/_=-]{20,}"
+MIN_SIZE = 20
+RUN = f"[A-Za-z0-9+/_=-]{{{MIN_SIZE},}}"
+GLUE = "/_=-"  # the last of ALPHABET
 KINDS = ["assign", "access", "hex", "markov"]
 MIN_ASSIGNED = 6
 MIN_RATIO, MIN_MEAN, MIN_DISTINCT = 10.0, 0.3, 8
 SAMPLE_DOCUMENTS, SAMPLE_RANDOM = 400, 2_000
 BLOCK = 64
 SPAN = "array<struct<start:int,kind:int,end:int>>"
+STRETCHES = "array<struct<start:int,end:int>>"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -110,12 +121,67 @@ def train(labelled: DataFrame) -> list[float]:
     return [r - o for r, o in zip(of[1], of[0], strict=True)]
 
 
-def ratio(codes: Column, table: list[float]) -> Column:
-    """Sum of the transitions' log-likelihood ratios."""
+def steps(codes: Column, table: list[float]) -> Column:
+    """The transitions' log-likelihood ratios."""
     k = len(ALPHABET)
     values = F.split(F.lit(",".join(f"{v:.4f}" for v in table)), ",").cast("array<double>")  # folded to one literal
-    steps = F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, F.lit(2), F.size(codes)), lambda a, b: F.when(b.isNotNull(), F.get(values, (a - 1) * k + b - 1)).otherwise(F.lit(0.0)))
-    return F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + x)
+    return F.zip_with(F.slice(codes, 1, F.size(codes) - 1), F.slice(codes, 2, F.size(codes) - 1), lambda a, b: F.get(values, (a - 1) * k + b - 1))
+
+
+def forward(codes: Column, ratios: Column) -> Column:
+    """Stretches (start, end) of a run's pieces in one pass: from the piece at which
+    the sum begins to the last one before it falls by MIN_RATIO."""
+    def named(**values):
+        return F.struct(*[v.alias(k) for k, v in values.items()])
+
+    def one(start, end):
+        return F.array(named(start=start, end=end)).cast(STRETCHES)
+
+    def piece_end(acc, total, ratio):
+        on = acc["on"] | ((total > 0) & (ratio >= MIN_RATIO))
+        fell = acc["best"] - total >= MIN_RATIO
+        anew = F.when(on, fell).otherwise(total <= 0)
+        zero = lambda v: F.when(anew, F.lit(0.0)).otherwise(v)
+        return named(at=acc["at"] + 1, start=F.when(anew, acc["at"] + 1).otherwise(acc["start"]), end=F.when(on & ~fell, acc["at"]).otherwise(acc["end"]),
+                     sum=zero(total), ratio=zero(ratio), best=zero(F.greatest(acc["best"], total)), on=on & ~anew,
+                     found=F.when(on & fell, F.concat(acc["found"], one(acc["start"], acc["end"]))).otherwise(acc["found"]))
+
+    def step(acc, c):
+        total, ratio = acc["sum"] + c["x"] - MIN_MEAN, acc["ratio"] + c["x"]
+        inside = named(at=acc["at"] + 1, start=acc["start"], end=acc["end"], sum=total, ratio=ratio, best=acc["best"], on=acc["on"], found=acc["found"])
+        return F.when(c["cut"], piece_end(acc, total, ratio)).otherwise(inside)
+
+    x = F.concat(F.array(F.lit(0.0)), ratios, F.array(F.lit(0.0)))  # into each character, and the run's end
+    cut = F.concat(F.transform(codes, lambda c: c > len(ALPHABET) - len(GLUE)), F.array(F.lit(True)))
+    state = named(at=F.lit(0), start=F.lit(0), end=F.lit(0), sum=F.lit(0.0), ratio=F.lit(0.0), best=F.lit(0.0), on=F.lit(False), found=F.array().cast(STRETCHES))
+    return F.aggregate(F.arrays_zip(x.alias("x"), cut.alias("cut")), state, step,
+                       lambda acc: F.when(acc["on"], F.concat(acc["found"], one(acc["start"], acc["end"]))).otherwise(acc["found"]))
+
+
+def joined(spans: Column) -> Column:
+    """Overlapping stretches as one."""
+    def step(acc, s):
+        last = F.element_at(acc, -1)
+        more = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(acc) > 0) & (s["start"] < F.get(acc, F.size(acc) - 1)["end"]), more).otherwise(F.concat(acc, F.array(s))).cast(STRETCHES)
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(STRETCHES), step)
+
+
+def stretches(codes: Column, table: list[float]) -> Column:
+    """The stretches (start, end) of a run that count as secrets."""
+    k, own = len(ALPHABET), len(ALPHABET) - len(GLUE)
+    inner = [v if p // k < own and p % k < own else 0.0 for p, v in enumerate(table)]
+
+    def judged(r):
+        size, ratio = F.size(codes), F.aggregate(steps(codes, table), F.lit(0.0), lambda acc, x: acc + x)
+        back = F.transform(forward(F.reverse(codes), F.reverse(r)), lambda s: F.struct((size - s["end"]).alias("start"), (size - s["start"]).alias("end")))
+        mixed = lambda s: F.size(F.array_distinct(F.slice(codes, s["start"] + 1, s["end"] - s["start"]))) >= MIN_DISTINCT
+        whole = F.array(F.struct(F.lit(0).alias("start"), size.alias("end"))).cast(STRETCHES)
+        best = F.filter(joined(F.concat(forward(codes, r), back)), lambda s: (s["end"] - s["start"] >= MIN_SIZE) & mixed(s))
+        return let(best, lambda b: F.when((F.size(b) > 0) | (ratio < MIN_RATIO) | (ratio < MIN_MEAN * size), b).otherwise(F.filter(whole, mixed)))
+
+    return let(steps(codes, inner), judged)
 
 
 def scan(df: DataFrame, table: list[float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,9 +196,10 @@ def with_spans(rows: DataFrame, table: list[float]) -> DataFrame:
     base = F.array_sort(F.concat(matches("text", ASSIGN, 0, 2, MIN_ASSIGNED), matches("text", ACCESS, 1), matches("text", HEX, 2)))
     rows = rows.withColumn("base", base).withColumn("runs", matches("text", RUN, 3))
     runs = F.transform("runs", lambda s: F.struct(s.alias("span"), F.transform(F.filter(F.split(F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]), F.lit("")), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c)).alias("codes")))
-    scored = F.transform(runs, lambda r: F.struct(r["span"].alias("span"), ratio(r["codes"], table).alias("ratio"), F.size(r["codes"]).alias("size"), F.size(F.array_distinct(r["codes"])).alias("distinct")))
-    kept = F.filter(scored, lambda r: (r["ratio"] >= MIN_RATIO) & (r["ratio"] >= MIN_MEAN * r["size"]) & (r["distinct"] >= MIN_DISTINCT) & ~F.exists("base", lambda b: (b["start"] <= r["span"]["start"]) & (r["span"]["end"] <= b["end"])))
-    added = F.when(F.size("runs") > 0, F.transform(kept, lambda r: r["span"])).otherwise(F.array().cast(SPAN))
+    best = F.flatten(F.transform(runs, lambda r: F.transform(stretches(r["codes"], table), lambda s: F.struct(
+        (r["span"]["start"] + s["start"]).alias("start"), r["span"]["kind"].alias("kind"), (r["span"]["start"] + s["end"]).alias("end")))))
+    kept = F.filter(best, lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
+    added = F.when(F.size("runs") > 0, kept).otherwise(F.array().cast(SPAN)).cast(SPAN)
     return rows.withColumn("found", F.array_sort(F.concat("base", added))).drop("runs")
 
 

@@ -2,6 +2,7 @@
 fitted parts on held-out rows and built cases."""
 
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -182,6 +183,31 @@ def test_markov_tells_random_strings_from_names(spark, ratios):
     assert [found[40 + i] for i in range(len(names))] == [""] * len(names)
 
 
+def test_markov_finds_secrets_glued_to_names(spark, ratios):
+    rng = random.Random(9)
+    letters, words = secrets.ALPHABET[:62], [w for r in read(spark, "documents").orderBy("doc_id").limit(50).collect() for w in re.findall("[A-Za-z]{4,}", r["text"] or "")]
+    token = lambda n, of=letters: "".join(rng.choice(of) for _ in range(n))
+    glued = lambda n: "".join(rng.choice(words) + rng.choice("/=_-") for _ in range(n))
+    texts, want = [], []
+    for made in [[token(n)] for n in (20, 24, 32) for _ in range(20)] + [[token(32, letters + "-_")] for _ in range(20)] + [[token(24), token(24), token(24)] for _ in range(20)]:
+        text, spans = "é ", []
+        for t in made:
+            text += glued(8)
+            spans.append((len(text), len(text) + len(t)))
+            text += t + "/"
+        texts.append(text + glued(4) + "end")
+        want.append(spans)
+    texts.append(glued(60) + "end")
+    found = {r["doc_id"]: [(s["start"], s["end"]) for s in r["found"] if s["kind"] == 3] for r in secrets.scan(frame(spark, texts), ratios).where("doc_id is not null").collect()}
+    missed = [texts[i][a:b] for i, spans in enumerate(want) for a, b in spans if not any(s <= a and b <= e for s, e in found[i])]
+    assert len(missed) <= 2, missed
+    assert found[len(want)] == []
+    assert all(sum(e - s for s, e in found[i]) < len(texts[i]) - 40 for i in range(len(want)))  # the names before stay
+    secret, names = token(32), glued(8)
+    masked = secrets.redact(frame(spark, [f"see {names}{secret} there"]), ratios).first()["text"]
+    assert secret not in masked and masked.startswith("see " + names[:10]) and masked.endswith("[SECRET] there"), masked
+
+
 def test_masking(spark, ratios):
     df = spark.createDataFrame([(1, "a password=abcdef b", 0, "k"), (2, "nothing", 7, "k"), (3, None, None, "k")], "doc_id long, text string, n_chars long, found string")
     got = rows(secrets.redact(df, ratios, length_col="n_chars"), *df.columns)
