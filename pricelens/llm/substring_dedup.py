@@ -1,11 +1,12 @@
-"""Substring dedup by relative Lempel-Ziv parsing against the whole corpus.
+"""Substring dedup by an exact window index over the whole corpus, in place of
+a greedy relative Lempel-Ziv parse (no longest match is sought).
 
 The corpus is its own reference, indexed in blocks dealt by window
 fingerprint: an entry says where the word sequence of a window of ``window``
-words starts first (smallest doc_id, then smallest start).  Each document is
-factored greedily: a factor copies from a source, goes on while the next
-window's entry is the next place of the same source, and ends where it is
-not.  At each such factor boundary the windows that cross it are looked up by
+words starts first (smallest doc_id, then smallest start).  Every window that
+may repeat is looked up; factors are put together afterwards: one copies from a
+source, goes on while the next window's entry is the next place of the same
+source, and ends where it is not.  At each such factor boundary the windows that cross it are looked up by
 themselves, so a repeat that spans two factors is not missed.  Factors are a
 window long at least; the words they cover are duplicate spans.
 
@@ -273,7 +274,7 @@ def copies(docs: DataFrame, window: int, seed: int) -> DataFrame:
 
 
 def factors_of(found: list[dict] | None, n_words: int, window: int) -> list[tuple[int, int, object, int]]:
-    """(first word, words, source document, first word there) of each factor: the greedy parse."""
+    """(first word, words, source document, first word there) of each factor: windows whose places follow each other."""
     out: list[list] = []
     for f in sorted(found or [], key=lambda f: f["start"]):
         if out and out[-1][0] + out[-1][1] == f["start"] and out[-1][2] == f["src_doc"] and out[-1][3] + out[-1][1] == f["src_start"]:
