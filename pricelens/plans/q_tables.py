@@ -46,11 +46,19 @@ def added_column(spark, sf_dir):
 
 @register("stage_listing", "SELECT count(*) > 0 AS written, count(*) > 0 AS sized FROM orders HAVING count(*) > 0")
 def stage_listing(spark, sf_dir):
-    """The files of a stored table with their sizes, contents unread."""
+    """The files of a stored table with their sizes, contents unread.  Written:
+    the listing has the very files that the stored rows lie in, and these hold
+    every row of the table."""
     path = scratch_dir(spark, "stage")
-    read_table(spark, sf_dir, "orders").write.parquet(path)
-    files = list_files(spark, path, "*.parquet")
-    return files.agg((F.count(F.lit(1)) > 0).alias("written"), (F.min("length") > 0).alias("sized"))
+    orders = read_table(spark, sf_dir, "orders")
+    orders.write.parquet(path)
+    files = list_files(spark, path, "*.parquet").select(F.element_at(F.split("path", "/"), -1).alias("listed"), "length")
+    stored = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    both = files.join(stored, F.col("listed") == F.col("file"), "full")
+    found = both.agg((F.count("listed") > 0).alias("some"), (F.count("listed") == F.count(F.lit(1))).alias("all"),
+                     F.sum(F.when(F.col("listed").isNotNull(), F.col("n"))).alias("n"), (F.min("length") > 0).alias("sized"))
+    rows = orders.agg(F.count(F.lit(1)).alias("rows"))
+    return found.crossJoin(rows).select((F.col("some") & F.col("all") & (F.coalesce("n", F.lit(0)) == F.col("rows"))).alias("written"), "sized")
 
 
 @register("active_routes_snapshot", with_(sql_schedule(), SQL_TOP) + f"""

@@ -107,3 +107,13 @@ def test_semantic_rejects_unknown_and_global(spark):
         semantic_query(df, t, ["revenue"], ["route_id"])
     one = semantic_query(df, t, ["avg_price", "total_anomalies", "airline_count"]).collect()
     assert len(one) == 1 and one[0].avg_price == 15.01 and one[0].airline_count == 3
+
+
+def test_stage_listing_misses_no_file(spark, tmp, monkeypatch):
+    from pricelens.plans import q_tables
+    spark.range(100).withColumnRenamed("id", "o_orderkey").repartition(3).write.parquet(f"{tmp}/orders.parquet")
+    got = lambda: [tuple(r) for r in q_tables.stage_listing(spark, tmp).collect()]
+    assert got() == [(True, True)]
+    listed = q_tables.list_files
+    monkeypatch.setattr(q_tables, "list_files", lambda *a: listed(*a).orderBy("path").limit(1))
+    assert got() == [(False, True)]
