@@ -58,7 +58,7 @@ def oracle_sql() -> dict[str, str]:
 def _load() -> None:
     # importing the query modules registers them
     from pricelens.plans import (q_ticks, q_star, q_dq, q_routes, q_serving,  # noqa: F401
-                                 q_monitoring, q_streams, q_tables)
+                                 q_load, q_monitoring, q_streams, q_tables)
 
 
 # --------------------------------------------------------------------- inputs

@@ -1,23 +1,17 @@
 """Nested schedule documents.
 
-Each file holds one JSON array of flight documents.  Its elements are streamed
-into rows, one VARIANT each, and typed columns are projected by path with
-``try_variant_get`` -- unknown keys survive in ``raw_json``.  What does not
-parse lands in the reject frame instead of failing the load
-(ON_ERROR=CONTINUE).
+Each file holds one JSON array of flight documents.  Its elements become rows
+(``json_arrays``), one VARIANT each, and typed columns are projected by path
+with ``try_variant_get`` -- unknown keys survive in ``raw_json``.  What does
+not parse lands in the reject frame instead of failing the load.
 """
 
 from __future__ import annotations
 
-import codecs
-import json
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelens.sources.json_arrays import LONGEST, RANGE, REJECT_TEXT, array_rows
 from pricelens.sources.tables import list_files
 
 # (output column, JSON path, type)
@@ -95,104 +89,20 @@ def project_text_documents(texts: DataFrame, text_col: str = "text", paths=SCHED
     return base.select(*cols)
 
 
-CHUNK = 1 << 20
-LONGEST = 256 << 20  # characters of one element
-
-
-def array_elements(stream) -> Iterator[tuple[str | None, str | None]]:
-    """(text, reason) of each element of a JSON array read in chunks; reason
-    is None for an object.  Memory is bounded by the longest element.  After
-    text that is not JSON the rest of the file cannot be told apart: one last
-    reject says where."""
-    decode, scan = codecs.getincrementaldecoder("utf-8")(), json.JSONDecoder().raw_decode
-    buf, pos, gone, size, ended = "", 0, 0, CHUNK, False
-
-    def more() -> bool:
-        nonlocal buf, pos, gone, ended
-        if not ended:
-            data = stream.read(size)
-            ended = len(data) < size
-            buf, gone, pos = buf[pos:] + decode.decode(data, final=ended), gone + pos, 0
-            return True
-        return False
-
-    def blank() -> bool:
-        """Over white space; False at the end of the file."""
-        nonlocal pos
-        while True:
-            while pos < len(buf) and buf[pos] in " \t\r\n":
-                pos += 1
-            if pos < len(buf):
-                return True
-            if not more():
-                return False
-
-    try:
-        if not blank() or buf[pos] != "[":
-            yield None, "not_an_array"
-            return
-        pos, after = pos + 1, "["
-        while blank():
-            if buf[pos] == "]" and after != ",":
-                return
-            if after == "element":
-                if buf[pos] != ",":
-                    break
-                pos, after = pos + 1, ","
-                continue
-            try:
-                value, end = scan(buf, pos)
-            except json.JSONDecodeError as e:
-                cut = e.pos >= len(buf) - 16 or e.msg.startswith(("Unterminated", "Invalid"))
-                if not cut or len(buf) - pos > LONGEST or not more():
-                    break
-                size *= 2
-                continue
-            if (end == len(buf) or buf[end] not in " \t\r\n,]") and end > len(buf) - 16 and more():  # a number may go on
-                continue
-            yield buf[pos:end], None if isinstance(value, dict) else "not_an_object"
-            pos, after, size = end, "element", CHUNK
-        yield None, f"malformed_after_character_{gone + pos}"
-    except UnicodeDecodeError:
-        yield None, "not_utf8"
-
-
-def _open(path: str):
-    if path.startswith("file:"):
-        return fs.LocalFileSystem().open_input_stream("/" + path[5:].lstrip("/"))
-    system, name = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(name)
-
-
-def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["file_path", "position", "text", "reason"]
-    types = [pa.string(), pa.int64(), pa.string(), pa.string()]
-    pack = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
-    for batch in batches:
-        for path in batch["path"].to_pylist():
-            rows, held = [], 0
-            with _open(path) as stream:
-                for k, (text, reason) in enumerate(array_elements(stream)):
-                    rows.append((path, k, text, reason))
-                    held += len(text or "")
-                    if held > 4 * CHUNK:
-                        yield pack(rows)
-                        rows, held = [], 0
-            if rows:
-                yield pack(rows)
-
-
-def load_documents(spark: SparkSession, path: str, run_ts: str | None = None,
-                   glob: str = "*.json") -> tuple[DataFrame, DataFrame]:
-    """(rows, rejects) from a folder of JSON-array files (A5, A6, P16).  Files
-    are dealt over tasks and streamed element by element, so a file of any
-    size loads; an element that is no object, or text that is no JSON, becomes
-    a reject (file_path, position, reason, text) and the other elements stay."""
-    files = list_files(spark, path, glob).select("path")
-    tagged = files.repartition("path").mapInArrow(_elements, "file_path string, position long, text string, reason string")
-    parsed = parse_documents(tagged).withColumn("reason", F.coalesce(
+def load_documents(spark: SparkSession, path: str, run_ts: str | None = None, glob: str = "*.json",
+                   range_bytes: int = RANGE, longest: int = LONGEST) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) from a folder of JSON-array files.
+
+    Files are cut into ranges of ``range_bytes``, so one file of any size is
+    read by many tasks (see ``json_arrays``).  An element that is no object, no
+    JSON, no UTF-8 or longer than ``longest`` bytes costs one reject
+    (file_path, position, reason, text: at most REJECT_TEXT characters) and
+    the load goes on with the next one.  A file of no bytes is not listed and
+    gives neither."""
+    elements = array_rows(list_files(spark, path, glob).select("path"), range_bytes, longest=longest)
+    parsed = parse_documents(elements).withColumn("reason", F.coalesce(
         "reason", F.when(F.col("doc").isNull(), F.lit("not_a_variant"))))
-    bad = parsed.filter(F.col("reason").isNotNull()).select("file_path", "position", "reason", "text")
+    bad = parsed.filter(F.col("reason").isNotNull()).select("file_path", "position", "reason", F.left("text", F.lit(REJECT_TEXT)).alias("text"))
     out = project_documents(parsed.filter(F.col("reason").isNull()), keep=["file_path"])
     loaded: Column = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
     return out.withColumn("loaded_at", loaded), bad

@@ -164,9 +164,7 @@ def test_a_failed_daily_run_is_repeated(spark, tmp, monkeypatch, broken):
     assert spark.read.parquet(f"{tmp}/control/audit_log").count() == 1
 
 
-def test_array_files_of_any_size_and_element_rejects(spark, tmp, monkeypatch):
-    import io
-
+def test_array_files_of_any_size_and_element_rejects(spark, tmp):
     from pricelens.sources import documents as d
     os.makedirs(f"{tmp}/stage")
     one = {"flight_date": "2024-01-01", "departure": {"iata": "ORD"}, "flight": {"iata": "UA1"}, "extra": [1, {"x": "é]}\"\\"}]}
@@ -181,13 +179,9 @@ def test_array_files_of_any_size_and_element_rejects(spark, tmp, monkeypatch):
     good, bad = d.load_documents(spark, f"{tmp}/stage", "2024-01-02 00:00:00")
     count = {os.path.basename(r["file_path"]): r["count"] for r in good.groupBy("file_path").count().collect()}
     assert count == {"a.json": 3, "big.json": 20_000, "cut.json": 1}
-    reasons = sorted((os.path.basename(r["file_path"]), r["position"], r["reason"].rstrip("0123456789")) for r in bad.collect())
+    reasons = sorted((os.path.basename(r["file_path"]), r["position"], r["reason"]) for r in bad.collect())
     assert reasons == [("a.json", 1, "not_an_object"), ("a.json", 2, "not_an_object"), ("a.json", 3, "not_an_object"), ("a.json", 4, "not_an_object"),
-                       ("cut.json", 1, "malformed_after_character_"), ("none.json", 0, "not_an_array")]
-    for chunk in (1, 2, 7):  # the same whatever the chunks
-        monkeypatch.setattr(d, "CHUNK", chunk)
-        text = json.dumps([one, 123, 4.5e3, "a\\u00e9", {"k": [True, None]}], ensure_ascii=False)
-        assert [t for t, _ in d.array_elements(io.BytesIO(text.encode()))] == [json.dumps(x, ensure_ascii=False) for x in json.loads(text)]
+                       ("cut.json", 1, "array_not_closed"), ("none.json", 0, "not_an_array")]
 
 
 def test_operating_airline_and_model_from_a_file(spark, tmp):
