@@ -17,6 +17,47 @@ def baseline_stats(df: DataFrame, key: str | list[str], value: str = "avg_price_
                                  F.stddev_samp(value).alias("rolling_stddev"))
 
 
+def moments(df: DataFrame, key: str, value: str = "avg_price_usd", sign: Column | None = None) -> DataFrame:
+    """Per key the mergeable state of a baseline: ``n``, ``s`` (sum of cents)
+    and ``q`` (sum of their squares), exact.  ``sign`` (1 or -1 a row) takes
+    replaced rows out again."""
+    cents, one = to_cents(F.col(value)), sign if sign is not None else F.lit(1)
+    wide = cents.cast("decimal(19,0)")
+    return df.groupBy(key).agg(F.coalesce(F.sum(F.when(cents.isNotNull(), one)), F.lit(0)).cast("bigint").alias("n"),
+                               F.coalesce(F.sum(wide * one), F.lit(0)).cast("decimal(38,0)").alias("s"),
+                               F.coalesce(F.sum(wide * wide * one), F.lit(0)).cast("decimal(38,0)").alias("q"))
+
+
+def merge_moments(parts: list[DataFrame], key: str) -> DataFrame:
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy(key).agg(F.sum("n").alias("n"), F.sum("s").cast("decimal(38,0)").alias("s"), F.sum("q").cast("decimal(38,0)").alias("q"))
+
+
+def moment_stats(state: DataFrame, key: str) -> DataFrame:
+    """The columns of ``baseline_stats`` from merged moments."""
+    n = F.col("n").cast("double")
+    spread = (F.col("n").cast("decimal(19,0)") * F.col("q") - F.col("s") * F.col("s")).cast("double")  # n^2 times the variance, exact
+    return state.select(key, F.when(n > 0, F.col("s").cast("double") / n / 100).alias("rolling_mean"),
+                        F.when(n > 1, F.sqrt(spread / (n * (n - 1))) / 100).alias("rolling_stddev"))
+
+
+def newly_best(rows: DataFrame, counted: DataFrame, keys: list[str], value: str = "avg_price_usd",
+               order: tuple[str, ...] = ("message_count", "processing_timestamp")) -> DataFrame:
+    """Rows that enter a baseline (``_sign`` 1) and the rows they replace (-1):
+    of each key the best new row, if it beats the best one ``counted`` so far."""
+    cols = [*order, value]
+    u = rows.select(*keys, F.struct(*cols).alias("_r"), F.lit(True).alias("_new")).unionByName(
+        counted.select(*keys, F.struct(*cols).alias("_r"), F.lit(False).alias("_new")))
+    best = u.groupBy(*keys).agg(F.max(F.when(F.col("_new"), F.col("_r"))).alias("_in"), F.max(F.when(~F.col("_new"), F.col("_r"))).alias("_out"))
+    rank = lambda c: F.struct(*[F.col(f"{c}.{o}") for o in order])
+    won = best.where(F.col("_in").isNotNull() & (F.col("_out").isNull() | (rank("_in") > rank("_out"))))
+    return won.select(*keys, F.explode(F.array(F.struct(F.col("_in").alias("r"), F.lit(1).alias("_sign")),
+                                               F.struct(F.col("_out").alias("r"), F.lit(-1).alias("_sign")))).alias("e")) \
+        .where("e.r is not null").select(*keys, *[F.col(f"e.r.{c}").alias(c) for c in cols], F.col("e._sign").alias("_sign"))
+
+
 def _z(value: Column, mean: Column, sd: Column) -> Column:
     return F.when(sd.isNull() | (sd == 0), F.lit(0.0)).otherwise(F.abs(value - mean) / sd)
 

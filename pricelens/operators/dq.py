@@ -31,8 +31,8 @@ def _row(check: str, value: Column, threshold: float, passed: Column) -> Column:
 def silver_checks(silver: DataFrame, run_ts: str, ts_col: str = "processing_timestamp",
                   fields: list[str] | None = None) -> DataFrame:
     """Freshness (P8), today's row count (P9) and null rates (P10) of Silver.
-    The day's filter reaches the scan; freshness is a separate max, which the
-    parquet footers answer.  Empty table -> 999 h; a NULL rate (no rows today)
+    The day's filter reaches the scan; freshness is a separate max over the one
+    column ``ts_col`` of the table.  Empty table -> 999 h; a NULL rate (no rows today)
     passes."""
     fields = NULL_FIELDS if fields is None else fields
     run = F.to_timestamp(F.lit(run_ts))

@@ -67,7 +67,7 @@ def reconcile(on_time_windows: DataFrame, late: DataFrame, keys: list[str],
     window state (J13); equal to aggregating on-time + late ticks together."""
     cols = [*keys, "window_start", "window_end", "min_price_usd", "max_price_usd",
             "message_count", "sum_cents", "priced_count"]
-    if "priced_count" not in on_time_windows.columns:  # every message of them had a price
-        on_time_windows = on_time_windows.withColumn("priced_count", F.col("message_count"))
+    if "priced_count" not in on_time_windows.columns:
+        raise ValueError("the windows' priced_count is needed: an average cannot be corrected without it")
     late_w = window_agg(late, keys, ts_col, value_col, width, priced=True)
     return merge_windows([on_time_windows.select(*cols), late_w.select(*cols)], keys)

@@ -48,6 +48,10 @@ def carry(df: DataFrame, keys: list[str], order: list[str], value: Column | str,
     edges = (base.groupBy(*keys, "_chunk").agg(edge.alias("_edge"))
              .withColumn("_carried", carried).select(*keys, "_chunk", "_carried"))
     scanned = base.withColumn("_local", local)
-    return (scanned.join(edges, [*keys, "_chunk"], "left")
+    # null-safe: a null key is a key like any other and crosses chunks too
+    at = [*keys, "_chunk"]
+    edges = edges.select("_carried", *[F.col(k).alias(f"_edge{i}") for i, k in enumerate(at)])
+    same = [F.col(k).eqNullSafe(F.col(f"_edge{i}")) for i, k in enumerate(at)]
+    return (scanned.join(edges, same, "left")
             .withColumn(out, F.coalesce(F.col("_local"), F.col("_carried")))
-            .drop("_val", "_chunk", "_local", "_carried"))
+            .drop("_val", "_chunk", "_local", "_carried", *[f"_edge{i}" for i in range(len(at))]))

@@ -12,6 +12,8 @@ from pricelens.functions import calendar as cal
 from pricelens.functions.lookups import alliance
 from pricelens.functions.money import avg_usd, cents_to_usd, to_cents
 from pricelens.operators.anomaly import baseline_stats, zscore
+from pricelens.sinks.versions import replace
+from pricelens.sinks.writers import read_mark, write_mark
 from pricelens.sources.tables import read_or_empty
 from pricelens.sources.views import SCHEDULE_POSITION
 
@@ -112,8 +114,35 @@ def refresh_if_stale(spark: SparkSession, build: Callable[[], DataFrame], path:
         if age <= lag_seconds:
             return False
     table = build()
-    if partition_by:  # a value's rows in one task, so one file for each
-        table.repartition(partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_by).parquet(path)
+    if partition_by:  # few files for each value, a large one still over several tasks
+        table.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(partition_by).parquet(path)
     else:
         table.write.mode("overwrite").parquet(path)
     return True
+
+
+def refresh_changed(spark: SparkSession, source: DataFrame, build: Callable[[DataFrame], DataFrame], path: str,
+                    partition: str, marks: str, name: str, run_ts: str, ts_col: str = "loaded_at") -> int:
+    """Brings a derived table up to its source by rebuilding only the
+    partitions that got rows since the last refresh, told by the source's load
+    time and a stored mark; returns how many.  ``build`` makes the partitions'
+    rows from all their source rows, and must keep the ``partition`` column.
+
+    Untouched partitions keep their files; the rebuilt ones come into force
+    with one commit (``sinks.versions``: read the table with ``read_live``),
+    and a refresh that fails before its mark is simply repeated.  Rows deleted
+    from the source leave no load time behind: rebuild such a partition by
+    loading one of its rows again."""
+    lo = read_mark(spark, marks, name, None)
+    when = F.col(ts_col)
+    fresh = source if lo is None else source.filter(when > F.lit(lo).cast("timestamp"))
+    hi = fresh.agg(F.max(ts_col).cast("string").alias("hi")).first()["hi"]
+    if hi is None:
+        return 0
+    seen = when <= F.lit(hi).cast("timestamp")  # rows that land meanwhile are the next refresh's
+    changed = fresh.filter(seen).select(partition).distinct()
+    same = changed.withColumnRenamed(partition, "_changed")
+    rows = source.filter(seen).join(same, F.col(partition).eqNullSafe(F.col("_changed")), "left_semi")
+    replace(build(rows), path, partition, touched=changed)
+    write_mark(spark, marks, name, hi, run_ts)
+    return changed.count()

@@ -16,15 +16,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from pricelens.functions import calendar as cal
-from pricelens.operators.anomaly import baseline_stats, zscore
+from pricelens.operators.anomaly import baseline_stats, merge_moments, moment_stats, moments, newly_best, zscore
 from pricelens.operators.dedup import keep_best
 from pricelens.operators.dims import (dim_airlines_new, dim_date_new, scd2_apply)
 from pricelens.operators.dq import (audit_row, gold_checks, late_checks, late_metrics,
                                     silver_checks)
 from pricelens.operators.late import late_report
 from pricelens.session import store
+from pricelens.sinks.versions import read_live
 from pricelens.sinks.writers import MARK_SCHEMA, read_mark, upsert_best, write_mark
-from pricelens.sources.tables import read_increment, read_or_empty
+from pricelens.sources.tables import columns, read_increment, read_or_empty
 
 # --- fixed values: table layouts ---
 DIM_DATE_SCHEMA = StructType([
@@ -48,6 +49,13 @@ FACT_COLUMNS = ["flight_key", "airline_key", "date_key", "window_start", "window
                 "is_anomaly", "z_score", "created_at"]
 # --- end of fixed values ---
 
+# the baselines' own tables: the 1-hour windows counted by a run, and each flight's moments after it
+COUNTED_SCHEMA = columns("flight_number string, window_start timestamp, message_count bigint, processing_timestamp timestamp, avg_price_usd double")
+MOMENTS_SCHEMA = columns("flight_number string, n bigint, s decimal(38,0), q decimal(38,0)")
+FACT_SCHEMA = columns("flight_number string, flight_key int, airline_key int, date_key int, window_start timestamp, window_end timestamp, "
+                                 "avg_price_usd double, min_price_usd double, max_price_usd double, message_count bigint, is_anomaly boolean, "
+                                 "z_score double, created_at string, fact_date date")
+
 
 @dataclass
 class Gold:
@@ -134,16 +142,53 @@ def current_flights(spark: SparkSession, root: str, run: str | None) -> DataFram
     return read_runs(spark, root, "dim_flights_current", DIM_FLIGHT_SCHEMA, one)
 
 
+def add_to_baselines(spark: SparkSession, root: str, run_ts: str, runs: DataFrame, last_run: str | None,
+                     lo: str) -> str:
+    """The 1-hour windows that came after ``lo`` enter the flights'
+    stored moments; returns the new mark.  Reads the increment, the windows
+    counted before in its time range (a window that fired again replaces its
+    earlier self) and the last run's moments, never all of Silver."""
+    silver = spark.read.parquet(os.path.join(root, "silver", "price_1hr"))
+    key = ["flight_number", "window_start"]
+    new = silver.filter(F.col("processing_timestamp") > F.lit(lo).cast("timestamp"))
+    seen = new.agg(F.max("processing_timestamp").cast("string").alias("hi"), F.min("window_start").alias("first"), F.max("window_start").alias("last")).first()
+    before = read_runs(spark, root, "baseline_moments", MOMENTS_SCHEMA, spark.createDataFrame([(last_run,)], "run string"))
+    if seen["hi"] is None:
+        write_run(before, root, "baseline_moments", run_ts)
+        return lo
+    inc = read_increment(silver, "processing_timestamp", F.lit(lo).cast("timestamp"), F.lit(seen["hi"]).cast("timestamp"))
+    counted = read_runs(spark, root, "baseline_windows", COUNTED_SCHEMA, runs).where(F.col("window_start").between(F.lit(seen["first"]), F.lit(seen["last"])))
+    entered = store(newly_best(inc, counted, key), "entered")
+    write_run(entered.where("_sign = 1").select(*COUNTED_SCHEMA.fieldNames()).repartitionByRange("window_start").sortWithinPartitions("window_start"),
+              root, "baseline_windows", run_ts)
+    write_run(merge_moments([before, moments(entered, "flight_number", sign=F.col("_sign"))], "flight_number"), root, "baseline_moments", run_ts)
+    return seen["hi"]
+
+
+def read_baselines(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """Each flight's mean and standard deviation as ``run`` left them."""
+    state = read_runs(spark, root, "baseline_moments", MOMENTS_SCHEMA, spark.createDataFrame([(run,)], "run string"))
+    return moment_stats(state, "flight_number")
+
+
+def read_fact(spark: SparkSession, root: str) -> DataFrame:
+    """The fact as of the last commit."""
+    return read_live(spark, os.path.join(root, "gold", "fact_flight_prices"), FACT_SCHEMA, "fact_date")
+
+
 def run_daily(spark: SparkSession, root: str, run_ts: str, pipeline: str = "daily_batch",
               default_mark: str = "1970-01-01 00:00:00", upto: str | None = None) -> dict:
     """P2 over parquet tables under ``root`` (silver/, gold/, control/).
 
     The increment is ``(mark, hi]`` with ``hi`` read once before any other
-    step (``upto`` bounds it further).  Dimensions are written before the fact
-    and the fact is built from the written tables, so stored keys agree.  Every
-    table is written in this run's partition and counts only once the mark is
-    written, as the last step: after a failure anywhere the run is simply
-    repeated.  Closed SCD2 versions are appended once and never rewritten."""
+    step (``upto`` bounds it further).  Flights are scored against stored
+    moments, to which the run adds the 1-hour windows that came since the last
+    one.  Dimensions are written before the fact and the fact is built from the
+    written tables, so stored keys agree.  Dimensions and moments are written in
+    this run's partition and count only once the marks are written, as the last
+    step; the fact is a keyed upsert that a repeated run writes again.  So after
+    a failure anywhere the run is simply repeated.  Closed SCD2 versions are
+    appended once and never rewritten."""
     p = lambda *a: os.path.join(root, *a)
     lo = read_mark(spark, p("control", "watermarks"), pipeline, default_mark)
     runs = committed(spark, root, pipeline)
@@ -155,7 +200,8 @@ def run_daily(spark: SparkSession, root: str, run_ts: str, pipeline: str = "dail
         return {"gold_rows": 0, "mark": lo}
     inc = store(keep_best(read_increment(silver5, "processing_timestamp", F.lit(lo).cast("timestamp"),
                                          F.lit(hi).cast("timestamp")), ["flight_number", "window_start"]), "increment")
-    silver1h = spark.read.parquet(p("silver", "price_1hr"))
+    baseline = f"{pipeline}/baseline"
+    counted_to = add_to_baselines(spark, root, run_ts, runs, last_run, read_mark(spark, p("control", "watermarks"), baseline, default_mark))
     write_run(dim_date_new(inc, read_runs(spark, root, "dim_date", DIM_DATE_SCHEMA, runs)), root, "dim_date", run_ts)
     write_run(dim_airlines_new(inc, read_runs(spark, root, "dim_airlines", DIM_AIRLINE_SCHEMA, runs)), root, "dim_airlines", run_ts)
     opened = current_flights(spark, root, last_run)
@@ -165,12 +211,13 @@ def run_daily(spark: SparkSession, root: str, run_ts: str, pipeline: str = "dail
     write_run(flights.filter(~F.col("is_current")), root, "dim_flights_closed", run_ts)
     write_run(flights.filter("is_current"), root, "dim_flights_current", run_ts)
     # from here on the written dimensions
-    fact = load_fact(score_increment(inc, silver1h), read_flights(spark, root, runs, run_ts),
+    scored = zscore(inc, read_baselines(spark, root, run_ts), "flight_number")
+    fact = load_fact(scored, read_flights(spark, root, runs, run_ts),
                      read_runs(spark, root, "dim_airlines", DIM_AIRLINE_SCHEMA, runs, run_ts),
                      read_runs(spark, root, "dim_date", DIM_DATE_SCHEMA, runs, run_ts), run_ts, keep=["flight_number"])
     gold_rows = upsert_best(spark, fact.withColumn("fact_date", F.to_date("window_start")), p("gold", "fact_flight_prices"),
                             keys=["flight_number", "window_start"], order=[("message_count", True), ("created_at", True)], partition="fact_date")
-    write_mark(spark, p("control", "watermarks"), pipeline, hi, run_ts)
+    write_mark(spark, p("control", "watermarks"), pipeline, hi, run_ts, {baseline: counted_to})
     return {"gold_rows": gold_rows, "mark": hi}
 
 
@@ -187,7 +234,7 @@ def check_and_audit(spark: SparkSession, root: str, run_ts: str) -> DataFrame:
     p = lambda *a: os.path.join(root, *a)
     silver = spark.read.parquet(p("silver", "price_5min"))
     late = spark.read.parquet(p("silver", "late_arrivals"))
-    fact = spark.read.parquet(p("gold", "fact_flight_prices"))
+    fact = read_fact(spark, root)
     metrics = store(late_metrics(silver, late, run_ts), "metrics")  # one row
     if metrics.first()["reconcile"]:
         ticks = late.withColumn("event_timestamp", F.unix_timestamp("event_timestamp"))

@@ -14,9 +14,9 @@ from pricelens.operators.dims import (date_rows, dim_airlines_new, join_point_in
                                       scd2_apply, scd2_build)
 from pricelens.plans.catalog import (SQL_ON_TIME, SQL_TICKS, register, schedule,
                                      sql_avg, sql_schedule, ticks, with_)
-from pricelens.plans.daily import (DIM_AIRLINE_SCHEMA, DIM_DATE_SCHEMA, DIM_FLIGHT_SCHEMA,
-                                   check_and_audit, committed, gold_frames, read_flights,
-                                   read_runs, run_daily)
+from pricelens.plans.daily import (DIM_AIRLINE_SCHEMA, DIM_DATE_SCHEMA, DIM_FLIGHT_SCHEMA, MOMENTS_SCHEMA,
+                                   check_and_audit, committed, gold_frames, read_baselines, read_fact,
+                                   read_flights, read_runs, run_daily)
 from pricelens.plans.q_ticks import SQL_SCORED, SQL_SILVER_1HR, SQL_SILVER_5MIN
 from pricelens.plans.silver import late_table, silver_1hr, silver_5min
 from pricelens.session import cut_lineage, scratch_dir, store
@@ -329,7 +329,7 @@ def daily_incremental(spark, sf_dir):
     the stored fact joined back to the stored dimensions by its keys."""
     root = daily_tables(spark, sf_dir)
     runs = committed(spark, root, "daily_batch")
-    fact = spark.read.parquet(os.path.join(root, "gold", "fact_flight_prices"))
+    fact = read_fact(spark, root)
     flights = read_flights(spark, root, runs, "2024-01-31 03:00:00").select("flight_key", "route_id")
     airlines = read_runs(spark, root, "dim_airlines", DIM_AIRLINE_SCHEMA, runs).select("airline_key", "airline_code", "airline_name")
     dates = read_runs(spark, root, "dim_date", DIM_DATE_SCHEMA, runs).select("date_key", "date")
@@ -338,6 +338,39 @@ def daily_incremental(spark, sf_dir):
                          "avg_price_usd", "message_count", "is_anomaly", "z_score")
 
 
+def arriving_tables(spark, sf_dir, runs: int = 3) -> str:
+    """Silver that grows between ``runs`` daily runs: before each, the windows
+    that changed since the last are appended as they then are, so a window that
+    fired again has several rows; returns the tables' folder."""
+    t, root = ticks(spark, sf_dir), scratch_dir(spark, "arriving")
+    on_time = t.where("ingestion_timestamp - event_timestamp <= 120")
+    lo, hi = on_time.agg(F.min("ingestion_timestamp"), F.max("ingestion_timestamp")).first()
+    cuts = [] if lo is None else [lo + (hi - lo) * k // runs for k in range(1, runs)] + [hi]
+    for k, cut in enumerate(cuts):
+        for name, silver in (("price_5min", silver_5min), ("price_1hr", silver_1hr)):
+            windows = silver(t.where(F.col("ingestion_timestamp") <= cut))
+            if k:
+                windows = windows.where(F.unix_timestamp("processing_timestamp") > cuts[k - 1])
+            windows.write.mode("append").parquet(os.path.join(root, "silver", name))
+        run_daily(spark, root, f"2024-01-31 0{k + 1}:00:00")
+    return root
+
+
+@register("daily_baselines", with_(SQL_TICKS, SQL_ON_TIME, SQL_SILVER_1HR) + """
+SELECT flight_number, count(avg_price_usd) AS windows, round(avg(avg_price_usd), 6) AS rolling_mean,
+       round(coalesce(stddev_samp(avg_price_usd), -1), 6) AS rolling_stddev
+FROM silver1h GROUP BY flight_number""")
+def daily_baselines(spark, sf_dir):
+    """Each flight's baseline after three daily runs over Silver that
+    grew in between, from stored moments to which every run added only what was
+    new; equal to a recount of all history."""
+    root = arriving_tables(spark, sf_dir)
+    last = "2024-01-31 03:00:00"
+    state = read_runs(spark, root, "baseline_moments", MOMENTS_SCHEMA, committed(spark, root, "daily_batch").where(F.col("run") == last))
+    return state.select("flight_number", F.col("n").alias("windows")).join(read_baselines(spark, root, last), "flight_number").select(
+        "flight_number", "windows", F.round("rolling_mean", 6).alias("rolling_mean"), F.round(F.coalesce("rolling_stddev", F.lit(-1.0)), 6).alias("rolling_stddev"))
+
+
 @register("daily_checks", with_(*_GOLD_CTES) + """, m AS (SELECT
   (SELECT count(*) FROM silver5 WHERE CAST(processing_timestamp AS DATE) = DATE '2024-01-30') AS total,
   (SELECT count(*) FROM ticks WHERE ingestion_timestamp - event_timestamp > 120

@@ -13,7 +13,7 @@ from pricelens.plans.catalog import SQL_LATE, SQL_ON_TIME, SQL_TICKS, register,
 from pricelens.plans.q_ticks import SQL_SILVER_1HR, SQL_SILVER_5MIN
 from pricelens.session import scratch_dir
 from pricelens.streaming.ticks import (await_all, start_dedup, start_file_pipe,
-                                       start_tick_queries, start_upsert, write_messages,
+                                       read_upserted, start_tick_queries, start_upsert, write_messages,
                                        write_slices)
 
 COLS_5MIN = ["flight_number", "route_id", "origin", "destination", "airline_code",
@@ -90,7 +90,7 @@ def stream_upsert(spark, sf_dir):
     src = _messages(spark, sf_dir)
     target, ckpt = scratch_dir(spark, "upsert"), scratch_dir(spark, "upsert-ckpt")
     await_all(start_upsert(spark, src, target, ckpt))
-    return spark.read.parquet(target).select(*COLS_5MIN)
+    return read_upserted(spark, target).select(*COLS_5MIN)
 
 
 @register("stream_file_pipe", with_(SQL_TICKS) + f"""
@@ -144,4 +144,4 @@ def stream_upsert_multi_batch(spark, sf_dir):
     src, target, ckpt = (scratch_dir(spark, n) for n in ("slices", "upsert", "upsert-ckpt"))
     write_slices(t, src, _cuts(t, 4))
     await_all(start_upsert(spark, src, target, ckpt, max_files=1))
-    return spark.read.parquet(target).select(*COLS_5MIN)
+    return read_upserted(spark, target).select(*COLS_5MIN)

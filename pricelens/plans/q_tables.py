@@ -17,6 +17,7 @@ from pricelens.plans.q_star import SPLIT_DATE, gold
 from pricelens.plans.q_ticks import SQL_SCORED, SQL_SILVER_1HR, SQL_SILVER_5MIN
 from pricelens.plans.silver import late_table, silver_5min
 from pricelens.session import scratch_dir
+from pricelens.sinks.versions import read_live, replace
 from pricelens.sinks.writers import delete_where, overwrite, truncate
 from pricelens.sources.tables import list_files, read_merged, read_or_empty, read_table, union_evolving
 
@@ -85,11 +86,11 @@ def deleted_rows(spark, sf_dir):
     table that is not there."""
     path = scratch_dir(spark, "orders")
     o = read_table(spark, sf_dir, "orders").select(*ORDER_COLUMNS)
-    o.write.parquet(path)
+    replace(o, path)
     delete_where(spark, path, F.col("o_orderstatus") != "F", o.schema)
     o.write.parquet(f"{path}-copy")
     truncate(spark, f"{path}-copy", o.schema)
-    return spark.read.schema(o.schema).parquet(path).union(read_or_empty(spark, f"{path}-copy", o.schema)) \
+    return read_live(spark, path, o.schema).union(read_or_empty(spark, f"{path}-copy", o.schema)) \
         .union(read_or_empty(spark, f"{path}-absent", o.schema))
 
 

@@ -15,6 +15,7 @@ from pricelens.operators.windows import window_agg
 from pricelens.plans.catalog import (SQL_LATE, SQL_ON_TIME, SQL_TICKS, register, sql_avg,
                                      sql_ts, sql_usd, ticks, with_)
 from pricelens.plans.silver import TICK_ORDER, late_table, silver_1hr, silver_5min
+from pricelens.session import store
 from pricelens.sources.events import parse_events, tag_events
 from pricelens.sources.tables import read_table
 from pricelens.sources.views import TICK_COLUMNS
@@ -29,9 +30,9 @@ def _sql_windows(src: str, keys: list[str], attrs: list[str], width: int,
     a = "".join(f"arg_min({c}, {{'t': event_timestamp, 'i': event_id}}) AS {c}, " for c in attrs)
     mm = (f"{sql_usd('min(cents)')} AS min_price_usd, {sql_usd('max(cents)')} AS max_price_usd, "
           if minmax else "")
-    pr = f", {sql_ts('max(ingestion_timestamp)')} AS processing_timestamp" if proc else ""
+    pr = f", {sql_ts('max(ingestion_timestamp)')} AS processing_timestamp, count(cents) AS priced_count" if proc else ""
     return f"""SELECT {k}, {a}{sql_ts('ws')} AS window_start, {sql_ts(f'ws + {width}')} AS window_end,
-  {sql_avg('sum(cents)', 'count(*)')} AS avg_price_usd, {mm}
+  {sql_avg('sum(cents)', 'count(cents)')} AS avg_price_usd, {mm}
   count(*) AS message_count, CAST(sum(cents) AS BIGINT) AS sum_cents{pr}
 FROM (SELECT *, event_timestamp - event_timestamp % {width} AS ws FROM {src}) w
 GROUP BY {k}, ws"""
@@ -51,7 +52,7 @@ SELECT flight_number,
   make_timestamp(CAST(ws + 3600 AS BIGINT) * 1000000) AS window_end,
   """ + sql_avg("sum(cents)", "count(*)") + """ AS avg_price_usd,
   count(*) AS message_count, CAST(sum(cents) AS BIGINT) AS sum_cents,
-  make_timestamp(CAST(max(ingestion_timestamp) AS BIGINT) * 1000000) AS processing_timestamp
+  make_timestamp(CAST(max(ingestion_timestamp) AS BIGINT) * 1000000) AS processing_timestamp, count(cents) AS priced_count
 FROM (SELECT t.*, event_timestamp - event_timestamp % 900 - k * 900 AS ws
       FROM on_time t, range(0, 4) r(k)) w
 GROUP BY flight_number, ws)"""
@@ -165,10 +166,23 @@ def late_corrected(spark, sf_dir):
     over all ticks."""
     t = ticks(spark, sf_dir)
     on_time, late = split_late(t)
-    base = window_agg(on_time, ["flight_number"])
+    base = window_agg(on_time, ["flight_number"], priced=True)
     return reconcile(base, late, ["flight_number"])
 
 
+@register("late_corrected_unpriced", with_(SQL_TICKS.replace("ticks AS", "every AS", 1), """ticks AS (SELECT * REPLACE (
+  CASE WHEN event_id % 3 = 0 THEN NULL ELSE cents END AS cents) FROM every)""") + _sql_windows(
+    "ticks", ["flight_number"], [], 86400, proc=False))
+def late_corrected_unpriced(spark, sf_dir):
+    """J13 with a third of the ticks lacking a price: stored Silver days,
+    corrected by the late ticks, average over the priced ticks alone."""
+    t = ticks(spark, sf_dir)
+    t = t.withColumn("price_usd", F.when(F.col("event_id") % 3 != 0, F.col("price_usd")))
+    _, late = split_late(t)
+    stored = store(silver_5min(t, width="1 day"), "silver-days")
+    return reconcile(stored, late, ["flight_number"], width="1 day")
+
+
 # ------------------------------------------------------------------ dedup
 @register("dedup_best_pane", with_(SQL_TICKS, SQL_ON_TIME) + f""",
 panes AS (

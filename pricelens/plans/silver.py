@@ -3,7 +3,8 @@
 ``silver_5min``  tumbling 5-minute windows of on-time ticks per key,
 ``silver_1hr``   sliding 1-hour / 15-minute windows of on-time ticks,
 ``late_table``   the late side output.
-``processing_timestamp`` of a window row is its last tick's ingestion time.
+``processing_timestamp`` of a window row is its last tick's ingestion time;
+``priced_count`` its ticks that carry a price, which late corrections need.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ def _silver(ticks: DataFrame, keys, width, slide, attrs, minmax) -> DataFrame:
     on_time, _ = split_late(ticks)
     agg = window_agg(on_time, keys, "event_timestamp", "price_usd", width, slide,
                      attrs=[a for a in attrs if a not in keys], order_cols=TICK_ORDER,
-                     minmax=minmax, extra={"_proc": F.max("ingestion_timestamp")})
+                     minmax=minmax, extra={"_proc": F.max("ingestion_timestamp")},
+                     priced=True)
     return agg.withColumn("processing_timestamp", instant(F.col("_proc"))).drop("_proc")
 
 

@@ -1,8 +1,8 @@
 """Batch sinks.
 
 Writes go through Spark's committer, so a failed task or lost executor never
-leaves partial files in the target; upserts stage their result in the shared
-checkpoint folder before replacing only the touched partitions.
+leaves partial files in the target; upserts and deletes write the touched
+partitions as a new version that one commit puts in force (``versions``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from pricelens.operators.dedup import keep_best
-from pricelens.session import scratch_dir
+from pricelens.sinks.versions import read_live, replace
 from pricelens.sources.tables import read_or_empty
 
 MARK_SCHEMA = StructType([StructField("pipeline_name", StringType(), False),
@@ -44,11 +44,18 @@ def truncate(spark: SparkSession, path: str, schema: StructType) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def delete_where(spark: SparkSession, path: str, keep: F.Column, schema: StructType) -> None:
-    """DELETE ... WHERE not keep (B9): rewrite through a staging copy."""
-    stage = scratch_dir(spark, "delete")
-    read_or_empty(spark, path, schema).filter(keep).write.parquet(stage)
-    spark.read.parquet(stage).write.mode("overwrite").parquet(path)
+def delete_where(spark: SparkSession, path: str, keep: F.Column, schema: StructType, partition: str | None = None) -> None:
+    """DELETE ... WHERE not keep (B9) from a table of ``sinks.versions``: the
+    partitions that hold such rows are written without them, then one commit
+    puts these in force.  A NULL condition deletes."""
+    kept = F.coalesce(keep, F.lit(False))
+    rows = read_live(spark, path, schema, partition)
+    if partition:
+        hit = rows.filter(~kept).select(partition).distinct()
+        same = rows.join(hit.withColumnRenamed(partition, "_hit"), F.col(partition).eqNullSafe(F.col("_hit")), "left_semi")
+        replace(same.filter(kept), path, partition, touched=hit)
+    else:
+        replace(rows.filter(kept), path)
 
 
 def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
@@ -59,29 +66,23 @@ def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
 
 def upsert_best(spark: SparkSession, updates: DataFrame, path: str, keys: list[str],
                 order: list[tuple[str, bool]], partition: str) -> int:
-    """Keyed upsert keeping the better row (B6) without MERGE.
+    """Keyed upsert keeping the better row (B6) without MERGE, into a table of
+    ``sinks.versions`` (read it with ``read_live``).
 
     Only partitions touched by ``updates`` are read (literal bounds of the
     partition column prune the target, a semi join picks the partitions
     between them), unioned with the updates, reduced with ``keep_best`` and
-    written to a staging folder; the staged partitions then replace those of
-    the target (dynamic overwrite).  Replaying the same batch gives the same
-    table.  ``updates`` is read twice: persist it where that is costly.  NULL
-    keys are keys like any other.  Returns rows written."""
+    written as a new version; one commit puts it in force, so a writer lost
+    anywhere leaves the table as it was.  Replaying the same batch gives the
+    same table.  ``updates`` is read twice: persist it where that is costly.
+    NULL keys are keys like any other.  Returns rows written."""
     upd = keep_best(updates, keys, order)
     lo, hi = updates.agg(F.min(partition), F.max(partition)).first()
-    old = read_or_empty(spark, path, upd.schema)
-    old = old.filter(F.col(partition).between(F.lit(lo), F.lit(hi)))
+    old = read_live(spark, path, upd.schema, partition, F.col(partition).between(F.lit(lo), F.lit(hi)))
     old = old.join(upd.select(partition).distinct(), partition, "left_semi").select(*upd.columns)
-    merged = keep_best(old.unionByName(upd), keys, order)
-    stage = scratch_dir(spark, "upsert")
-    out, obs = counted(merged)
-    out.write.mode("overwrite").partitionBy(partition).parquet(stage)
-    rows = int(obs.get["rows"])
-    if rows:  # an empty batch touches no partition
-        (spark.read.parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
-    return rows
+    out, obs = counted(keep_best(old.unionByName(upd), keys, order))
+    replace(out, path, partition)
+    return int(obs.get["rows"])
 
 
 def read_mark(spark: SparkSession, path: str, pipeline: str, default: str | None) -> str | None:
@@ -92,8 +93,11 @@ def read_mark(spark: SparkSession, path: str, pipeline: str, default: str | None
     return default if v is None else v
 
 
-def write_mark(spark: SparkSession, path: str, pipeline: str, mark: str, run_ts: str) -> None:
-    append(spark.createDataFrame([(pipeline, mark, run_ts)], MARK_SCHEMA), path)
+def write_mark(spark: SparkSession, path: str, pipeline: str, mark: str, run_ts: str,
+               more: dict[str, str] | None = None) -> None:
+    """The run's mark, with ``more`` marks of its parts in the same file: all or none."""
+    marks = {pipeline: mark, **(more or {})}
+    append(spark.createDataFrame([(p, m, run_ts) for p, m in marks.items()], MARK_SCHEMA).coalesce(1), path)
 
 
 def write_rejects(bad: DataFrame, path: str, run_ts: str) -> None:

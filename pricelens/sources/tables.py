@@ -14,6 +14,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+def columns(spec: str) -> StructType:
+    """``"name type, name type"`` as a schema, without a running session."""
+    schema = StructType()
+    for column in spec.split(", "):
+        name, kind = column.split(" ")
+        schema.add(name, {"bigint": "long", "int": "integer"}.get(kind, kind))
+    return schema
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Full scan of ``root/name.parquet`` (A2).  Projection and filters applied
     later are pushed into the parquet reader by Catalyst."""

@@ -19,9 +19,11 @@ from pyspark.sql.streaming import StreamingQuery
 from pricelens.functions.lookups import ALLOWED_LATENESS_S
 from pricelens.operators.late import late_rows, split_late
 from pricelens.operators.windows import window_agg
+from pricelens.sinks.versions import read_live
 from pricelens.sinks.writers import upsert_best
 from pricelens.sources.events import TICK_SCHEMA, parse_events
 from pricelens.functions.timefn import instant
+from pricelens.sources.tables import columns
 
 WATERMARK = f"{ALLOWED_LATENESS_S} seconds"
 ATTRS_5MIN = ["flight_number", "route_id", "origin", "destination", "airline_code",
@@ -66,7 +68,7 @@ def _stream_windows(on_time, keys, width, slide, attrs, minmax) -> DataFrame:
     keys = keys or ["flight_number"]
     rest = [a for a in attrs if a not in keys]
     return window_agg(on_time, keys, "event_time", "price_usd", width, slide, attrs=rest,
-                      order_cols=["event_timestamp", "ingestion_timestamp", *rest], minmax=minmax)
+                      order_cols=["event_timestamp", "ingestion_timestamp", *rest], minmax=minmax, priced=True)
 
 
 def fixed_windows(on_time: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -138,6 +140,17 @@ def start_upsert(spark: SparkSession, source: str, target: str, checkpoint: str,
     return [w.start(), rejects]
 
 
+UPSERTED_SCHEMA = columns(
+    "flight_number string, route_id string, origin string, destination string, airline_code string, airline_name string, window_start timestamp, "
+    "window_end timestamp, avg_price_usd double, min_price_usd double, max_price_usd double, message_count bigint, sum_cents bigint, "
+    "priced_count bigint, processing_timestamp timestamp, batch_id bigint, window_date date")
+
+
+def read_upserted(spark: SparkSession, target: str) -> DataFrame:
+    """The table that ``start_upsert`` keeps, as of its last commit."""
+    return read_live(spark, target, UPSERTED_SCHEMA, "window_date")
+
+
 def start_file_pipe(spark: SparkSession, source: str, table: str,
                     checkpoint: str) -> list[StreamingQuery]:
     """Continuous ingestion that loads every file exactly once (the file

@@ -11,7 +11,7 @@ from pricelens.operators.anomaly import rolling_zscore
 from pricelens.operators.dims import dense_index
 from pricelens.operators.windows import merge_windows, window_agg
 from pricelens.plans import daily, q_star
-from pricelens.sinks import writers
+from pricelens.sinks import versions, writers
 from pricelens.sources.events import parse_events
 from pricelens.streaming import ticks as st
 
@@ -125,13 +125,12 @@ def test_upsert_reads_only_touched_partitions_and_keeps_null_keys(spark, tmp):
     make = lambda rs: spark.createDataFrame([(k, w, m, c, __import__("datetime").date.fromisoformat(d)) for k, w, m, c, d in rs], cols)
     order = [("message_count", True), ("created_at", True)]
     writers.upsert_best(spark, make(rows), f"{tmp}/t", ["k", "w"], order, "day")
-    before = {p: os.path.getmtime(f"{tmp}/t/{p}") for p in os.listdir(f"{tmp}/t") if p.startswith("day")}
-    time.sleep(0.05)
+    before = {r["part"]: r["version"] for r in versions.live(spark, f"{tmp}/t").collect()}
     writers.upsert_best(spark, make([(None, 2, 5, "b", "2024-01-02"), (7, 2, 1, "b", "2024-01-02")]), f"{tmp}/t", ["k", "w"], order, "day")
-    got = sorted(((r["k"] or 0, r["w"], r["message_count"]) for r in spark.read.parquet(f"{tmp}/t").collect()))
+    got = sorted(((r["k"] or 0, r["w"], r["message_count"]) for r in versions.read_live(spark, f"{tmp}/t", make(rows).schema, "day").collect()))
     assert got == [(0, 1, 1), (0, 2, 5), (0, 3, 1), (0, 4, 1), (0, 5, 1), (7, 2, 1)]
-    changed = [p for p in before if os.path.getmtime(f"{tmp}/t/{p}") != before[p]]
-    assert changed == ["day=2024-01-02"]
+    after = {r["part"]: r["version"] for r in versions.live(spark, f"{tmp}/t").collect()}
+    assert [p for p in before if after[p] != before[p]] == ["2024-01-02"] and len(after) == 5
 
 
 @pytest.mark.parametrize("broken", ["upsert_best", "write_mark"])
@@ -156,7 +155,7 @@ def test_a_failed_daily_run_is_repeated(spark, tmp, monkeypatch, broken):
     flights = daily.read_flights(spark, tmp, runs, "2024-01-31 03:00:00")
     number = flights.select("flight_number").distinct().count()
     assert flights.filter("is_current").count() == number and flights.select("flight_key").distinct().count() == flights.count()
-    fact = spark.read.parquet(f"{tmp}/gold/fact_flight_prices")
+    fact = daily.read_fact(spark, tmp)
     assert fact.count() == spark.read.parquet(f"{tmp}/silver/price_5min").count()
     assert fact.filter("flight_key is null or airline_key is null or date_key is null").count() == 0
     assert daily.run_daily(spark, tmp, "2024-01-31 04:00:00")["gold_rows"] == 0

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from pricelens.operators.dq import silver_checks
 from pricelens.operators.semantic import MODEL, semantic_query
+from pricelens.sinks.versions import read_live
 from pricelens.sinks.writers import read_mark, upsert_best, write_mark
 from pricelens.sources.documents import load_documents
 from pricelens.sources.events import parse_events
@@ -66,7 +67,7 @@ def test_upsert_best_is_idempotent(spark, tmp):
                                "k string, w int, message_count int, processing_timestamp int, day string")
     for _ in range(2):
         upsert_best(spark, b2, path, ["k", "w"], [("message_count", True), ("processing_timestamp", True)], "day")
-    got = sorted((r.k, r.message_count) for r in spark.read.parquet(path).collect())
+    got = sorted((r.k, r.message_count) for r in read_live(spark, path, b1.schema, "day").collect())
     assert got == [("F1", 5), ("F2", 1), ("F3", 1)]
 
 
