@@ -80,6 +80,9 @@ def zscore(df: DataFrame, stats: DataFrame, key: str | list[str], value: str = "
     return score(df.join(stats, key, "left"), value, threshold=threshold, digits=digits)
 
 
+_LOW = 31  # bits of a square that are summed apart, so that sums of squares stay in two longs
+
+
 def rolling_zscore(df: DataFrame, key: str, ts_col: str, value: str,
                    seconds: int = 7 * 86400, exclude_current: bool = True,
                    chunk_seconds: int | None = None, threshold: float = Z_THRESHOLD,
@@ -87,42 +90,44 @@ def rolling_zscore(df: DataFrame, key: str, ts_col: str, value: str,
     """Each row scored against the same key's rows in ``[ts - seconds,
     ts - 1]`` (F2; ``exclude_current=False`` makes it ``[ts - seconds, ts]``).
 
-    Count, sum and sum of squares in whole cents are summed per (key, second)
-    and carried along each key as exact running totals; a row's frame is the
-    difference of the totals at its two ends.  The totals run inside time
-    chunks of ``chunk_seconds`` and are lifted by the totals of the chunks
-    before, so a hot key is spread over its chunks and the work grows with the
-    rows, not with rows times frame length.
-    """
-    chunk = chunk_seconds or seconds
-    cents = to_cents(F.col(value)).cast("decimal(38,0)")
-    zero = F.lit(0).cast("decimal(38,0)")
-    sums = ["_n", "_s", "_q"]
-    per = df.groupBy(F.col(key).alias("_key"), F.col(ts_col).alias("_t")).agg(
-        F.count(value).cast("decimal(38,0)").alias("_n"), F.coalesce(F.sum(cents), zero).alias("_s"),
-        F.coalesce(F.sum(cents * cents), zero).alias("_q"))
-    last = F.col("_t") - (1 if exclude_current else 0)
-    # the points at which totals are read: after the frame, and before it
-    ends = per.select("_key", F.col("_t").alias("_row"), F.explode(F.array(
-        F.struct(last.alias("_t"), F.lit(1).alias("_sign")),
-        F.struct((F.col("_t") - seconds - 1).alias("_t"), F.lit(-1).alias("_sign")))).alias("_e"))
-    axis = per.select("_key", "_t", F.lit(None).cast(per.schema["_t"].dataType).alias("_row"), F.lit(0).alias("_sign"), *sums)
-    axis = axis.unionByName(ends.select("_key", "_e._t", "_row", "_e._sign", *[zero.alias(c) for c in sums]))
-    axis = axis.withColumn("_chunk", F.floor(F.col("_t") / F.lit(chunk)).cast("long"))
-    inside = Window.partitionBy("_key", "_chunk").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    chunks = axis.groupBy("_key", "_chunk").agg(*[F.sum(c).alias(c) for c in sums])
-    chunks = chunks.select(F.col("_key").alias("_key2"), F.col("_chunk").alias("_chunk2"), *[F.coalesce(F.sum(c).over(before), zero).alias(f"{c}0") for c in sums])
-    read = axis.select("_key", "_chunk", "_row", "_sign", *[F.sum(c).over(inside).alias(c) for c in sums]).filter("_sign <> 0")
-    read = read.join(chunks, F.col("_key").eqNullSafe(F.col("_key2")) & (F.col("_chunk") == F.col("_chunk2")))
-    frame = read.groupBy("_key", "_row").agg(*[F.sum((F.col(c) + F.col(f"{c}0")) * F.col("_sign")).cast("decimal(38,0)").alias(c) for c in sums])
-    n, total = F.col("_n").cast("double"), F.col("_s").cast("double")
-    spread = (F.col("_n") * F.col("_q") - F.col("_s") * F.col("_s")).cast("double")  # n^2 times the variance, exact
-    stats = frame.select(
-        "_key", "_row", F.col("_n").cast("long").alias("baseline_n"),
-        F.when(n > 0, total / n / 100).alias("rolling_mean"),
+    Count, sum and sum of squares in whole cents are summed per (key, second),
+    and time is cut into chunks as long as the frame, so a frame lies in its
+    own chunk and the one before.  Every second enters its chunk when it comes
+    and leaves the next chunk, which starts with the sums of this one, when the
+    frame has passed it: one running total per (key, chunk), exact in integers
+    and linear in the rows.  A partition has two rows a second at most, however
+    many rows a hot key has.  A row without a time has no baseline.
+    ``chunk_seconds`` is accepted from earlier callers; the frame's length now
+    sets the chunks, and no chunking changes a result."""
+    cents = to_cents(F.col(value))
+    square = cents * cents
+    sums = ["_n", "_s", "_high", "_low"]
+    per = df.where(F.col(ts_col).isNotNull()).groupBy(F.col(key).alias("_key"), F.col(ts_col).alias("_row")).agg(
+        F.count(cents).alias("_n"), F.coalesce(F.sum(cents), F.lit(0)).alias("_s"),
+        F.coalesce(F.sum(F.shiftright(square, _LOW)), F.lit(0)).alias("_high"),
+        F.coalesce(F.sum(square.bitwiseAND(F.lit((1 << _LOW) - 1))), F.lit(0)).alias("_low"))
+    chunk = F.floor(F.col("_row") / F.lit(seconds)).cast("long")
+    last = -1 if exclude_current else 0
+    moves = per.select("_key", "_row", *sums, F.explode(F.array(
+        F.struct(F.lit(True).alias("enters"), chunk.alias("chunk"), F.col("_row").alias("at")),
+        F.struct(F.lit(False).alias("enters"), (chunk + 1).alias("chunk"), (F.col("_row") + seconds + 1 + last).alias("at")))).alias("_m"))
+    moves = moves.select("_key", "_row", *sums, "_m.*")
+    path = Window.partitionBy("_key", "chunk")
+    so_far = path.orderBy("at").rangeBetween(Window.unboundedPreceding, last)
+
+    def frame(c: str) -> Column:
+        left = F.coalesce(F.sum(F.when(F.col("enters"), F.col(c)).otherwise(-F.col(c))).over(so_far), F.lit(0))
+        return F.coalesce(F.sum(F.when(~F.col("enters"), F.col(c))).over(path), F.lit(0)) + left
+
+    frames = moves.select("_key", "_row", "enters", *[frame(c).alias(c) for c in sums]).where("enters")
+    n, total, wide = F.col("_n").cast("double"), F.col("_s").cast("double"), lambda c: F.col(c).cast("decimal(19,0)")
+    squares = wide("_high") * F.lit(1 << _LOW).cast("decimal(10,0)") + wide("_low")
+    spread = (wide("_n") * squares - wide("_s") * wide("_s")).cast("double")  # n^2 times the variance, exact
+    stats = frames.select(
+        "_key", "_row", F.col("_n").alias("baseline_n"), F.when(n > 0, total / n / 100).alias("rolling_mean"),
         F.when(n > 1, F.sqrt(spread / (n * (n - 1))) / 100).alias("rolling_stddev"))
-    joined = df.join(stats, F.col(key).eqNullSafe(F.col("_key")) & F.col(ts_col).eqNullSafe(F.col("_row")), "left").drop("_key", "_row")
+    joined = df.join(stats, F.col(key).eqNullSafe(F.col("_key")) & (F.col(ts_col) == F.col("_row")), "left").drop("_key", "_row")
+    joined = joined.withColumn("baseline_n", F.coalesce("baseline_n", F.lit(0).cast("long")))
     return score(joined, value, threshold=threshold, digits=digits)
 
 

@@ -7,7 +7,7 @@ are summed as integer cents so panes and late corrections merge exactly.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, TimestampType
 
@@ -64,6 +64,42 @@ def window_agg(df: DataFrame, keys: list[str], ts_col: str = "event_timestamp",
     return g.select(*cols)
 
 
+def sliding_agg(df: DataFrame, keys: list[str], ts_col: str, value_col: str, width_s: int, slide_s: int,
+                attrs: list[str], order_cols: list[str], latest: dict[str, str] | None = None,
+                minmax: bool = False) -> DataFrame:
+    """Sliding windows from shared panes (E2, J4), with ``window_agg``'s
+    columns; ``latest`` maps output names to columns whose maximum is kept.
+
+    A tick is counted once, in its pane (a tumbling window as long as the
+    slide).  A window is made at its first pane that has ticks: the frame of
+    panes from there to the window's end gives its sums, and that pane its
+    attributes.  So each window comes out once, with no row per tick and
+    window and no second aggregation; a key has one row a pane, however many
+    ticks it has.  Batch only: a stream keeps its windows in state."""
+    if width_s % slide_s:
+        raise ValueError("the width must be a multiple of the slide")
+    latest = dict(latest or {})
+    panes = window_agg(df, keys, ts_col, value_col, f"{slide_s} seconds", attrs=attrs, order_cols=order_cols, minmax=minmax,
+                       extra={n: F.max(c) for n, c in latest.items()}, priced=True)
+    panes = panes.withColumn("_at", F.unix_timestamp("window_start"))
+    path = Window.partitionBy(*keys).orderBy("_at")
+    merged = {"sum_cents": F.sum, "message_count": F.sum, "priced_count": F.sum, **{n: F.max for n in latest}}
+    if minmax:
+        merged |= {"min_price_usd": F.min, "max_price_usd": F.max}
+    starts = []
+    for back in range(0, width_s, slide_s):  # the window that starts ``back`` seconds before the pane
+        to_end = path.rangeBetween(0, width_s - slide_s - back)
+        starts.append(F.struct((F.col("_at") - back).alias("_start"), *[f(n).over(to_end).alias(n) for n, f in merged.items()]))
+    before = F.lag("_at").over(path)
+    made = panes.select(*keys, *attrs, before.alias("_before"), F.array(*starts).alias("_made"))
+    made = made.select(*keys, *attrs, "_before", F.explode("_made").alias("_w")).where(F.col("_before").isNull() | (F.col("_w._start") > F.col("_before")))
+    return made.select(
+        *keys, *attrs, instant(F.col("_w._start")).alias("window_start"), instant(F.col("_w._start") + width_s).alias("window_end"),
+        avg_usd(F.col("_w.sum_cents"), F.col("_w.priced_count")).alias("avg_price_usd"),
+        *[F.col(f"_w.{n}").alias(n) for n in ("min_price_usd", "max_price_usd") if minmax],
+        *[F.col(f"_w.{n}").alias(n) for n in ("message_count", "sum_cents", *latest, "priced_count")])
+
+
 def merge_windows(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     """Merge partial window states (e.g. an on-time aggregate and the late
     ticks' aggregate) into the aggregate over all their ticks (J13)."""

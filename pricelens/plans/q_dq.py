@@ -10,6 +10,7 @@ from pricelens.plans.catalog import SQL_LATE, SQL_ON_TIME, SQL_TICKS, register,
 from pricelens.plans.q_star import RUN_TS, _GOLD_CTES, gold
 from pricelens.plans.q_ticks import SQL_SILVER_5MIN
 from pricelens.plans.silver import late_table, silver_5min
+from pricelens.session import store
 
 DQ_RUN_TS = "2024-01-30 23:59:59"   # the DAG run the checks describe
 _DAY = DQ_RUN_TS[:10]
@@ -80,8 +81,8 @@ def dq_checks_all(spark, sf_dir):
     """The DAG's gate as one frame: every check with value, threshold and
     pass flag (check, value, threshold, passed)."""
     t = ticks(spark, sf_dir)
-    s5 = silver_5min(t)
-    parts = [silver_checks(s5, DQ_RUN_TS), gold_checks(gold(spark, sf_dir).fact, RUN_TS),
+    s5 = store(silver_5min(t), "silver5")
+    parts = [silver_checks(s5, DQ_RUN_TS), gold_checks(gold(spark, sf_dir, s5).fact, RUN_TS),
              late_checks(late_metrics(s5, late_table(t), DQ_RUN_TS))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return _rename(out)
@@ -97,6 +98,7 @@ FROM mr""")
 def audit_row_q(spark, sf_dir):
     """The run's 8-column audit row built from the run's metrics."""
     t = ticks(spark, sf_dir)
-    m = late_metrics(silver_5min(t), late_table(t), DQ_RUN_TS)
-    gold_rows = gold(spark, sf_dir).fact.agg(F.count(F.lit(1))).scalar()
+    s5 = store(silver_5min(t), "silver5")
+    m = late_metrics(s5, late_table(t), DQ_RUN_TS)
+    gold_rows = gold(spark, sf_dir, s5).fact.agg(F.count(F.lit(1))).scalar()
     return audit_row(m, gold_rows, DQ_RUN_TS)

@@ -15,6 +15,7 @@ from pricelens.session import scratch_dir, store
 from pricelens.sinks.versions import read_live
 from pricelens.sinks.writers import append
 from pricelens.sources.tables import columns
+from pricelens.sources.views import SCHEDULE_POSITION
 from pricelens.plans.q_star import RUN_TS, SQL_ALLIANCE, SQL_SEASON
 
 POS = "{'o': pos_orderkey, 'l': pos_linenumber, 'p': pos_partkey, 's': pos_suppkey}"
@@ -24,9 +25,17 @@ def _q(xs):
     return ", ".join(f"'{x}'" for x in xs)
 
 
-def scored(spark, sf_dir):
-    """The four-table join is stored once, as statistics and rows both read it."""
-    return score_schedule(store(schedule(spark, sf_dir), "schedule"))
+SUMMARY_COLUMNS = ["flight_iata", "route_id", "departure_iata", "arrival_iata", "airline_name", "airline_iata", "flight_date", "price_usd"]
+
+
+def scored(spark, sf_dir, more=()):
+    """The four-table join is stored once, as statistics and rows both read
+    it, with the columns that its readers need."""
+    return score_schedule(store(schedule(spark, sf_dir).select(*SUMMARY_COLUMNS, *more), "schedule"))
+
+
+def stats(spark, sf_dir):
+    return route_day_stats(scored(spark, sf_dir, ["departure_scheduled", *SCHEDULE_POSITION]), RUN_TS)
 
 
 def summary(spark, sf_dir):
@@ -96,7 +105,7 @@ GROUP BY route_id, departure_iata, arrival_iata, flight_date""")
 def route_stats(spark, sf_dir):
     """Per route and day -- exact distinct carriers, cheapest
     carrier by price (arg-min), first departing carrier, prices, anomalies."""
-    return route_day_stats(scored(spark, sf_dir), RUN_TS)
+    return stats(spark, sf_dir)
 
 
 @register("hourly_route_summary", with_(*_CTES) + "SELECT * FROM hrs")
@@ -146,7 +155,7 @@ FROM (SELECT route_id, flight_date,
 def semantic_route_stats_total(spark, sf_dir):
     """A metrics-only query (no dimensions -> one row) over the second
     semantic table."""
-    return semantic_query(route_day_stats(scored(spark, sf_dir), RUN_TS), MODEL["route_stats"],
+    return semantic_query(stats(spark, sf_dir), MODEL["route_stats"],
                           ["min_price_usd", "avg_price_usd", "airline_count"])
 
 
