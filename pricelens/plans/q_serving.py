@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pricelens.functions.lookups import INTERNATIONAL_AIRPORTS, route_type
 from pricelens.functions.money import avg_usd, cents_to_usd, to_cents
 from pricelens.operators.semantic import MODEL, semantic_query
-from pricelens.operators.serving import (HOURLY_SCHEMA, flight_day_summary, refresh_changed, refresh_if_stale,
+from pricelens.operators.serving import (HOURLY_SCHEMA, distinct_estimate, distinct_sketches, flight_day_summary, refresh_changed, refresh_if_stale,
                                          route_day_stats, route_summary, score_schedule)
 from pricelens.plans.catalog import register, schedule, sql_avg, sql_schedule, sql_usd, with_
 from pricelens.session import scratch_dir, store
@@ -108,6 +108,15 @@ def route_stats(spark, sf_dir):
     return stats(spark, sf_dir)
 
 
+@register("route_carriers_estimate", with_(sql_schedule()) + """
+SELECT route_id, count(DISTINCT airline_iata) AS distinct_estimate FROM sched GROUP BY route_id""")
+def route_carriers_estimate(spark, sf_dir):
+    """Carriers per route from day sketches that are stored once and
+    unioned (16 carriers at most, where a sketch is exact)."""
+    rows = schedule(spark, sf_dir).select("route_id", "flight_date", "airline_iata")
+    return distinct_estimate(store(distinct_sketches(rows, ["route_id", "flight_date"], "airline_iata"), "sketches"), ["route_id"])
+
+
 @register("hourly_route_summary", with_(*_CTES) + "SELECT * FROM hrs")
 def hourly_route_summary(spark, sf_dir):
     """The refreshing six-key route summary."""

@@ -158,3 +158,24 @@ def test_late_corrections_need_the_priced_count(spark):
     assert reconcile(window_agg(on_time, ["flight_number"], priced=True), late, ["flight_number"]).first()["avg_price_usd"] == 2.0
     with pytest.raises(ValueError, match="priced_count"):
         reconcile(window_agg(on_time, ["flight_number"]), late, ["flight_number"])
+
+
+def test_sketches_of_days_union_within_their_error(spark):
+    n = 30_000
+    df = spark.range(3 * n).select((F.col("id") % 7).alias("day"), (F.col("id") % n).alias("v"), F.lit("r").alias("r"))
+    days = serving.distinct_sketches(df.withColumn("v", F.when(F.col("v") % 11 > 0, F.col("v"))), ["r", "day"], "v")
+    exact = n - len(range(0, n, 11))
+    assert abs(serving.distinct_estimate(days, ["r"]).first()["distinct_estimate"] - exact) < 0.05 * exact
+
+
+def test_panes_make_each_sliding_window_once(spark):
+    from pricelens.operators.windows import sliding_agg
+    rows = [(i, t, float(i % 5) if i % 4 else None, k, f"a{i}", t + i % 3) for i, (k, t) in enumerate(
+        [("x", t) for t in (0, 1, 899, 900, 901, 3599, 3600, 9000, 9001, 20_000)] + [(None, t) for t in (5, 5, 4000)])]
+    df = spark.createDataFrame(rows, "event_id long, event_timestamp long, price_usd double, k string, a string, ing long")
+    by = dict(attrs=["a"], order_cols=["event_timestamp", "event_id"])
+    want = window_agg(df, ["k"], width="1 hour", slide="15 minutes", extra={"_p": F.max("ing")}, priced=True, **by)
+    got = sliding_agg(df, ["k"], "event_timestamp", "price_usd", 3600, 900, latest={"_p": "ing"}, minmax=True, **by)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
