@@ -15,8 +15,9 @@ from pricelens.operators.windows import window_agg
 from pricelens.plans.catalog import (SQL_LATE, SQL_ON_TIME, SQL_TICKS, register, sql_avg,
                                      sql_ts, sql_usd, ticks, with_)
 from pricelens.plans.silver import TICK_ORDER, late_table, silver_1hr, silver_5min
-from pricelens.session import store
+from pricelens.session import scratch_dir, store
 from pricelens.sources.events import parse_events, tag_events
+from pricelens.sources.message_schema import read_message_schema
 from pricelens.sources.tables import read_table
 from pricelens.sources.views import TICK_COLUMNS
 
@@ -311,6 +312,32 @@ def json_required_keys(spark, sf_dir):
     return tag_events(ev, "props", schema, ["k"]).select("event_id", "k", "reason")
 
 
+SCHEMA_FILE = """{"type": "record", "name": "Tick", "fields": [
+  {"name": "event_id", "type": "long"}, {"name": "route_id", "type": "string"}, {"name": "origin", "type": "string"},
+  {"name": "airline_name", "type": "string", "default": "unknown"},
+  {"name": "flight_date", "type": ["null", "string"], "default": null}, {"name": "price_usd", "type": "double"}]}"""
+
+
+@register("tick_schema_file", with_(SQL_TICKS) + """
+SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'unknown' ELSE airline_name END AS airline_name,
+  CASE WHEN event_id % 5 <> 0 THEN flight_date END AS flight_date, price_usd,
+  CASE WHEN event_id % 11 = 0 THEN 'missing_key' WHEN event_id % 7 = 0 THEN 'null_value' END AS reason FROM ticks""")
+def tick_schema_file(spark, sf_dir):
+    """Messages held against a record schema that is read from its file --
+    absent keys take their default or reject the message, nulls are values
+    only where the type is a union with null."""
+    path = scratch_dir(spark, "schema")
+    spark.createDataFrame([(SCHEMA_FILE,)], "value string").coalesce(1).write.text(path)
+    schema = read_message_schema(spark, path)
+    i = F.col("event_id")
+    body = F.to_json(F.struct("event_id", F.when(i % 11 != 0, F.col("route_id")).alias("route_id"), F.when(i % 7 != 0, F.col("origin")).alias("origin"),
+                              F.when(i % 3 != 0, F.col("airline_name")).alias("airline_name"), F.when(i % 5 != 0, F.col("flight_date")).alias("flight_date"), "price_usd"))
+    nulls = F.concat(F.when(i % 7 == 0, F.lit('"origin":null,')).otherwise(F.lit("")), F.when(i % 5 == 0, F.lit('"flight_date":null,')).otherwise(F.lit("")))
+    messages = ticks(spark, sf_dir).select(F.concat(F.lit("{"), nulls, F.substr(body, F.lit(2))).alias("value"))
+    tagged = tag_events(messages, "value", schema.columns, schema.required, not_null=schema.not_null, defaults=schema.defaults)
+    return tagged.select("event_id", "airline_name", "flight_date", "price_usd", "reason")
+
+
 @register("tick_json_roundtrip", with_(SQL_TICKS) + "SELECT " +
           ", ".join(c for c in TICK_COLUMNS if c != "event_id") + " FROM ticks")
 def tick_json_roundtrip(spark, sf_dir):

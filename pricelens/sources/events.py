@@ -43,8 +43,11 @@ _MAP = MapType(StringType(), StringType())
 def tag_events(df: DataFrame, value_col: str = "value",
                schema: StructType = TICK_SCHEMA,
                required: list[str] | None = None,
-               mode: str = "presence", times: list[str] | None = None) -> DataFrame:
-    """All input columns + typed fields + ``raw`` + ``reason`` (NULL = good)."""
+               mode: str = "presence", times: list[str] | None = None,
+               not_null: list[str] | None = None, defaults: dict | None = None) -> DataFrame:
+    """All input columns + typed fields + ``raw`` + ``reason`` (NULL = good).
+    ``not_null``: keys that, where present, need a value; ``defaults``: values
+    of absent keys (both as ``message_schema`` gives them)."""
     if mode not in ("presence", "non_null"):
         raise ValueError(f"unknown mode {mode!r}")
     required = TICK_REQUIRED if required is None else list(required)
@@ -56,6 +59,8 @@ def tag_events(df: DataFrame, value_col: str = "value",
     m = F.col("_m")
     typed = {f.name: (m[f.name] if isinstance(f.dataType, StringType)
                       else m[f.name].try_cast(f.dataType)) for f in fields}
+    for k, v in (defaults or {}).items():
+        typed[k] = F.when(m.isNotNull() & ~F.map_contains_key(m, k), F.lit(v).cast(schema[k].dataType)).otherwise(typed[k])
     req = F.array(*[F.lit(k) for k in required]) if required else F.array().cast("array<string>")
     bad_type = F.lit(False)
     for f in fields:
@@ -63,6 +68,9 @@ def tag_events(df: DataFrame, value_col: str = "value",
     null_req = F.lit(False)
     for k in required:
         null_req = null_req | m[k].isNull()
+    null_value = F.lit(False)
+    for k in not_null or []:
+        null_value = null_value | (F.map_contains_key(m, k) & m[k].isNull())
     no_time = F.lit(False)
     for k in times if times is not None else TICK_TIMES:
         if k in typed:
@@ -71,7 +79,7 @@ def tag_events(df: DataFrame, value_col: str = "value",
                      F.lit("malformed"))
               .when(m.isNull(), F.lit("not_object"))
               .when(F.size(F.array_except(req, F.map_keys(m))) > 0, F.lit("missing_key"))
-              .when(F.lit(mode == "non_null") & null_req, F.lit("null_value"))
+              .when((F.lit(mode == "non_null") & null_req) | null_value, F.lit("null_value"))
               .when(bad_type, F.lit("bad_type"))
               .when(no_time, F.lit("null_time")))
     out = out.withColumn("reason", reason)

@@ -118,3 +118,23 @@ def test_stage_listing_misses_no_file(spark, tmp, monkeypatch):
     listed = q_tables.list_files
     monkeypatch.setattr(q_tables, "list_files", lambda *a: listed(*a).orderBy("path").limit(1))
     assert got() == [(False, True)]
+
+
+def test_a_record_schema_names_keys_defaults_and_nulls(spark):
+    from pricelens.sources.events import tag_events
+    from pricelens.sources.message_schema import message_schema
+    record = {"type": "record", "name": "T", "fields": [
+        {"name": "a", "type": "string"}, {"name": "b", "type": ["null", "long"]}, {"name": "c", "type": "double", "default": 1.5},
+        {"name": "d", "type": ["null", "string"], "default": None}]}
+    s = message_schema(json.dumps(record))
+    assert (s.required, s.not_null, s.defaults) == (["a", "b"], ["a", "c"], {"c": 1.5})
+    assert s.columns.simpleString() == "struct<a:string,b:bigint,c:double,d:string>"
+    texts = ['{"a":"x","b":1}', '{"a":"x","b":null,"c":2,"d":null}', '{"a":"x"}', '{"a":null,"b":1}', '{"a":"x","b":"z"}', '{"a":"x","b":1,"c":null}', "[1]", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = tag_events(df, schema=s.columns, required=s.required, not_null=s.not_null, defaults=s.defaults).orderBy("i").collect()
+    assert [r["reason"] for r in got] == [None, None, "missing_key", "null_value", "bad_type", "null_value", "not_object", "malformed"]
+    assert [(r["b"], r["c"], r["d"]) for r in got[:2]] == [(1, 1.5, None), (None, 2.0, None)]
+    for bad in ({"type": "enum"}, {"type": "record", "fields": [{"name": "x", "type": {"type": "array", "items": "long"}}]},
+                {"type": "record", "fields": [{"name": "x", "type": "long", "default": None}]}):
+        with pytest.raises(ValueError):
+            message_schema(json.dumps(bad))
