@@ -16,9 +16,9 @@ its sum over all transitions reaches both bounds.
 Both models are counted from labelled samples: (string, label) rows.
 
 Offsets come from the lengths of what stands between the matches (split) and
-of the matches, summed in blocks, all inside the row: no shuffle, and a text's
-work on one text grows with the square of its matches (texts of some MB with
-thousands of matches are slow).
+of the matches, summed in blocks, all inside the row: no shuffle; the work on
+one text grows with the square of its matches (texts of some MB with thousands
+of matches are slow).
 
 Null texts are empty.  Offsets are code points, the end exclusive.
 """
