@@ -185,15 +185,35 @@ def scd2_apply(dim: DataFrame, updates: DataFrame, natural: list[str], tracked:
 
 
 def join_point_in_time(fact: DataFrame, dim: DataFrame, natural: list[str], date_col: str,
-                       how: str = "left") -> DataFrame:
+                       how: str = "left", chunk_unit: str = "month") -> DataFrame:
     """Join each fact row to the version valid on its date:
     ``effective_date <= date < expiry_date`` (D8); at most one match because
-    a key's versions have disjoint intervals.  Runs as an equi-join on the
-    natural key with the interval test as a join filter."""
-    d = dim.select(*[F.col(k).alias(f"_k_{k}") for k in natural],
-                   *[c for c in dim.columns if c not in natural])
-    cond = F.col(date_col) >= d["effective_date"]
-    cond = cond & (F.col(date_col) < d["expiry_date"])
+    a key's versions have disjoint intervals.  ``how``: left or inner.
+
+    Versions are carried along the dates of their key onto the facts, so the
+    work is facts + versions, also on a hot key with many versions, where an
+    equi-join with the interval as its filter makes facts x versions; the
+    scan is cut by ``chunk_unit``.  A fact with a null key or no date matches
+    nothing; such rows are dealt over chunks by their hash."""
+    if how not in ("left", "inner"):
+        raise ValueError("a point-in-time join is left or inner")
+    keys = [f"_k{i}" for i in range(len(natural))]
+    attrs = [c for c in dim.columns if c not in natural]
+    day = F.col(date_col).try_cast("date")
+    no_match = day.isNull()
     for k in natural:
-        cond = cond & (fact[k] == d[f"_k_{k}"])
-    return fact.join(d, cond, how).drop(*[f"_k_{k}" for k in natural])
+        no_match = no_match | F.col(k).isNull()
+    scattered = F.timestamp_seconds(F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(100_000)) * 86_400)
+    facts = fact.select(*[F.col(k).alias(n) for k, n in zip(natural, keys, strict=True)], day.alias("_day"), F.lit(1).alias("_rank"),
+                        F.when(no_match, scattered).otherwise(F.date_trunc(chunk_unit, day.cast("timestamp"))).alias("_at"),
+                        F.struct(*[F.col(c) for c in fact.columns]).alias("_fact"))
+    since = F.col("effective_date").cast("date")
+    versions = dim.select(*[F.col(k).alias(n) for k, n in zip(natural, keys, strict=True)], since.alias("_day"), F.lit(0).alias("_rank"),
+                          F.date_trunc(chunk_unit, since.cast("timestamp")).alias("_at"),
+                          F.struct(*[F.col(c) for c in attrs]).alias("_version")).dropna(subset=keys)
+    both = facts.unionByName(versions, allowMissingColumns=True)
+    found = carry(both, keys, ["_day", "_rank"], "_version", "_at", "_valid").where("_rank = 1")
+    valid = F.col("_day") < F.col("_valid.expiry_date").cast("date")  # null: no version so far, or no date
+    if how == "inner":
+        found = found.where(valid)
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_valid.{c}")).alias(c) for c in attrs])

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from pricelens.operators.dedup import keep_best
 from pricelens.plans.catalog import SQL_LATE, SQL_ON_TIME, SQL_TICKS, register, sql_ts, ticks, with_
-from pricelens.plans.q_ticks import SQL_SILVER_1HR, SQL_SILVER_5MIN
+from pricelens.plans.q_ticks import SQL_SILVER_1HR, SQL_SILVER_5MIN, _sql_windows
 from pricelens.session import scratch_dir
+from pricelens.streaming.accounted import late_by_window, read_routed, read_windows, start_accounted
 from pricelens.streaming.ticks import (await_all, start_dedup, start_file_pipe,
                                        read_upserted, start_tick_queries, start_upsert, write_messages,
                                        write_slices)
@@ -145,3 +146,59 @@ def stream_upsert_multi_batch(spark, sf_dir):
     write_slices(t, src, _cuts(t, 4))
     await_all(start_upsert(spark, src, target, ckpt, max_files=1))
     return read_upserted(spark, target).select(*COLS_5MIN)
+
+
+# Delivery in four parts: by event time, but every ninth tick comes with the last part.
+PARTS = 4
+SQL_PARTS = f"""span AS (SELECT min(event_timestamp) AS lo, max(event_timestamp) - min(event_timestamp) AS width FROM ticks),
+parts AS (SELECT t.*, CASE WHEN event_id % 9 = 0 THEN {PARTS - 1}
+  ELSE least({PARTS - 1}, ({PARTS} * (event_timestamp - lo)) // (width + 1)) END AS part FROM ticks t, span),
+tops AS (SELECT part, max(event_timestamp) AS top FROM parts GROUP BY part),
+routed AS (SELECT p.*, CASE WHEN ingestion_timestamp - event_timestamp > 120 THEN 'late'
+  WHEN event_timestamp - event_timestamp % 300 + 300 <= (SELECT max(top) FROM tops WHERE tops.part < p.part) - 120 THEN 'dropped'
+  ELSE 'on_time' END AS route FROM parts p)"""
+
+
+def _accounted(spark, sf_dir, **options) -> str:
+    """The accounted stream over the table's messages, one run a part; the
+    last run is started again and finds nothing new."""
+    t = ticks(spark, sf_dir)
+    lo, hi = t.agg(F.min("event_timestamp"), F.max("event_timestamp")).first()
+    src, out, ckpt = (scratch_dir(spark, n) for n in ("parts", "accounted", "accounted-ckpt"))
+    if lo is not None:
+        place = F.floor(F.lit(PARTS) * (F.col("event_timestamp") - lo) / F.lit(hi - lo + 1))
+        t = t.withColumn("part", F.when(F.col("event_id") % 9 == 0, PARTS - 1).otherwise(F.least(place, F.lit(PARTS - 1))))
+        for part in range(PARTS):
+            write_messages(t.where(F.col("part") == part), src)
+            await_all(start_accounted(spark, src, out, ckpt, **options))
+        await_all(start_accounted(spark, src, out, ckpt, **options))
+    return out
+
+
+@register("stream_catch_up", with_(SQL_TICKS, SQL_PARTS) + f"""
+SELECT w.*, l.late_count FROM ({_sql_windows("ticks", ["flight_number"], [], 300, proc=False)}) w
+JOIN (SELECT flight_number, {sql_ts("event_timestamp - event_timestamp % 300")} AS window_start,
+             count(*) FILTER (route != 'on_time') AS late_count FROM routed GROUP BY ALL) l USING (flight_number, window_start)""")
+def stream_catch_up(spark, sf_dir):
+    """Late ticks correct the stored windows as they arrive; every
+    micro-batch's sums are added once, so the windows equal the batch
+    aggregate over all ticks."""
+    cols = [c for c in COLS_5MIN if c not in ("route_id", "origin", "destination", "airline_code", "airline_name")]
+    return read_windows(spark, _accounted(spark, sf_dir, catch_up=True)).select(*cols, "late_count")
+
+
+@register("stream_routes", with_(SQL_TICKS, SQL_PARTS) + """
+SELECT flight_number, event_timestamp, ingestion_timestamp, price_usd, route FROM routed""")
+def stream_routes(spark, sf_dir):
+    """Every tick of an out-of-order delivery, kept with its route:
+    on time, late, or past its window's end at the watermark."""
+    return read_routed(spark, _accounted(spark, sf_dir)).select("flight_number", "event_timestamp", "ingestion_timestamp", "price_usd", "route")
+
+
+@register("stream_late_by_window", with_(SQL_TICKS, SQL_PARTS) + f"""
+SELECT flight_number, {sql_ts("event_timestamp - event_timestamp % 300")} AS window_start, route, count(*) AS n_ticks,
+       max(ingestion_timestamp - event_timestamp) AS most_late_s
+FROM routed WHERE route != 'on_time' GROUP BY ALL""")
+def stream_late_by_window(spark, sf_dir):
+    """The ticks that missed each window, by route."""
+    return late_by_window(spark, _accounted(spark, sf_dir))

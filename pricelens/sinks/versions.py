@@ -26,13 +26,19 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from pricelens.sources.tables import columns, read_or_empty
 
-_COMMIT = columns("part string, version string, seq long")
+_COMMIT = columns("part string, version string, seq long, batch string")
 
 
 def _commits(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, os.path.join(path, "commits"), _COMMIT)
 
 
+def applied(spark: SparkSession, path: str, batch: str) -> bool:
+    """Whether a commit of that batch is in force or superseded: the ledger of
+    writes that must not be repeated."""
+    return not _commits(spark, path).where(F.col("batch") == batch).isEmpty()
+
+
 def live(spark: SparkSession, path: str) -> DataFrame:
     """``part``, ``version``: the version in force of every partition (a table
     without partitions has the one null part)."""
@@ -54,10 +60,10 @@ def read_live(spark: SparkSession, path: str, schema: StructType, partition: str
             .select(*schema.fieldNames()))
 
 
-def replace(df: DataFrame, path: str, partition: str | None = None, touched: DataFrame | None = None) -> None:
+def replace(df: DataFrame, path: str, partition: str | None = None, touched: DataFrame | None = None, batch: str | None = None) -> None:
     """``df`` becomes the content of the partitions it has rows in and of those
     in ``touched`` (a column of partition values), or of the whole table where
-    there are none."""
+    there are none.  ``batch`` names the write in the ledger (``applied``)."""
     spark = df.sparkSession
     version = uuid.uuid4().hex
     folder = os.path.join(path, "data", f"version={version}")
@@ -72,7 +78,7 @@ def replace(df: DataFrame, path: str, partition: str | None = None, touched: Dat
         df.write.parquet(folder)
         parts = spark.range(1).select(F.lit(None).cast("string").alias("part"))
     last = _commits(spark, path).agg(F.max("seq").alias("s")).first()["s"]
-    commit = parts.select("part", F.lit(version).alias("version"), F.lit((last or 0) + 1).cast("long").alias("seq"))
+    commit = parts.select("part", F.lit(version).alias("version"), F.lit((last or 0) + 1).cast("long").alias("seq"), F.lit(batch).cast("string").alias("batch"))
     commit.coalesce(1).write.mode("append").parquet(os.path.join(path, "commits"))  # one file: all or nothing
 
 

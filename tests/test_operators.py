@@ -210,3 +210,22 @@ def test_scd2_apply_changes_and_idempotence(spark):
                                            "expiry_date"), ["flight_number"], "date")
     assert sorted((r.date, r.flight_key) for r in j.collect()) == [
         ("2025-12-31", None), ("2026-01-02", 2002), ("2026-01-03", 2003)]
+
+
+def test_point_in_time_on_a_hot_key_is_linear_and_matches_brute_force(spark):
+    # one key with 400 versions and 4,000 facts: an equi-join would make 1.6 million rows
+    versions = spark.range(400).select(F.lit("H").alias("flight_number"), F.col("id").cast("int").alias("flight_key"),
+                                       F.date_format(F.expr("date_add(date'2024-01-10', cast(id * 2 as int))"), "yyyy-MM-dd").alias("effective_date"),
+                                       F.date_format(F.expr("date_add(date'2024-01-10', cast(id * 2 + 1 + id % 2 as int))"), "yyyy-MM-dd").alias("expiry_date"))
+    facts = spark.range(4000).select("id", F.when(F.col("id") % 97 != 0, F.when(F.col("id") % 11 != 0, "H").otherwise("other")).alias("flight_number"),
+                                     F.when(F.col("id") % 89 != 0, F.expr("date_add(date'2024-01-01', cast(id % 900 as int))").cast("string")).alias("date"))
+    spans = [(r.effective_date, r.expiry_date, r.flight_key) for r in versions.collect()]
+    want = {}
+    for r in facts.collect():
+        hit = [k for a, z, k in spans if r.flight_number == "H" and r.date is not None and a <= r.date < z]
+        want[r.id] = hit[0] if hit else None
+    joined = join_point_in_time(facts, versions, ["flight_number"], "date")
+    assert joined.columns == ["id", "flight_number", "date", "flight_key", "effective_date", "expiry_date"]
+    assert {r.id: r.flight_key for r in joined.collect()} == want and joined.count() == 4000
+    inner = join_point_in_time(facts, versions, ["flight_number"], "date", how="inner")
+    assert {r.id: r.flight_key for r in inner.collect()} == {i: k for i, k in want.items() if k is not None}
