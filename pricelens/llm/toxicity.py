@@ -1,13 +1,18 @@
 """Toxicity: a counterfactual-regularised linear classifier.
 
 Features are the 5-letter runs of a document's words (word ends marked,
-present or not, hashed), so inflected forms share them and length does not
-dilute them.  For every sampled document with an identity term a counterfactual is made
-by swapping its terms for others of their groups; beside the logistic loss the
-fit penalises the squared change of the score between the two, so that neutral
-mentions of a group don't become evidence.  Weights are evidence for toxicity
-only (none is negative), so a long clean text cannot outweigh an insult in it,
-and a soft threshold (L1) leaves only features that carry weight.
+hashed), so inflected forms share them: whether a run is there, and how often,
+as the share of words that hold it (from ``LOW_SHARE`` up to ``FULL_SHARE``; a
+rare stem that a clean text has in passing is frequent in a toxic one).  Length dilutes neither.
+
+Every sampled document gets a counterfactual: one with identity terms against
+itself with these terms swapped for others of their groups; one without any,
+with a term of a group put in against the same with another term of that group
+put in.  Beside the logistic loss the fit penalises the squared change of the
+score between the two, so that neutral mentions of a group don't become
+evidence.  Weights are evidence for toxicity only (none is negative), so a
+long clean text cannot outweigh an insult in it, and a soft threshold (L1)
+leaves only features that carry weight.
 
 Fitted on a bounded sample of labelled rows outside the held-out fold
 (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN``; feature ids only come to the driver).
@@ -19,13 +24,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType
+from pyspark.sql.types import ArrayType, BooleanType, ByteType, DoubleType, IntegerType
 
 from pricelens.llm.common import fields, kind_of, map_rows, text_bytes
 from pricelens.llm.labelled import Adam, Sparse, bounded, labelled_texts, sigmoid
@@ -35,6 +42,7 @@ FOLDS = 5
 RUN = 5
 WIDTH = 1 << 20
 CACHE_WORDS = 300_000
+LOW_SHARE, FULL_SHARE, LEVELS = 0.004, 0.02, 16  # shares between the first two, in steps
 FALSE_ALARM = 5.0
 
 # Identity terms by group; a term is swapped for the next of its group.
@@ -48,58 +56,96 @@ IDENTITY_TERMS = {
     "orientation": ["gay", "straight", "lesbian", "bisexual"],
     "age": ["old", "young"],
     "ability": ["deaf", "blind", "disabled"],
+    "fr_gender": ["femmes", "hommes", "filles", "garçons"],
+    "fr_faith": ["musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"],
+    "fr_origin": ["africains", "asiatiques", "européens", "américains", "chinois", "indiens", "arabes"],
+    "de_gender": ["frauen", "männer", "mädchen", "jungen"],
+    "de_faith": ["muslime", "christen", "juden", "buddhisten", "atheisten"],
+    "de_origin": ["afrikaner", "asiaten", "europäer", "amerikaner", "chinesen", "inder", "araber"],
+    "es_gender": ["mujeres", "hombres", "chicas", "chicos"],
+    "es_faith": ["musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"],
+    "es_origin": ["africanos", "asiáticos", "europeos", "americanos", "chinos", "indios", "árabes"],
 }
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def words_of(text: str) -> set[str]:
-    return set(_WORD.findall(text.lower()))
+def words_of(text: str) -> Counter[str]:
+    return Counter(_WORD.findall(text.lower()))
 
 
-def runs_of(word: str, run: int = RUN) -> list[int]:
-    """Hashed columns of a word."""
+@lru_cache(CACHE_WORDS)
+def runs_of(word: str, run: int = RUN) -> tuple[int, ...]:
+    """Hashed columns of a word, each once."""
     marked = f"^{word}$"
-    return [zlib.crc32(marked[k:k + run].encode()) % WIDTH for k in range(max(1, len(marked) - run + 1))]
+    return tuple(dict.fromkeys(zlib.crc32(marked[k:k + run].encode()) % WIDTH for k in range(max(1, len(marked) - run + 1))))
 
 
-def columns_of(words: set[str]) -> list[int]:
-    return sorted({c for w in words for c in runs_of(w)})
+def level(n: int, words: int) -> int:
+    """A run's share of the words, in steps; 0 for what any text may have in passing."""
+    return max(0, min(LEVELS, round((n / words - LOW_SHARE) / (FULL_SHARE - LOW_SHARE) * LEVELS)))
+
+
+def held_by(words: Counter[str], runs=runs_of) -> Counter[int]:
+    """How many words hold each run."""
+    held = Counter()
+    for w, n in words.items():
+        for c in runs(w):
+            held[c] += n
+    return held
 
 
 def swaps(groups: dict[str, list[str]]) -> dict[str, str]:
     return {t: g[(i + 1) % len(g)] for g in groups.values() for i, t in enumerate(g)}
 
 
+def counterfactual(words: Counter[str], held: Counter[int], groups: dict[str, list[str]], other_of: dict[str, str]) -> dict[int, float]:
+    """What changes between a text and its counterfactual, as weights' factors
+    by column.  The term put into a text without any goes round the groups by
+    the text's words, so it is the same at every run."""
+    found, size, put = [(w, n) for w, n in words.items() if w in other_of], words.total(), Counter()
+    if not found:
+        terms = [t for g in groups.values() if len(g) > 1 for t in g]
+        if not terms:
+            return {}
+        found, size = [(terms[zlib.crc32(" ".join(sorted(words)).encode()) % len(terms)], 1)], size + 1
+        put = held_by(Counter(dict(found)))
+    moved = Counter()
+    for w, n in found:
+        moved.subtract(held_by(Counter({w: n})))
+        moved.update(held_by(Counter({other_of[w]: n})))
+    change = {}
+    for c, d in sorted(moved.items()):
+        before = held[c] + put[c]
+        change[c] = float(before > 0) - float(before + d > 0)
+        change[c + WIDTH] = (level(before, size) - level(before + d, size)) / LEVELS
+    return {c: v for c, v in change.items() if v}
+
+
 @dataclass
 class Linear:
     bias: float
-    weight: dict[int, float]  # by hashed column; the rest are zero
+    weight: dict[int, float]  # by column; the rest are zero; a run's share is WIDTH after its presence
     seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def raw(self, text: str) -> float:
         words = words_of(text)
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
-        for w in words.difference(self.seen):
-            self.seen[w] = tuple(c for c in runs_of(w) if c in self.weight)
-        active = {c for found in map(self.seen.__getitem__, words) if found for c in found}
-        return self.bias + sum(map(self.weight.__getitem__, sorted(active)))
+        for w in words:
+            if w not in self.seen:
+                self.seen[w] = tuple(c for c in runs_of(w) if c in self.weight or c + WIDTH in self.weight)
+        held, size = held_by(words, self.seen.__getitem__), words.total()
+        return self.bias + sum(self.weight.get(c, 0.0) + self.weight.get(c + WIDTH, 0.0) * level(held[c], size) / LEVELS for c in sorted(held))
 
 
-def descend(x: Sparse, y: np.ndarray, use: np.ndarray, other: Sparse, paired: np.ndarray, penalty: float, sparsity: float, steps: int, rate: float) -> np.ndarray:
+def descend(x: Sparse, y: np.ndarray, use: np.ndarray, change: Sparse, penalty: float, sparsity: float, steps: int, rate: float) -> np.ndarray:
     """Weights and bias fitted on the rows that ``use`` marks."""
     w, adam, share = np.zeros(x.width), Adam(x.width + 1, rate), np.clip((use * y).sum() / use.sum(), 0.01, 0.99)
     bias = float(np.log(share / (1 - share)))
     for _ in range(steps):
-        s = x.dot(w) + bias
-        g = use * (sigmoid(s) - y) / use.sum()
-        slope = x.back(g)
-        if len(paired):
-            change = s[paired] - (other.dot(w) + bias)
-            back = np.zeros(len(y))
-            np.add.at(back, paired, change)
-            slope = slope + 2 * penalty / len(paired) * (x.back(back) - other.back(change))
+        g = use * (sigmoid(x.dot(w) + bias) - y) / use.sum()
+        slope = x.back(g) + 2 * penalty / max(1, change.n) * change.back(change.dot(w))
         move = adam.step(np.concatenate([slope, [g.sum()]]))
         w, bias = w - move[:-1], bias - move[-1]
         w = np.maximum(w - sparsity, 0)
@@ -118,22 +164,22 @@ def cut_of(s: np.ndarray, y: np.ndarray) -> float:
     return float(s[0] if k == 0 else s[-1] if k == len(s) else (s[k - 1] + s[k]) / 2)
 
 
-def fit(x: Sparse, y: np.ndarray, other: Sparse, paired: np.ndarray, penalty: float = 1.0, sparsity: float = 1e-3,
+def fit(x: Sparse, y: np.ndarray, change: Sparse, penalty: float = 1.0, sparsity: float = 1e-3,
         steps: int = 120, rate: float = 0.1, least_documents: int = 3) -> Linear:
-    """``other`` holds the counterfactuals of the rows ``paired`` of x.  As one
+    """``change`` holds what each counterfactual changes.  As one
     class is rare, the bias is set so that the score 0.5 lies at the best cut
     of every fifth row, scored by a fit on the others."""
     if len(set(y.tolist())) < 2:
         share = float(np.clip(y.mean() if len(y) else 0.0, 1e-6, 1 - 1e-6))
         return Linear(float(np.log(share / (1 - share))), {})
-    often = np.flatnonzero(np.bincount(x.index, minlength=WIDTH) >= least_documents)
-    x, other = x.narrowed(often), other.narrowed(often)
+    often = np.flatnonzero(np.bincount(x.index, minlength=2 * WIDTH) >= least_documents)
+    x, change = x.narrowed(often), change.narrowed(often)
     how = penalty, sparsity, steps, rate
-    whole = descend(x, y, np.ones(len(y)), other, paired, *how)
+    whole = descend(x, y, np.ones(len(y)), change, *how)
     w, bias = whole[:-1], whole[-1]
     apart = np.arange(len(y)) % 5 == 0
     if 0 < y[apart].sum() < apart.sum() and 0 < y[~apart].sum():
-        inner = descend(x, y, 1.0 - apart, other, paired, *how)
+        inner = descend(x, y, 1.0 - apart, change, *how)
         bias -= cut_of((x.dot(inner[:-1]) + inner[-1])[apart], y[apart])
     kept = np.flatnonzero(w)
     return Linear(float(bias), dict(zip(often[kept].tolist(), w[kept].tolist(), strict=True)))
@@ -147,20 +193,35 @@ def fold(id_col: str) -> Column:
 def train(documents: DataFrame, labels: DataFrame, groups: dict[str, list[str]] | None = None, penalty: float = 1.0,
           sample_toxic: int = SAMPLE_TOXIC, sample_clean: int = SAMPLE_CLEAN, id_col: str = "doc_id", text_col: str = "text",
           label_id: str = "doc_id", label_col: str = "toxic") -> Linear:
-    other_of = swaps(IDENTITY_TERMS if groups is None else groups)
+    groups = IDENTITY_TERMS if groups is None else groups
+    other_of = swaps(groups)
     seen = labels.where(fold(label_id) != 0)
     sample = labelled_texts(documents, seen, F.col(f"`{label_col}`"), {0: sample_clean, 1: sample_toxic}, id_col, text_col, label_id)
-    schema = fields(doc_id=kind_of(sample, "doc_id"), label=IntegerType(), columns=ArrayType(IntegerType()), other=ArrayType(IntegerType()))
+    schema = fields(doc_id=kind_of(sample, "doc_id"), label=IntegerType(), columns=ArrayType(IntegerType()), levels=ArrayType(ByteType()),
+                    changed=ArrayType(IntegerType()), change=ArrayType(DoubleType()))
 
     def run(batch: pa.RecordBatch) -> dict:
         words = [words_of(t.decode()) for t in text_bytes(batch["text"])]
-        return {"doc_id": batch["doc_id"], "label": batch["label"], "columns": [columns_of(w) for w in words],
-                "other": [columns_of({other_of.get(t, t) for t in w}) if not w.isdisjoint(other_of) else None for w in words]}
+        held = [held_by(w) for w in words]
+        other = [counterfactual(w, h, groups, other_of) for w, h in zip(words, held, strict=True)]
+        return {"doc_id": batch["doc_id"], "label": batch["label"], "columns": [sorted(h) for h in held],
+                "levels": [[level(h[c], w.total()) for c in sorted(h)] for w, h in zip(words, held, strict=True)],
+                "changed": [list(o) for o in other], "change": [list(o.values()) for o in other]}
 
     got = bounded(map_rows(sample, run, schema), sample_toxic + sample_clean, ["doc_id", "columns"])
-    swapped = got.filter(got["other"].is_valid())
-    return fit(Sparse(got["columns"], None, WIDTH), got["label"].to_numpy().astype(float), Sparse(swapped["other"], None, WIDTH),
-               np.flatnonzero(got["other"].is_valid().to_numpy()), penalty)
+    x = with_shares(Sparse(got["columns"], got["levels"], 2 * WIDTH))
+    return fit(x, got["label"].to_numpy().astype(float), Sparse(got["changed"], got["change"], 2 * WIDTH), penalty)
+
+
+def with_shares(levels: Sparse) -> Sparse:
+    """Presence and share columns from rows of (run, level)."""
+    some = levels.value > 0
+    out = object.__new__(Sparse)
+    out.index = np.concatenate([levels.index, levels.index[some] + WIDTH])
+    out.row = np.concatenate([levels.row, levels.row[some]])
+    out.value = np.concatenate([np.ones(len(levels.value)), levels.value[some] / LEVELS])
+    out.n, out.width = levels.n, levels.width
+    return out
 
 
 def score(df: DataFrame, model: Linear, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
