@@ -86,7 +86,19 @@ def level(n: int, words: int) -> int:
     return max(0, min(LEVELS, round((n / words - LOW_SHARE) / (FULL_SHARE - LOW_SHARE) * LEVELS)))
 
 
-def held_by(words: Counter[str], runs=runs_of) -> Counter[int]:
+def levels(n: np.ndarray, words: int) -> np.ndarray:
+    """level() of many runs of one text."""
+    return np.clip(np.rint((n / max(1, words) - LOW_SHARE) / (FULL_SHARE - LOW_SHARE) * LEVELS), 0, LEVELS).astype(np.int8)
+
+
+def features(held: Counter[int], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """A text's runs, ascending, and the level of each."""
+    runs = np.fromiter(held.keys(), np.int32, len(held))
+    order = np.argsort(runs)
+    return runs[order], levels(np.fromiter(held.values(), np.int64, len(held))[order], words)
+
+
+def held_by(words: dict[str, int], runs=runs_of) -> Counter[int]:
     """How many words hold each run."""
     held = Counter()
     for w, n in words.items():
@@ -126,16 +138,21 @@ def counterfactual(words: Counter[str], held: Counter[int], groups: dict[str, li
 class Linear:
     bias: float
     weight: dict[int, float]  # by column; the rest are zero; a run's share is WIDTH after its presence
-    seen: dict[str, tuple[int, ...]] = field(default_factory=dict)
+    seen: set[str] = field(default_factory=set)
+    told: dict[str, tuple[int, ...]] = field(default_factory=dict)  # those of the seen words that hold a weighted run
 
     def raw(self, text: str) -> float:
         words = words_of(text)
         if len(self.seen) > CACHE_WORDS:
             self.seen.clear()
-        for w in words:
-            if w not in self.seen:
-                self.seen[w] = tuple(c for c in runs_of(w) if c in self.weight or c + WIDTH in self.weight)
-        held, size = held_by(words, self.seen.__getitem__), words.total()
+            self.told.clear()
+        new = set(words).difference(self.seen)
+        for w in new:
+            if runs := tuple(c for c in runs_of.__wrapped__(w) if c in self.weight or c + WIDTH in self.weight):
+                self.told[w] = runs
+        self.seen |= new
+        size = words.total()
+        held = held_by({w: words[w] for w in words.keys() & self.told.keys()}, self.told.__getitem__)
         return self.bias + sum(self.weight.get(c, 0.0) + self.weight.get(c + WIDTH, 0.0) * level(held[c], size) / LEVELS for c in sorted(held))
 
 
@@ -204,8 +221,8 @@ def train(documents: DataFrame, labels: DataFrame, groups: dict[str, list[str]]
         words = [words_of(t.decode()) for t in text_bytes(batch["text"])]
         held = [held_by(w) for w in words]
         other = [counterfactual(w, h, groups, other_of) for w, h in zip(words, held, strict=True)]
-        return {"doc_id": batch["doc_id"], "label": batch["label"], "columns": [sorted(h) for h in held],
-                "levels": [[level(h[c], w.total()) for c in sorted(h)] for w, h in zip(words, held, strict=True)],
+        own = [features(h, w.total()) for w, h in zip(words, held, strict=True)]
+        return {"doc_id": batch["doc_id"], "label": batch["label"], "columns": [c for c, _ in own], "levels": [v for _, v in own],
                 "changed": [list(o) for o in other], "change": [list(o.values()) for o in other]}
 
     got = bounded(map_rows(sample, run, schema), sample_toxic + sample_clean, ["doc_id", "columns"])
