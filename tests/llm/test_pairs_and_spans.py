@@ -152,6 +152,25 @@ def test_decontamination_is_brute_force(spark, monkeypatch, shard):
     assert rows(kept, "doc_id") == rows(got.where("not contaminated"), "doc_id") and kept.columns == ["doc_id", "text", "version"]
 
 
+@pytest.mark.parametrize(("words", "block"), [(3, 1), (7, 400), (2_000, 64_000_000)])
+def test_long_items_and_texts_are_scanned_in_pieces(spark, monkeypatch, words, block):
+    """One item of 300 words in several pieces and shards, one document of 40,000 words, clashing column names."""
+    monkeypatch.setattr(decontaminate, "SHARD_BYTES", 600)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", words)
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    rng = random.Random(words)
+    item = [f"q{rng.randrange(50)}" for _ in range(300)]
+    far = [f"z{k}" for k in range(40_000)]
+    docs = [(1, " ".join(far[:20_000] + item[4:50] + far[20_000:] + item[290:])), (2, " ".join(item)), (2, " ".join(item)), (3, " ".join(item[-9:])), (4, " ".join(item[-10:])), (5, "")]
+    bench = [(11, " ".join(item)), (11, " ".join(item)), (None, " ".join(item[100:112])), (12, "..."), (13, None)]
+    df = spark.createDataFrame([(i, t, 7, "s") for i, t in docs], "doc_id long, text string, item bigint, shard string")
+    got = decontaminate.digest(decontaminate.find(df, items(spark, bench)))
+    assert rows(got, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == sorted(
+        B.decontaminate(docs, bench), key=repr)
+    kept = decontaminate.clean(df, items(spark, bench))
+    assert rows(kept, "doc_id", "item", "shard") == [(3, 7, "s"), (5, 7, "s")]
+
+
 def test_spans_are_offsets_of_the_original(spark):
     text = "Ünïcode: a – SHORT... item; z"
     got = decontaminate.find(frame(spark, [(1, text)]), items(spark, [(1, "short item")])).first()
