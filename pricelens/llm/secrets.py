@@ -16,9 +16,11 @@ its sum over all transitions reaches both bounds.
 Both models are counted from labelled samples: (string, label) rows.
 
 Offsets come from the lengths of what stands between the matches (split) and
-of the matches, summed in blocks, all inside the row: no shuffle; the work on
-one text grows with the square of its matches (texts of some MB with thousands
-of matches are slow).
+of the matches, added in blocks of blocks, all inside the row: no shuffle.  No
+step takes a text's part by its offset in the whole text or compares spans with
+spans, so the work on a text grows with its length, however many matches it has
+(``ahead``: but for the square of a 4,096th of them).  A single run of
+identifier characters is the exception: its judging grows faster than its length.
 
 Null texts are empty.  Offsets are code points, the end exclusive.
 """
@@ -46,6 +48,7 @@ MIN_ASSIGNED = 6
 MIN_RATIO, MIN_MEAN, MIN_DISTINCT = 10.0, 0.3, 8
 SAMPLE_DOCUMENTS, SAMPLE_RANDOM = 400, 2_000
 BLOCK = 64
+CHUNK = 1024
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 STRETCHES = "array<struct<start:int,end:int>>"
 
@@ -56,23 +59,28 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def total(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0), lambda acc, x: acc + x)
+def add(a: Column, b: Column) -> Column:
+    return a + b
 
 
-def sums_before(lengths: Column) -> Column:
-    """For each place the sum of the lengths before it, by blocks, so that m
-    lengths take about 64 m + (m / 64)^2 additions."""
+def ahead(numbers: Column, merge: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """For each place the numbers (none below 0) before it, merged, by blocks of
+    BLOCK places, whose own numbers are merged the same way: m numbers take
+    about 64 m + (m / 4096)^2 steps."""
+    def fold(values):
+        return F.aggregate(values, F.lit(0), lambda acc, x: merge(acc, x))
+
     def block(i):
         return F.floor(i / F.lit(BLOCK)).cast("int")
 
-    def summed(lens):
-        blocks = F.sequence(F.lit(0), block(F.size(lens)))
-        each = F.transform(blocks, lambda b: total(F.slice(lens, b * BLOCK + 1, F.lit(BLOCK))))
-        return let(each, lambda sums: let(F.transform(blocks, lambda b: total(F.slice(sums, F.lit(1), b))), lambda before: F.transform(
-            lens, lambda _, i: F.get(before, block(i)) + total(F.slice(lens, block(i) * BLOCK + 1, i % BLOCK)))))
+    def merged_before(all_):
+        if not levels:
+            return F.transform(all_, lambda _, i: fold(F.slice(all_, F.lit(1), i)))
+        each = F.transform(F.sequence(F.lit(0), block(F.size(all_))), lambda b: fold(F.slice(all_, b * BLOCK + 1, F.lit(BLOCK))))
+        return let(ahead(each, merge, levels - 1), lambda before: F.transform(
+            all_, lambda _, i: merge(F.get(before, block(i)), fold(F.slice(all_, block(i) * BLOCK + 1, i % BLOCK)))))
 
-    return let(lengths, summed)
+    return let(numbers, merged_before)
 
 
 def matches(text: str, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
@@ -84,7 +92,7 @@ def matches(text: str, pattern: str, kind: int, group: int = 0, least: int = 0)
     found = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), wanted.alias("wanted"))  # the last gap has no match after it
 
     def spans(m):
-        before = sums_before(F.transform(m, lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0))))
+        before = ahead(F.transform(m, lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0))), add)
         placed = F.zip_with(m, before, lambda x, b: F.struct((b + x["gap"]).alias("start"), F.lit(kind).alias("kind"), (b + x["gap"] + x["size"]).alias("end"), x["wanted"].alias("wanted")))
         good = F.filter(placed, lambda s: s["end"].isNotNull() & (s["wanted"] >= least))
         return F.transform(good, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(SPAN)
@@ -145,28 +153,37 @@ def forward(codes: Column, ratios: Column) -> Column:
         zero = lambda v: F.when(anew, F.lit(0.0)).otherwise(v)
         return named(at=acc["at"] + 1, start=F.when(anew, acc["at"] + 1).otherwise(acc["start"]), end=F.when(on & ~fell, acc["at"]).otherwise(acc["end"]),
                      sum=zero(total), ratio=zero(ratio), best=zero(F.greatest(acc["best"], total)), on=on & ~anew,
-                     found=F.when(on & fell, F.concat(acc["found"], one(acc["start"], acc["end"]))).otherwise(acc["found"]))
+                     found=F.when(on & fell, F.when(full(acc), one(acc["start"], acc["end"])).otherwise(F.concat(acc["found"], one(acc["start"], acc["end"])))).otherwise(acc["found"]),
+                     earlier=F.when(on & fell & full(acc), F.concat(acc["earlier"], F.array(acc["found"]))).otherwise(acc["earlier"]))
+
+    def full(acc):
+        return F.size(acc["found"]) >= BLOCK
 
     def step(acc, c):
         total, ratio = acc["sum"] + c["x"] - MIN_MEAN, acc["ratio"] + c["x"]
-        inside = named(at=acc["at"] + 1, start=acc["start"], end=acc["end"], sum=total, ratio=ratio, best=acc["best"], on=acc["on"], found=acc["found"])
+        inside = named(at=acc["at"] + 1, start=acc["start"], end=acc["end"], sum=total, ratio=ratio, best=acc["best"], on=acc["on"], found=acc["found"], earlier=acc["earlier"])
         return F.when(c["cut"], piece_end(acc, total, ratio)).otherwise(inside)
 
     x = F.concat(F.array(F.lit(0.0)), ratios, F.array(F.lit(0.0)))  # into each character, and the run's end
     cut = F.concat(F.transform(codes, lambda c: c > len(ALPHABET) - len(GLUE)), F.array(F.lit(True)))
-    state = named(at=F.lit(0), start=F.lit(0), end=F.lit(0), sum=F.lit(0.0), ratio=F.lit(0.0), best=F.lit(0.0), on=F.lit(False), found=F.array().cast(STRETCHES))
-    return F.aggregate(F.arrays_zip(x.alias("x"), cut.alias("cut")), state, step,
-                       lambda acc: F.when(acc["on"], F.concat(acc["found"], one(acc["start"], acc["end"]))).otherwise(acc["found"]))
+    state = named(at=F.lit(0), start=F.lit(0), end=F.lit(0), sum=F.lit(0.0), ratio=F.lit(0.0), best=F.lit(0.0), on=F.lit(False), found=F.array().cast(STRETCHES),
+                  earlier=F.array().cast(f"array<{STRETCHES}>"))  # full blocks, so that arrays are not copied for each stretch
+    return F.aggregate(F.arrays_zip(x.alias("x"), cut.alias("cut")), state, step, lambda acc: F.concat(
+        F.flatten(acc["earlier"]), acc["found"], F.when(acc["on"], one(acc["start"], acc["end"])).otherwise(F.array().cast(STRETCHES))))
 
 
 def joined(spans: Column) -> Column:
-    """Overlapping stretches as one."""
-    def step(acc, s):
-        last = F.element_at(acc, -1)
-        more = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (s["start"] < F.get(acc, F.size(acc) - 1)["end"]), more).otherwise(F.concat(acc, F.array(s))).cast(STRETCHES)
+    """Overlapping spans as one (start, end), in order."""
+    def firsts(s, before):
+        """Spans that begin at or after the end of all before them."""
+        return F.filter(F.zip_with(s, before, lambda x, b: F.struct(x["start"].alias("start"), b.alias("before"))), lambda x: x["start"] >= x["before"])
+
+    def groups(s):
+        ends = F.transform(s, lambda x: x["end"])
+        return let(F.array_max(ends), lambda last: let(firsts(s, ahead(ends, F.greatest)), lambda first: F.transform(first, lambda x, i: F.struct(
+            x["start"].alias("start"), F.coalesce(F.get(first, i + 1)["before"], last).alias("end"))).cast(STRETCHES)))
 
-    return F.aggregate(F.array_sort(spans), F.array().cast(STRETCHES), step)
+    return let(F.array_sort(spans), groups)
 
 
 def stretches(codes: Column, table: list[float]) -> Column:
@@ -196,12 +213,26 @@ def with_spans(rows: DataFrame, table: list[float]) -> DataFrame:
     """The same on any frame with a non-null ``text``, whose columns stay."""
     base = F.array_sort(F.concat(matches("text", ASSIGN, 0, 2, MIN_ASSIGNED), matches("text", ACCESS, 1), matches("text", HEX, 2)))
     rows = rows.withColumn("base", base).withColumn("runs", matches("text", RUN, 3))
-    runs = F.transform("runs", lambda s: F.struct(s.alias("span"), F.transform(F.filter(F.split(F.substr(F.col("text"), s["start"] + 1, s["end"] - s["start"]), F.lit("")), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c)).alias("codes")))
+    values = F.when(F.size("runs") > 0, F.regexp_extract_all("text", F.lit(RUN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    runs = F.transform(F.arrays_zip(F.col("runs").alias("span"), values.alias("value")), lambda r: F.struct(
+        r["span"].alias("span"), F.transform(F.filter(F.split(r["value"], F.lit("")), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c)).alias("codes")))
     best = F.flatten(F.transform(runs, lambda r: F.transform(stretches(r["codes"], table), lambda s: F.struct(
         (r["span"]["start"] + s["start"]).alias("start"), r["span"]["kind"].alias("kind"), (r["span"]["start"] + s["end"]).alias("end")))))
-    kept = F.filter(best, lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-    added = F.when(F.size("runs") > 0, kept).otherwise(F.array().cast(SPAN)).cast(SPAN)
-    return rows.withColumn("found", F.array_sort(F.concat("base", added))).drop("runs")
+    found = F.when(F.size("runs") > 0, uncovered(F.col("base"), best)).otherwise(F.col("base"))
+    return rows.withColumn("found", found).drop("runs")
+
+
+def uncovered(base: Column, best: Column) -> Column:
+    """Base spans and those of the best that lie in no base span, sorted."""
+    def marked(spans, new):
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(new).alias("new"), s["kind"].alias("kind"), s["end"].alias("end")))
+
+    def kept(both):  # base spans come before others of the same start
+        reach = ahead(F.transform(both, lambda s: F.when(s["new"] == 0, s["end"]).otherwise(0)), F.greatest)
+        seen = F.zip_with(both, reach, lambda s, r: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), ((s["new"] == 0) | (r < s["end"])).alias("use")))
+        return F.transform(F.filter(seen, lambda s: s["use"]), lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))).cast(SPAN)
+
+    return F.array_sort(let(F.array_sort(F.concat(marked(base, 0), marked(best, 1))), kept))
 
 
 def listed(spans: str) -> Column:
@@ -215,14 +246,23 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with each run of overlapping spans replaced by the mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, s):
-        gap = F.concat(F.substr(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], F.when((s["start"] >= acc["at"]), gap).otherwise("")).alias("out"))
-
-    return F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1, F.length(text))))
+    """The text with each run of overlapping spans replaced by the mark: the
+    pieces between them are put together from chunks of the text."""
+    def whole(n):
+        return F.floor(n / F.lit(CHUNK)).cast("int")
+
+    def piece(chunks, start, end):
+        a, z = whole(start), whole(end - 1)
+        parts = F.transform(F.slice(chunks, a + 1, z - a + 1), lambda c, k: F.substr(
+            c, F.when(k == 0, start % CHUNK).otherwise(0) + 1, F.when(k == z - a, (end - 1) % CHUNK + 1).otherwise(CHUNK) - F.when(k == 0, start % CHUNK).otherwise(0)))
+        return F.when(end > start, F.array_join(parts, "")).otherwise("")
+
+    def out(chunks, gone):
+        between = F.transform(gone, lambda s, i: piece(chunks, F.coalesce(F.get(gone, i - 1)["end"], F.lit(0)), s["start"]))
+        rest = piece(chunks, F.coalesce(F.get(gone, F.size(gone) - 1)["end"], F.lit(0)), F.length(text))
+        return F.array_join(F.concat(between, F.array(rest)), mark)
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), lambda chunks: let(joined(spans), lambda gone: out(chunks, gone)))
 
 
 def redact(df: DataFrame, table: list[float], text_col: str = "text", length_col: str | None = None) -> DataFrame:

@@ -214,12 +214,39 @@ def test_masking(spark, ratios):
     assert got == [(1, "a [SECRET] b", 12, "k"), (2, "nothing", 7, "k"), (3, None, None, "k")]
 
 
-def test_blocked_sums(spark):
+def test_blocked_sums_and_maxima(spark):
     from pyspark.sql import functions as F
-    values = [[3, 1, 2] * 70, [5], []]
-    got = spark.createDataFrame([(v,) for v in values], "v array<int>").select("v", secrets.sums_before(F.col("v")).alias("s")).collect()
+    values = [[3, 1, 2] * 70, [5], [], list(range(4200)) + [1, 9000, 2]]
+    got = spark.createDataFrame([(v,) for v in values], "v array<int>").select("v", secrets.ahead(F.col("v"), secrets.add).alias("s"), secrets.ahead(F.col("v"), F.greatest).alias("m")).collect()
     for r in got:
         assert list(r["s"]) == [sum(r["v"][:i]) for i in range(len(r["v"]))]
+        assert list(r["m"]) == [max(r["v"][:i], default=0) for i in range(len(r["v"]))]
+
+
+def test_many_spans_of_one_long_text(spark, ratios):
+    """Work grows with the length: twice the text takes at most twice the time (and a second)."""
+    import time
+
+    def spent(n):
+        text = " ".join(f"token=abc{k:05d}" for k in range(n))
+        df, at = frame(spark, [text]), time.monotonic()
+        masked = secrets.redact(df, ratios).first()["text"]
+        found = secrets.digest(secrets.scan(df, ratios)).first()
+        assert masked == " ".join(["[SECRET]"] * n) and found["n_assign"] == n
+        return time.monotonic() - at
+
+    spent(100)
+    assert spent(20_000) <= 2 * spent(10_000) + 1
+
+
+def test_masking_joins_overlaps_over_chunks(spark, ratios):
+    """Marks at chunk borders, beyond the basic plane, at both ends of the text."""
+    secret = "AKIA" + "Z" * 20
+    texts = [f"{'é😀' * k}{secret}" for k in (511, 512, 1024, 1500)] + [f"{secret}{'x ' * 3000}password={secret}", secret, "😀 " * 5000 + f"token={secret}/ab 😀"]
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(frame(spark, texts), ratios).collect()}
+    got = [masked[k] for k in range(len(texts))]
+    assert got[:4] == [t.replace(secret, "[SECRET]") for t in texts[:4]]
+    assert got[4] == f"[SECRET]{'x ' * 3000}[SECRET]" and got[5] == "[SECRET]" and got[6].startswith("😀 " * 5000 + "[SECRET]")
 
 
 # ---------------------------------------------------------------- pipeline
