@@ -8,6 +8,7 @@ from pricelens.plans.catalog import register, schedule, sql_schedule, with_
 from pricelens.plans.q_routes import POS_PATHS
 from pricelens.session import scratch_dir
 from pricelens.sources.documents import SCHEDULE_PATHS, load_documents, project_text_documents, schedule_document
+from pricelens.sources.tables import read_table
 from pricelens.sources.views import SCHEDULE_POSITION
 
 LOADED_AT = "1999-01-01 06:00:00"
@@ -25,27 +26,26 @@ FAULTS = {0: (f"""concat('{{"id":"', {ID}, '","a":tru}}')""", "malformed"),
 
 def stage_files(spark, sf_dir) -> str:
     """The schedule as array files, about FILE_ROWS elements each, with faults
-    in the order of the rows' keys; each file ends with a document that says so."""
-    s = schedule(spark, sf_dir)
-    position = F.struct(*[F.col(c) for c in SCHEDULE_POSITION])
-    text = schedule_document(s, {"position": position})
+    in the order of the rows' keys; each file ends with a document that says so.
+    The files are gzip files: plain, they are eight times as large as what is
+    shuffled to make them."""
+    n_files = max(2, -(-read_table(spark, sf_dir, "lineitem").count() // FILE_ROWS))
+    rows = schedule(spark, sf_dir).withColumn("f", F.pmod(F.xxhash64(*SCHEDULE_POSITION), F.lit(n_files))).withColumn("part", F.lit(1))
+    ends = spark.range(n_files).select(F.col("id").alias("f"), F.explode(F.array(F.lit(0), F.lit(2))).alias("part"))
+    # the texts are made where the rows lie in order: the shuffle and the sort move columns
+    placed = rows.unionByName(ends, allowMissingColumns=True).repartition(n_files, "f").sortWithinPartitions("f", "part", *SCHEDULE_POSITION)
+    text = schedule_document(placed, {"position": F.struct(*[F.col(c) for c in SCHEDULE_POSITION])})
     for kind, (fault, _) in FAULTS.items():
         text = F.when(F.expr(f"{KIND} = {kind}"), F.expr(fault)).otherwise(text)
-    n_files = max(2, -(-s.count() // FILE_ROWS))
-    rows = s.select(F.pmod(F.xxhash64(*SCHEDULE_POSITION), F.lit(n_files)).alias("f"), F.lit(1).alias("part"), position.alias("at"),
-                    F.concat(text, F.lit(",")).alias("value"))
-    ends = spark.range(n_files).select(F.col("id").alias("f"), F.explode(F.array(
-        F.struct(F.lit(0).alias("part"), F.lit("[").alias("value")),
-        F.struct(F.lit(2).alias("part"), F.lit('{"end_of_file": true}]').alias("value")))).alias("e"))
-    ends = ends.select("f", "e.part", F.lit(None).cast(rows.schema["at"].dataType).alias("at"), "e.value")
+    value = F.when(F.col("part") == 0, "[").when(F.col("part") == 2, '{"end_of_file": true}]').otherwise(F.concat(text, F.lit(",")))
     path = scratch_dir(spark, "schedule-files")
-    (rows.union(ends).repartition(n_files, "f").sortWithinPartitions("f", "part", "at").select("f", "value")
-     .write.partitionBy("f").text(path))
+    (placed.select("f", value.alias("value")).write.partitionBy("f")
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path))
     return path
 
 
 def load(spark, sf_dir):
-    return load_documents(spark, stage_files(spark, sf_dir), LOADED_AT, "*.txt", range_bytes=1 << 20, longest=LONG)
+    return load_documents(spark, stage_files(spark, sf_dir), LOADED_AT, "*.txt.gz", range_bytes=1 << 20, longest=LONG)
 
 
 @register("schedule_load", with_(sql_schedule()) + f"""

@@ -19,12 +19,18 @@ surplus closing brackets don't leave the array, and a raw line break, illegal
 inside a JSON string, ends a string that was never closed.  (A bracket that is
 opened and never closed takes what follows into its element: where it should
 have ended cannot be told.)
+
+A gzip file (.gz) can only be read from its start, so its ranges, places in
+the bytes it holds, are read one after the other by one task, which unpacks it
+once a pass; many such files are still read by many tasks.
 """
 
 from __future__ import annotations
 
 import json
+from collections import deque
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +40,7 @@ from pyspark.sql import functions as F
 
 RANGE = 32 << 20        # bytes of a range
 READ = 4 << 20          # bytes read at a time
+PAST = 1 << 16          # bytes read at first past a range's end
 LONGEST = 256 << 20     # bytes of the longest element that is loaded
 REJECT_TEXT = 8192      # characters of a rejected element that are kept
 
@@ -41,6 +48,10 @@ _QUOTE, _BACK, _COMMA, _LINE = b'"'[0], b"\\"[0], b","[0], b"\n"[0]
 _KIND = np.zeros(256, np.int8)
 for _c, _k in ((b"{", 1), (b"[", 1), (b"}", -1), (b"]", -1)):
     _KIND[_c[0]] = _k
+_MARK = _KIND != 0
+_MARK[_COMMA] = True
+_KNOWN = _MARK.copy()   # bytes that a scan looks at
+_KNOWN[[_QUOTE, _BACK, _LINE]] = True
 _BLANK = b" \t\r\n"
 
 
@@ -50,7 +61,9 @@ class Scan:
 
     def __init__(self, data: bytes, escaped: bool):
         raw = np.frombuffer(data, np.uint8)
-        back = np.flatnonzero(raw == _BACK)
+        known = np.flatnonzero(_KNOWN[raw])
+        kinds = raw[known]
+        back = known[kinds == _BACK]
         ends_escaped, skip = False, np.empty(0, np.int64)
         if len(back) or escaped:
             # in a run of backslashes every second one is escaped, and so is what follows an odd run
@@ -65,14 +78,14 @@ class Scan:
                 skip = np.concatenate([[0], skip])
             ends_escaped = bool(len(skip) and skip[-1] == len(raw))
             skip = skip[skip < len(raw)]
-        quote = np.flatnonzero(raw == _QUOTE)
+        quote = known[kinds == _QUOTE]
         if len(skip):
             escapes = np.zeros(len(raw), bool)
             escapes[skip] = True
             quote = quote[~escapes[quote]]
         self.ends_escaped = ends_escaped
-        line = np.flatnonzero(raw == _LINE)
-        mark = np.flatnonzero((_KIND[raw] != 0) | (raw == _COMMA))
+        line = known[kinds == _LINE]
+        mark = known[_MARK[kinds]]
         # quotes since the last line break, or since the piece began
         breaks = np.searchsorted(line, mark)
         before = np.concatenate([[0], np.searchsorted(quote, line)])
@@ -99,9 +112,11 @@ def summaries(pieces: Iterator[bytes]) -> list[dict]:
     runs = [{"escaped": e, "in_string": s, "rise": 0, "low": 0, "tally": {}} for e in (False, True) for s in (False, True)]
     for data in pieces:
         scans, marks = {}, {}
+        told = data[0] in (_QUOTE, _BACK)  # whether an escape before the piece changes what it does
         for run in runs:
-            scan = scans.get(run["escaped"]) or scans.setdefault(run["escaped"], Scan(data, run["escaped"]))
-            key = run["escaped"], run["in_string"]
+            escaped = run["escaped"] and told
+            scan = scans.get(escaped) or scans.setdefault(escaped, Scan(data, escaped))
+            key = escaped, run["in_string"]
             if key not in marks:
                 kind = scan.kind[scan.outside(run["in_string"])].astype(np.int64)
                 marks[key] = kind, np.cumsum(kind)
@@ -126,7 +141,58 @@ def follow(state: tuple[bool, bool, int, int], by: dict) -> tuple[bool, bool, in
 
 
 # ------------------------------------------------------------------ reading
-def open_file(path: str):
+class Unpacked:
+    """The bytes that a gzip file holds, read forwards.  The last RANGE bytes
+    stay at hand; a place before them is reached from the file's start."""
+
+    def __init__(self, path: str):
+        self.path, self.raw = path, None
+        self.start()
+
+    def start(self) -> None:
+        self.close()
+        self.raw = open_raw(self.path)
+        self.stream, self.parts, self.head, self.tail = pa.CompressedInputStream(self.raw, "gzip"), deque(), 0, 0
+
+    def more(self) -> bool:
+        data = self.stream.read(READ)
+        self.parts.append(data)
+        self.tail += len(data)
+        while self.tail - self.head - len(self.parts[0]) > RANGE:
+            self.head += len(self.parts.popleft())
+        return bool(data)
+
+    def read_at(self, n: int, at: int) -> bytes:
+        if at < self.head:
+            self.start()
+        found = []
+        while self.tail <= at and self.more():
+            pass
+        place = self.head
+        for part in self.parts:
+            found.append(part[max(0, at - place):max(0, at + n - place)])
+            place += len(part)
+        while self.tail < at + n and self.more():
+            found.append(self.parts[-1][:at + n - self.tail + len(self.parts[-1])])
+        return b"".join(found)
+
+    def size(self) -> int:
+        while self.more():
+            pass
+        return self.tail
+
+    def close(self) -> None:
+        if self.raw is not None:
+            self.raw.close()
+
+    def __enter__(self) -> Unpacked:
+        return self
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+
+def open_raw(path: str):
     if path.startswith("file:"):
         return fs.LocalFileSystem().open_input_file("/" + path[5:].lstrip("/"))
     if "://" not in path:
@@ -135,13 +201,36 @@ def open_file(path: str):
     return system.open_input_file(name)
 
 
-def _pieces(stream, at: int, end: int) -> Iterator[bytes]:
+def open_file(path: str):
+    return Unpacked(path) if path.endswith(".gz") else open_raw(path)
+
+
+class LastOpened:
+    """Keeps the file that was read last open: a task's ranges come file by file."""
+
+    def __init__(self):
+        self.path = self.stream = None
+
+    def __call__(self, path: str):
+        if path != self.path:
+            self.close()
+            self.path, self.stream = path, open_file(path)
+        return self.stream
+
+    def close(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+
+
+def _pieces(stream, at: int, end: int, most: int | None = None) -> Iterator[bytes]:
+    """Pieces of READ bytes; ``most`` bytes at first, if given, then twice as many each time."""
     while at < end:
-        data = stream.read_at(min(READ, end - at), at)
+        data = stream.read_at(min(most or READ, READ, end - at), at)
         if not data:
             return
         yield data
         at += len(data)
+        most = 2 * most if most else None
 
 
 def array_start(stream, size: int) -> int:
@@ -183,7 +272,7 @@ class Element:
         self.size += len(data)
         if not self.too_long:
             self.parts.append(data)
-        elif len(self.parts) != 1 or len(self.parts[0]) > 4 * REJECT_TEXT:
+        elif len(self.parts) != 1 or len(self.parts[0]) != 4 * REJECT_TEXT:
             self.parts = [b"".join([*self.parts, data])[:4 * REJECT_TEXT]]
 
     @property
@@ -203,7 +292,8 @@ def elements(stream, size: int, start: int, end: int, state: tuple[bool, bool, i
     escaped, in_string, depth, nth = state
     at, held = start, Element(nth, start, longest) if first else None
     closed = None  # after the last separator: place of the array's own closing bracket, in the element's bytes
-    for data in _pieces(stream, start, size):
+    # past the range only what its last element takes
+    for data in chain(_pieces(stream, start, end), _pieces(stream, end, size, PAST)):
         scan = Scan(data, escaped)
         out = scan.outside(in_string)
         mark, kind = scan.mark[out], scan.kind[out].astype(np.int64)
@@ -271,7 +361,8 @@ def split_files(files: DataFrame, range_bytes: int = RANGE) -> DataFrame:
                     rows.append((path, stream.size(), array_start(stream, stream.size())))
             yield _batch(rows, ["path", "size", "head"], [pa.string(), pa.int64(), pa.int64()])
 
-    found = files.select("path").repartition("path").mapInArrow(heads, "path string, size long, head long")
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = files.select("path").repartition(tasks, "path").mapInArrow(heads, "path string, size long, head long")
     starts = F.when((F.col("head") < 0) | (F.col("head") >= F.col("size")), F.array("head")).otherwise(
         F.sequence("head", F.col("size") - 1, F.lit(range_bytes).cast("long")))
     return (found.select("path", "size", F.posexplode(starts).alias("nth", "start"))
@@ -283,21 +374,22 @@ def array_rows(files: DataFrame, range_bytes: int = RANGE, longest: int = LONGES
     reason (null for an object) of every element of the files in ``path``."""
     types = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
     names = ["path", "nth", "start", "stop", "size", "first", "ends"]
-    by = [F.col("path"), F.col("nth")]
+    by = [F.col("path"), F.when(F.col("path").endswith(".gz"), 0).otherwise(F.col("nth"))]
     # as many tasks as the session's shuffles have: the rows are small, what they stand for is not
     tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = split_files(files, range_bytes).repartition(tasks, *by)
+    ranges = split_files(files, range_bytes).repartition(tasks, *by).sortWithinPartitions("path", "nth")
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opened = LastOpened()
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
                 ends = "[]"
                 if r["start"] >= 0:
-                    with open_file(r["path"]) as stream:
-                        ends = json.dumps(summaries(_pieces(stream, r["start"], r["stop"])))
+                    ends = json.dumps(summaries(_pieces(opened(r["path"]), r["start"], r["stop"])))
                 rows.append((r["path"], r["nth"], r["start"], r["stop"], r["size"], r["nth"] == 0, ends))
             yield _batch(rows, names, types)
+        opened.close()
 
     def compose(part: pa.Table) -> pa.Table:
         state, rows = (False, False, 1, 0), []
@@ -309,20 +401,21 @@ def array_rows(files: DataFrame, range_bytes: int = RANGE, longest: int = LONGES
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = lambda rows: _batch(rows, ["file_path", "position", "byte", "text", "reason"], [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()])
+        opened = LastOpened()
         for batch in batches:
             for r in batch.to_pylist():
                 if r["start"] < 0:
                     yield pack([(r["path"], 0, 0, None, "not_an_array")])
                     continue
                 rows, held = [], 0
-                with open_file(r["path"]) as stream:
-                    for row in elements(stream, r["size"], r["start"], r["stop"], tuple(json.loads(r["ends"])), r["first"], longest):
-                        rows.append((r["path"], *row))
-                        held += len(row[2] or "")
-                        if held > READ:
-                            yield pack(rows)
-                            rows, held = [], 0
+                for row in elements(opened(r["path"]), r["size"], r["start"], r["stop"], tuple(json.loads(r["ends"])), r["first"], longest):
+                    rows.append((r["path"], *row))
+                    held += len(row[2] or "")
+                    if held > READ:
+                        yield pack(rows)
+                        rows, held = [], 0
                 yield pack(rows)
+        opened.close()
 
     started = ranges.mapInArrow(summarise, _SUMMARY).groupBy("path").applyInArrow(compose, _SUMMARY)
-    return started.repartition(tasks, *by).mapInArrow(read, _ROW)
+    return started.repartition(tasks, *by).sortWithinPartitions("path", "nth").mapInArrow(read, _ROW)

@@ -1,5 +1,6 @@
 """Array files: any byte ranges give the elements of a plain byte-by-byte scan."""
 
+import gzip
 import json
 import os
 
@@ -125,3 +126,48 @@ def test_one_file_is_read_by_several_tasks(spark, tmp):
     rows = J.array_rows(files, range_bytes=4096).withColumn("task", F.spark_partition_id())
     got = rows.agg(F.countDistinct("position").alias("d"), F.max("position").alias("last"), F.count(F.lit(1)).alias("n"), F.countDistinct("task").alias("tasks")).first()
     assert (got["d"], got["last"], got["n"]) == (n, n - 1, n) and got["tasks"] > 1
+
+
+def test_a_range_reads_little_past_its_end():
+    data = b"[" + b",".join(b'{"flight_date": "%d"}' % i for i in range(400_000)) + b"]"
+    asked = []
+
+    class Counted(Held):
+        def read_at(self, n, at):
+            asked.append(n)
+            return super().read_at(n, at)
+
+    found = list(J.elements(Counted(data), len(data), 1, 100_000, (False, False, 1, 0), True))
+    assert found[-1][1] < 100_000 and sum(asked) <= 100_000 + J.PAST
+
+
+def test_gzip_files_give_what_plain_ones_do(spark, tmp):
+    for k in range(3):
+        docs = [{"flight": {"iata": f"UA{k}-{i}"}, "pad": "\\\"}{," * (i % 40)} for i in range(300)]
+        data = json.dumps(docs).encode() if k else b'[{"a": tru}, ' + json.dumps(docs).encode()[1:-1] + b', 7, {"flight": {"iata": "last"}}]'
+        stage(tmp, f"{k}.json", data)
+        stage(tmp, f"{k}.json.gz", gzip.compress(data[:1000]) + gzip.compress(data[1000:]))  # two members
+    path = f"{tmp}/stage"
+    whole = lambda df: sorted(tuple(r) for r in df.selectExpr("replace(file_path, '.gz', '')", *df.columns[1:]).collect())
+    for plain, packed in zip(load_documents(spark, path, "2024-01-02 00:00:00", "*.json", range_bytes=500),
+                             load_documents(spark, path, "2024-01-02 00:00:00", "*.json.gz", range_bytes=500), strict=True):
+        assert whole(plain) == whole(packed) and plain.count() in (901, 2)
+
+
+def test_an_unpacked_file_is_read_at_any_place(tmp, monkeypatch):
+    monkeypatch.setattr(J, "READ", 7)
+    monkeypatch.setattr(J, "RANGE", 20)
+    data = bytes(range(256)) * 3
+    with open(f"{tmp}/a.gz", "wb") as f:
+        f.write(gzip.compress(data))
+    with J.open_file(f"{tmp}/a.gz") as held:
+        assert held.size() == len(data)
+        assert all(held.read_at(n, at) == data[at:at + n] for n, at in [(5, 0), (9, 3), (40, 100), (1, 139), (3, 90), (50, 750), (4, 768), (2, 0)])
+
+
+@pytest.mark.parametrize("read", [7, 100, 1000])
+def test_the_head_of_a_long_element_is_whole_wherever_pieces_end(read, monkeypatch):
+    monkeypatch.setattr(J, "READ", read)
+    data = b'[{"a": 1}, {"pad": "' + b"x" * 3000 + b'"}, {"b": 2}]'
+    found = list(J.elements(Held(data), len(data), 1, len(data), (False, False, 1, 0), True, longest=50))
+    assert found[1][2:] == (data[11:-11].decode(), "element_too_long")
