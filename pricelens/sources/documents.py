@@ -33,6 +33,13 @@ SCHEDULE_PATHS = [
 ]
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a costly column that is computed once a row: the planner
+    copies a column's expression into the filters on it, but not through a
+    generator."""
+    return df.select(*[F.col(c) for c in df.columns if c != name], F.explode(F.array(value)).alias(name))
+
+
 def project_documents(docs: DataFrame, doc_col: str = "doc",
                       paths=SCHEDULE_PATHS, keep: list[str] | None = None) -> DataFrame:
     """Typed path projection of a VARIANT column."""
@@ -51,7 +58,7 @@ def operating_airline(codeshared: Column, marketed: Column) -> Column:
 def parse_documents(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """JSON text (one document per row) -> VARIANT column ``doc``; unparsable
     text gives a NULL ``doc``."""
-    return texts.withColumn("doc", F.try_parse_json(F.col(text_col)))
+    return once(texts, "doc", F.try_parse_json(F.col(text_col)))
 
 
 def _paths_ddl(paths) -> str:
@@ -81,7 +88,7 @@ def project_text_documents(texts: DataFrame, text_col: str = "text", paths=SCHED
     per-path re-walk).  ``raw_json`` is the VARIANT of the whole document,
     unknown keys included; it is pruned away when not selected."""
     parsed = F.from_json(F.col(text_col), _paths_ddl(paths))
-    base = texts.withColumn("_p", parsed)
+    base = once(texts, "_p", parsed)
     cols = [F.col(k) for k in (keep or [])]
     cols += [F.col("_p." + ".".join(f"`{x}`" for x in p[2:].split("."))).cast(t).alias(n)
              for n, p, t in paths]
@@ -94,7 +101,7 @@ def load_documents(spark: SparkSession, path: str, run_ts: str | None = None, gl
     """(rows, rejects) from a folder of JSON-array files.
 
     Files are cut into ranges of ``range_bytes``, so one file of any size is
-    read by many tasks (see ``json_arrays``).  An element that is no object, no
+    read by many tasks; a gzip file (.gz) by one (see ``json_arrays``).  An element that is no object, no
     JSON, no UTF-8 or longer than ``longest`` bytes costs one reject
     (file_path, position, reason, text: at most REJECT_TEXT characters) and
     the load goes on with the next one.  A file of no bytes is not listed and
@@ -103,7 +110,8 @@ def load_documents(spark: SparkSession, path: str, run_ts: str | None = None, gl
     parsed = parse_documents(elements).withColumn("reason", F.coalesce(
         "reason", F.when(F.col("doc").isNull(), F.lit("not_a_variant"))))
     bad = parsed.filter(F.col("reason").isNotNull()).select("file_path", "position", "reason", F.left("text", F.lit(REJECT_TEXT)).alias("text"))
-    out = project_documents(parsed.filter(F.col("reason").isNull()), keep=["file_path"])
+    good = parse_documents(elements.filter(F.col("reason").isNull())).filter(F.col("doc").isNotNull())
+    out = project_documents(good, keep=["file_path"])
     loaded: Column = F.to_timestamp(F.lit(run_ts)) if run_ts else F.current_timestamp()
     return out.withColumn("loaded_at", loaded), bad
 

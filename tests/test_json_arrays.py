@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pricelens.sources import json_arrays as J
-from pricelens.sources.documents import load_documents
+from pricelens.sources.documents import load_documents, project_text_documents
 
 
 class Held:
@@ -165,6 +165,13 @@ def test_an_unpacked_file_is_read_at_any_place(tmp, monkeypatch):
         assert all(held.read_at(n, at) == data[at:at + n] for n, at in [(5, 0), (9, 3), (40, 100), (1, 139), (3, 90), (50, 750), (4, 768), (2, 0)])
 
 
+def test_an_element_is_parsed_once(spark, tmp):
+    rows, _ = load_documents(spark, stage(tmp, "a.json", b'[{"position": {"k": 1}}]'), "2024-01-02 00:00:00")
+    found = project_text_documents(rows, "raw_json", [("k", "$.position.k", "int")], keep=["flight_date"]).where("k is not null").select("flight_date", "k")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1 and plan.count("from_json") == 1 and [r["k"] for r in found.collect()] == [1]
+
+
 @pytest.mark.parametrize("read", [7, 100, 1000])
 def test_the_head_of_a_long_element_is_whole_wherever_pieces_end(read, monkeypatch):
     monkeypatch.setattr(J, "READ", read)
