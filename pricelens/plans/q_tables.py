@@ -16,7 +16,7 @@ from pricelens.plans.q_routes import SQL_TOP, first_per_route
 from pricelens.plans.q_star import SPLIT_DATE, gold
 from pricelens.plans.q_ticks import SQL_SCORED, SQL_SILVER_1HR, SQL_SILVER_5MIN
 from pricelens.plans.silver import late_table, silver_5min
-from pricelens.session import scratch_dir
+from pricelens.session import scratch_dir, store
 from pricelens.sinks.versions import read_live, replace
 from pricelens.sinks.writers import delete_where, overwrite, truncate
 from pricelens.sources.tables import list_files, read_merged, read_or_empty, read_table, union_evolving
@@ -68,9 +68,10 @@ SELECT route_id, min(flight_date) AS first_archived, count(*) AS routes FROM (
   FROM sched WHERE route_id IN (SELECT route_id FROM top) GROUP BY route_id) t GROUP BY route_id""")
 def active_routes_snapshot(spark, sf_dir):
     """The active routes as a JSON snapshot that each run
-    overwrites, and in an archive by date; both read back."""
+    overwrites, and in an archive by date; both read back.  The routes, at most
+    one row for each of the top ones, are found once for both runs."""
     root = scratch_dir(spark, "routes")
-    routes = first_per_route(spark, sf_dir)
+    routes = store(first_per_route(spark, sf_dir), "active-routes")
     for _ in range(2):  # a second run replaces, it does not add
         overwrite(routes, os.path.join(root, "active_routes"), fmt="json")
     snapshot = spark.read.schema(routes.schema).json(os.path.join(root, "active_routes"))
