@@ -30,8 +30,9 @@ def flight_day_summary(scored: DataFrame, loaded_at: str) -> DataFrame:
     season and exact avg/min/max prices, anomalies and priced rows."""
     d = F.to_date("flight_date")
     rows = scored.filter(F.col("arrival_iata").isNotNull() & F.col("flight_iata").isNotNull())
+    # by the column itself, not null here: rows that lie by flight after the scores' join stay where they are
     g = rows.groupBy(
-        F.coalesce(F.col("flight_iata"), F.lit("UNKNOWN")).alias("flight_number"),
+        F.col("flight_iata").alias("flight_number"),
         F.col("route_id"), F.col("departure_iata").alias("origin"),
         F.col("arrival_iata").alias("destination"), F.col("airline_name"),
         alliance(F.col("airline_iata")).alias("alliance"), F.col("flight_date").alias("date"),
@@ -40,8 +41,8 @@ def flight_day_summary(scored: DataFrame, loaded_at: str) -> DataFrame:
           F.min(to_cents(F.col("price_usd"))).alias("_lo"),
           F.max(to_cents(F.col("price_usd"))).alias("_hi"),
           F.count_if(F.col("is_anomaly")).alias("_a"), F.count(F.lit(1)).alias("_w"))
-    return g.select("flight_number", "route_id", "origin", "destination", "airline_name",
-                    "alliance", "date", "is_weekend", "season",
+    return g.select(F.coalesce(F.col("flight_number"), F.lit("UNKNOWN")).alias("flight_number"),
+                    "route_id", "origin", "destination", "airline_name", "alliance", "date", "is_weekend", "season",
                     avg_usd(F.col("_s"), F.col("_n")).alias("avg_price_usd"),
                     cents_to_usd(F.col("_lo")).alias("min_price_usd"),
                     cents_to_usd(F.col("_hi")).alias("max_price_usd"),
@@ -158,7 +159,7 @@ def refresh_changed(spark: SparkSession, source: DataFrame, build: Callable[[Dat
         return 0
     seen = when <= F.lit(hi).cast("timestamp")  # rows that land meanwhile are the next refresh's
     changed = fresh.filter(seen).select(partition).distinct()
-    same = changed.withColumnRenamed(partition, "_changed")
+    same = F.broadcast(changed.withColumnRenamed(partition, "_changed"))  # one row a partition: the source is not shuffled for them
     rows = source.filter(seen).join(same, F.col(partition).eqNullSafe(F.col("_changed")), "left_semi")
     replace(build(rows), path, partition, touched=changed)
     write_mark(spark, marks, name, hi, run_ts)
