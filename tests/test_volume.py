@@ -9,6 +9,7 @@ from pricelens.operators import dims, serving
 from pricelens.plans import q_tables
 from pricelens.plans.daily import DIM_FLIGHT_SCHEMA
 from pricelens.sinks.writers import upsert_best
+from pricelens.streaming import ticks as T
 
 
 def test_active_routes_are_found_once(spark, monkeypatch):
@@ -72,3 +73,14 @@ def test_versions_are_computed_once(spark):
                           ["flight_number"], ["route_id", "airline_code"], "_day", "flight_key")
     assert sorted(map(tuple, dim.select("flight_key", "route_id", "expiry_date").collect())) == [(2000, "R1", "2024-01-03"), (2001, "R2", "9999-12-31"), (2002, "R1", "9999-12-31")]
     assert seen.value == 3
+
+
+def test_slices_take_equal_numbers_of_files(spark, tmp, monkeypatch):
+    monkeypatch.setattr(T, "FILE_ROWS", 10)
+    rows = spark.range(0, 200, 1, 3).selectExpr("concat('F', id) as flight_number", "id as event_timestamp", "id as ingestion_timestamp", "1.0D as price_usd")
+    assert T.files_per_slice(rows, [60, 120]) == 6 and T.files_per_slice(rows, [5, 6]) == 1 and T.files_per_slice(rows, [60, 60]) == 1
+    T.write_slices(rows, f"{tmp}/s", [60, 120], 6)
+    files = spark.read.text(f"{tmp}/s").select(F.get_json_object("value", "$.event_timestamp").cast("int").alias("t"), "_metadata.file_name", "_metadata.file_modification_time")
+    per = files.groupBy("file_name", "file_modification_time").agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.count("t").alias("n")).orderBy("file_modification_time").collect()
+    assert [sum(r["n"] for r in per[k:k + 6]) for k in (0, 6, 12)] == [60, 60, 80] and len(per) == 18
+    assert all(max(r["hi"] for r in per[k:k + 6]) < min(r["lo"] for r in per[k + 6:k + 12]) for k in (0, 6))
