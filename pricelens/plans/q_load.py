@@ -27,8 +27,7 @@ FAULTS = {0: (f"""concat('{{"id":"', {ID}, '","a":tru}}')""", "malformed"),
 def stage_files(spark, sf_dir) -> str:
     """The schedule as array files, about FILE_ROWS elements each, with faults
     in the order of the rows' keys; each file ends with a document that says so.
-    The files are gzip files: plain, they are eight times as large as what is
-    shuffled to make them."""
+    The files are gzip files: plain, they would be eight times as large."""
     n_files = max(2, -(-read_table(spark, sf_dir, "lineitem").count() // FILE_ROWS))
     rows = schedule(spark, sf_dir).withColumn("f", F.pmod(F.xxhash64(*SCHEDULE_POSITION), F.lit(n_files))).withColumn("part", F.lit(1))
     ends = spark.range(n_files).select(F.col("id").alias("f"), F.explode(F.array(F.lit(0), F.lit(2))).alias("part"))
